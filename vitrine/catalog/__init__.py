@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text",)
+MODULES = ("text", "filters")
 
 
 def _load() -> None:
