@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "filters")
+MODULES = ("text", "filters", "joins", "trees", "statistics")
 
 
 def _load() -> None:

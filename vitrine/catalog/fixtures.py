@@ -331,6 +331,9 @@ VIEWS: dict[str, str | tuple[str, str]] = {
 }
 
 
+_COLLECTIONS: dict[tuple[str, str], Collection] = {}
+
+
 @lru_cache(maxsize=None)
 def _needs(text: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(_SLOT.findall(text)))
@@ -368,7 +371,15 @@ def oracle(sql: str) -> str:
 
 
 def collection(spark: SparkSession, sf_dir: str) -> Collection:
-    """The given tables and the views over them, opened on demand."""
+    """The given tables and the views over them, opened on demand and once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _COLLECTIONS:
+        _COLLECTIONS.clear()
+        _COLLECTIONS[key] = _open_collection(spark, sf_dir)
+    return _COLLECTIONS[key]
+
+
+def _open_collection(spark: SparkSession, sf_dir: str) -> Collection:
     opened: dict[str, DataFrame] = {}
 
     def open_one(name: str) -> DataFrame:

@@ -182,11 +182,7 @@ def alive_dead(
     movement not deleted.  ``taxa``: never a versioned movement nor a deleted
     object; alive wants the movement not deleted, dead the reason Dead.
     """
-    if mode == "dead or alive" and rules == "taxa":
-        args = (misc,)
-        kw = dict(rules=rules, object_id=object_id, movement_id=movement_id, reason=reason, version=version)
-        return union_distinct(alive_dead(df, *args, "alive", **kw), alive_dead(df, *args, "dead", **kw))
-    if mode not in ("alive", "dead"):
+    if mode not in ("alive", "dead") and (mode, rules) != ("dead or alive", "taxa"):
         raise ValueError(f"unknown mode: {mode}")
     versioned = F.col(version).eqNullSafe(True)
     dead = F.col(reason) == "Dead"
@@ -195,7 +191,14 @@ def alive_dead(
             return both_not_deleted(df.filter(~versioned & (F.col(reason) != "Dead")), misc, movement_id, object_id)
         return not_deleted(df.filter(versioned & dead), misc, movement_id)
     kept = not_deleted(df.filter(~versioned), misc, object_id)
-    return not_deleted(kept, misc, movement_id) if mode == "alive" else kept.filter(dead)
+    if mode == "alive":
+        return not_deleted(kept, misc, movement_id)
+    if mode == "dead":
+        return kept.filter(dead)
+    # the distinct union of both lists, read in one pass
+    live = misc.filter(F.col("lifecyclestate") != "deleted").select(F.col("id").alias("_live"))
+    marked = kept.join(live, F.col(movement_id) == F.col("_live"), "left")
+    return marked.filter(F.col("_live").isNotNull() | dead).drop("_live").distinct()
 
 
 def skip_moved(df: DataFrame, crate: str = "", status: str = "objectstatus", crate_col: str = "crate") -> DataFrame:
