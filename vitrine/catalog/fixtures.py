@@ -186,12 +186,14 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         p_size AS numberofobjects,
         {location_ref('p_partkey % 20')} AS computedcurrentlocation,
         {refname('status', 'p_type', 'p_type')} AS recordstatus,
-        p_name || chr(10) || chr(13) || p_type || ' | ' || p_brand AS physicaldescription,
+        p_name || chr(10) || chr(13) || p_type || CASE WHEN p_partkey % 7 = 0 THEN ' | ' ELSE ' / ' END || p_brand AS physicaldescription,
         CASE WHEN p_partkey % 4 <> 0 THEN p_type || chr(9) || p_brand END AS contentdescription,
         p_type || '"' || p_name || chr(92) AS contentnote,
         CASE WHEN p_partkey % 9 <> 0 THEN {place_ref('p_partkey % 25')} END AS fieldcollectionplace,
         {refname('collection', 'p_brand', 'p_brand')} AS collection,
         p_name AS distinguishingfeatures FROM {{part}}""",
+    "plants": f"""SELECT id, {s('1990 + numberofobjects')} || '.' || lpad({s('CAST(substr(id, 2) AS BIGINT) % 10000')}, 4, '0') AS objectnumber,
+        recordstatus FROM {{objects}}""",
     "objects_ext": f"""SELECT 'p' || {s('p_partkey')} AS id,
         lpad({s('1990 + p_size')}, 10, '0') || '.' || lpad({s('CAST(FLOOR(p_partkey / 100) AS BIGINT)')}, 10, '0') || '.' ||
             lpad({s('p_partkey % 100')}, 10, '0') AS sortableobjectnumber,
@@ -210,6 +212,9 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         CASE WHEN p_partkey % 8 = 0 THEN 'near ' || p_name END AS fieldlocverbatim,
         CASE WHEN p_partkey % 3 <> 0 THEN {refname('crate', "'k' || " + s('p_partkey % 12'), "'Crate ' || " + s('p_partkey % 12'))} END
             AS computedcrate,
+        'Line ' || p_brand AS creditline, 'owned' AS legalstatus, p_brand AS accnumberprefix, {s('p_size')} AS accnumberpart1,
+        {s('p_partkey % 7')} AS accnumberpart2, '' AS accnumberpart3, '' AS accnumberpart4, '' AS accnumberpart5,
+        'Inv ' || {s('p_partkey % 21')} AS inventoryname,
         CASE WHEN p_partkey % 10 = 0 THEN 'true' ELSE 'false' END AS rare,
         CASE WHEN p_partkey % 7 = 0 THEN 'true' ELSE 'false' END AS deadflag FROM {{part}}""",
     "groups": f"""SELECT 'o' || {s('o_orderkey')} AS id, o_orderpriority || ' ' || {s('o_orderkey % 50')} AS title,
@@ -264,7 +269,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "materialgroup": f"SELECT 'mt-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('concept', 'flag || chr(10) || ' + s('s % 6'))} AS material, 'src ' || flag AS materialsource FROM {{member}}",
     "techniquegroup": f"SELECT 'tq-' || {s('k')} || '-' || {s('pos')} AS id, 'tech ' || flag || ' ' || st AS technique FROM {{member}}",
     "measuredpartgroup": f"SELECT 'mp-' || {s('k')} || '-' || {s('pos')} AS id, {s('q')} || ' in x ' || {s('pos')} AS dimensionsummary, {mixed('part', 'st')} AS measuredpart FROM {{member}}",
-    "objectproductionpersongroup": f"SELECT 'pp-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('person', s('s % 9'))} AS objectproductionperson FROM {{member}}",
+    "objectproductionpersongroup": f"SELECT 'pp-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('person', s('s % 9'))} AS objectproductionperson, {refname('role', 'flag', "'role ' || flag")} AS objectproductionpersonrole FROM {{member}}",
     "objectproductionorganizationgroup": f"SELECT 'po-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('org', s('s % 8'))} AS objectproductionorganization FROM {{member}}",
     "objectproductionplacegroup": f"SELECT 'pl-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('place', s('s % 7'))} AS objectproductionplace, 'role ' || st AS objectproductionplacerole FROM {{member}}",
     "titlegroup": f"SELECT 'ti-' || {s('k')} || '-' || {s('pos')} AS id, 'Title ' || flag || {s('q')} AS title FROM {{member}}",
@@ -293,7 +298,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "dimensionsubgroup": f"""SELECT 'ds-' || {s('k')} || '-' || {s('pos')} AS id, CASE pos % 2 WHEN 0 THEN 'height' ELSE 'width' END AS dimension,
         CASE WHEN k % 17 <> 0 THEN {s('q')} END AS value, {refname('unit', "'u' || flag", "flag || ' in'")} AS measurementunit FROM {{member}}""",
     # ---- repeating scalars (id, pos, item) -----------------------------------
-    "comments": f"SELECT 'p' || {s('k')} AS id, pos, flag || chr(10) || st || ' | ' || {s('q')} AS item FROM {{member}}",
+    "comments": f"SELECT 'p' || {s('k')} AS id, pos, flag || chr(10) || st || CASE WHEN k % 9 = 0 THEN ' | ' ELSE ' / ' END || {s('q')} AS item FROM {{member}}",
     "styles": f"SELECT 'p' || {s('k')} AS id, pos, {mixed('style', 'flag')} AS item FROM {{member}}",
     "colors": f"SELECT 'p' || {s('k')} AS id, pos, {mixed('color', 'st')} AS item FROM {{member}}",
     "contentconcepts": f"SELECT 'p' || {s('k')} AS id, pos, CASE WHEN k % 12 = 0 THEN '' ELSE {refname('concept', s('q'), 'flag || ' + s('q % 10'))} END AS item FROM {{member}}",
@@ -304,6 +309,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "briefdescriptions": f"SELECT 'p' || {s('k')} AS id, pos, CASE WHEN k % 15 = 0 THEN '' ELSE 'brief ' || flag || {s('q')} END AS item FROM {{member}}",
     "responsibledepartments": f"SELECT 'p' || {s('k')} AS id, pos, 'dept ' || st AS item FROM {{member}}",
     "photos": f"SELECT 'p' || {s('k')} AS id, pos, 'photo ' || {s('q')} AS item FROM {{member}} WHERE k % 2 = 0",
+    "collectionlists": f"SELECT 'p' || {s('k')} AS id, pos, {refname('collection', 'flag', "'List ' || flag")} AS item FROM {{member}} WHERE pos = 0",
     "exhibitionhistories": f"SELECT 'p' || {s('k')} AS id, pos, 'shown ' || {s('1950 + q')} AS item FROM {{member}}",
     "owners": f"SELECT 'o' || {s('k')} AS id, pos, {refname('person', s('s'), "'Donor ' || " + s('s % 30'))} AS item FROM {{procedure_member}} WHERE k % 8 = 1",
     # ---- statistics snapshots, moves, manifests ------------------------------

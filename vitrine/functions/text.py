@@ -55,18 +55,19 @@ def scrub_newlines(col: Column | str) -> Column:
     return F.translate(_c(col), "\r\n", "  ")
 
 
-def strip_field_quotes(col: Column | str, first: bool = False, last: bool = False) -> Column:
+def strip_field_quotes(col: Column | str, first: bool = False, last: bool = False, pairs: bool = True) -> Column:
     """Quotes, backslashes and CR out of one cell.
 
     The rule needs a neighbouring cell, so the ``first`` cell of a row keeps a
-    leading quote and the ``last`` one a trailing quote.
+    leading quote and the ``last`` one a trailing quote.  ``pairs`` also makes each
+    doubled quote a single one.
     """
     c = F.translate(_c(col), "\\\r", "/")
     if not first:
         c = F.regexp_replace(c, r'\A"', "")
     if not last:
         c = F.regexp_replace(c, r'"\z', "")
-    return F.replace(c, F.lit('""'), F.lit('"'))
+    return F.replace(c, F.lit('""'), F.lit('"')) if pairs else c
 
 
 def escape_backslash(col: Column | str) -> Column:

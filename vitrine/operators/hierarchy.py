@@ -37,6 +37,11 @@ def ordered_edges(edges: DataFrame) -> DataFrame:
     return edges.orderBy(*sort_keys("parent", "child", "child_key"))
 
 
+def _linked(edges: DataFrame) -> DataFrame:
+    """Edges that have a parent, stored once because every round joins them."""
+    return cut_lineage(edges.filter("parent_key IS NOT NULL").select("child", "child_key", "parent", "parent_key").distinct())
+
+
 def children(edges: DataFrame, term: str) -> DataFrame:
     return edges.filter(F.col("parent") == term).select(
         F.col("child").alias("term"), F.col("child_key").alias("key"), F.col("parent_key").alias("broader_key"), F.col("parent").alias("broader")
@@ -62,7 +67,7 @@ def descendants(edges: DataFrame, term: str, max_depth: int = 20, first_level: i
     A term without children stands for itself; the term itself is added at level 0
     if no row names it.
     """
-    linked = edges.filter("parent_key IS NOT NULL").select("child", "child_key", "parent", "parent_key").distinct()
+    linked = _linked(edges)
     below = linked.filter(F.col("parent") == term)
     own = linked.filter(F.col("child") == term)
     none_below = below.agg(F.count("*")).scalar() == 0
@@ -89,7 +94,7 @@ def place_descendants(edges: DataFrame, place: str, max_depth: int = 20) -> Data
 def closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
     """``(key, ancestor_key, ancestor, level)`` for every node: itself at 0, parents at -1, …"""
     nodes = edges.select("child_key", "child").distinct()
-    up = edges.filter("parent_key IS NOT NULL").select(F.col("child_key").alias("_child"), "parent_key", "parent").distinct()
+    up = _linked(edges).select(F.col("child_key").alias("_child"), "parent_key", "parent")
     seed = nodes.select(F.col("child_key").alias("key"), F.col("child_key").alias("ancestor_key"), F.col("child").alias("ancestor"), F.lit(0).alias("level"))
 
     def step(frontier: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ def closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
 
 def ancestors(edges: DataFrame, key: str, max_depth: int = 100) -> DataFrame:
     """A node (level 0) and what lies above it, root first."""
-    up = edges.filter("parent_key IS NOT NULL").select(F.col("child_key").alias("_child"), "parent_key", "parent").distinct()
+    up = _linked(edges).select(F.col("child_key").alias("_child"), "parent_key", "parent")
     seed = edges.filter(F.col("child_key") == key).select(F.col("child").alias("term"), F.col("child_key").alias("key"), F.lit(0).alias("level")).distinct()
 
     def step(frontier: DataFrame) -> DataFrame:
@@ -116,7 +121,7 @@ def tree_paths(edges: DataFrame, max_depth: int = 100, sep: str = " > ") -> Data
 
     Nodes on a cycle have no root above them and do not appear.
     """
-    linked = edges.select("child", "child_key", "parent_key").distinct()
+    linked = cut_lineage(edges.select("child", "child_key", "parent_key").distinct())
     below = linked.filter("parent_key IS NOT NULL")
     parents = below.select(F.col("parent_key").alias("_p")).distinct()
     seed = linked.filter("parent_key IS NULL").select(

@@ -78,11 +78,14 @@ def first_item(df: DataFrame, items: DataFrame, out: str, pos: int = 0, or_null:
 
 
 def group_values(
-    hierarchy: DataFrame, groups: Mapping[str, tuple[str, DataFrame, Column]], pos: int | None = 0
+    hierarchy: DataFrame, groups: Mapping[str, tuple[str, DataFrame, Column]], pos: int | None = 0, or_null: bool = False,
+    by: str = "name", ids: DataFrame | None = None,
 ) -> DataFrame:
     """Long form ``(id, field, pos, value)`` of many groups, with one pass over ``hierarchy``.
 
-    ``groups`` maps an output field to (list name, group table, value).
+    ``groups`` maps an output field to (list, group table, value), where the list is
+    a list name or, with ``by="primarytype"``, a member type.  ``ids`` keeps only the
+    members of those parents.
     """
     values = None
     for field, (list_name, table, value) in groups.items():
@@ -90,14 +93,24 @@ def group_values(
             F.col("id").alias("_gid"), F.lit(field).alias("field"), F.lit(list_name).alias("_list"), value.cast("string").alias("value")
         )
         values = one if values is None else values.unionByName(one)
-    lists = sorted({list_name for list_name, *_ in groups.values()})
-    rows = hierarchy if pos is None else hierarchy.filter(F.col("pos") == pos)
-    rows = rows.withColumn("_name", F.substring_index("name", ":", -1)).filter(F.col("_name").isin(lists))
-    rows = rows.select("parentid", F.col("id").alias("member_id"), "pos", "_name")
-    joined = rows.join(values, (F.col("member_id") == F.col("_gid")) & (F.col("_name") == F.col("_list")))
+    rows = hierarchy
+    if pos is not None:
+        at = F.col("pos") == pos
+        rows = rows.filter(at | F.col("pos").isNull() if or_null else at)
+    tag = F.substring_index("name", ":", -1) if by == "name" else F.col("primarytype")
+    rows = rows.withColumn("_tag", tag).filter(F.col("_tag").isin(sorted({list_name for list_name, *_ in groups.values()})))
+    rows = rows.select("parentid", F.col("id").alias("member_id"), "pos", "_tag")
+    if ids is not None:
+        rows = rows.join(ids.select(F.col("id").alias("_want")).distinct(), F.col("parentid") == F.col("_want"), "left_semi")
+    joined = rows.join(values, (F.col("member_id") == F.col("_gid")) & (F.col("_tag") == F.col("_list")))
     return joined.select(F.col("parentid").alias("id"), "field", "pos", "value")
 
 
+def pivot_fields(long: DataFrame, fields: Sequence[str], key: str = "id") -> DataFrame:
+    """``(key, field, value)`` as one row per key."""
+    return long.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+
+
 # ---- relations ----------------------------------------------------------------------------
 
 
@@ -213,10 +226,7 @@ def stitch_long(base: DataFrame, cells: DataFrame, fields: Sequence[str], key: s
 
     One pivot by key and one join, whatever the number of fields.
     """
-    wide = cells.groupBy(key).agg(
-        *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields]
-    )
-    joined = base.join(wide, key, "left")
+    joined = base.join(pivot_fields(cells, fields, key), key, "left")
     return joined.select(*base.columns, *[F.coalesce(F.col(f), F.lit(blank)).alias(f) for f in fields])
 
 
