@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "filters", "joins", "trees", "statistics")
+MODULES = ("text", "filters", "joins", "trees", "statistics", "extracts")
 
 
 def _load() -> None:

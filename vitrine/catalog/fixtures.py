@@ -13,6 +13,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.plans.model import Collection
+from vitrine.session import cut_lineage
 
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents "
@@ -337,6 +338,10 @@ VIEWS: dict[str, str | tuple[str, str]] = {
 }
 
 
+# A collection stores these tables; the other views are cheap projections of them
+# or of the given tables.
+STORED = ("member", "procedure_member", "hierarchy", "misc", "relations")
+
 _COLLECTIONS: dict[tuple[str, str], Collection] = {}
 
 
@@ -379,12 +384,21 @@ def oracle(sql: str) -> str:
 def collection(spark: SparkSession, sf_dir: str) -> Collection:
     """The given tables and the views over them, opened on demand and once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _COLLECTIONS:
+    if key not in _COLLECTIONS or not still_there(spark):
         _COLLECTIONS.clear()
         _COLLECTIONS[key] = _open_collection(spark, sf_dir)
     return _COLLECTIONS[key]
 
 
+def _exists(spark: SparkSession, df: DataFrame) -> bool:
+    jvm = spark.sparkContext._jvm
+    for name in df.inputFiles()[:1]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return False
+    return True
+
+
 def _open_collection(spark: SparkSession, sf_dir: str) -> Collection:
     opened: dict[str, DataFrame] = {}
 
@@ -392,9 +406,19 @@ def _open_collection(spark: SparkSession, sf_dir: str) -> Collection:
         if name not in opened:
             if name in VIEWS:
                 text = _text(name, 0)
-                opened[name] = spark.sql(text, **{n: open_one(n) for n in _needs(text)})
+                df = spark.sql(text, **{n: open_one(n) for n in _needs(text)})
+                opened[name] = cut_lineage(df, name) if name in STORED else df
             else:
                 opened[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return opened[name]
 
     return Collection({n: (lambda n=n: open_one(n)) for n in [*GIVEN, *VIEWS]})
+
+
+def still_there(spark: SparkSession) -> bool:
+    """Whether the stored tables of the open collection can still be read."""
+    return all(
+        _exists(spark, open_tables[name])
+        for (app, _), open_tables in _COLLECTIONS.items() if app == spark.sparkContext.applicationId
+        for name in STORED if open_tables.is_open(name)
+    )

@@ -116,19 +116,20 @@ def pivot_fields(long: DataFrame, fields: Sequence[str], key: str = "id") -> Dat
 
 def related(
     df: DataFrame, relations: DataFrame, hierarchy: DataFrame, out: str,
-    doc_type: str | None = None, direction: str = "subject", id: str = "id", csid: str | None = None,
+    doc_type: str | None = None, direction: str = "subject", id: str = "id", csid: str | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Adds the id of each related record, one row per edge.
 
     ``subject``: ``df`` is the subject and the edge's object is the target;
     ``object``: the reverse.  ``doc_type`` filters on the target's type.  A hub
     record makes its edges one hot key; the engine splits such a join partition.
+    ``keep`` names edge columns to carry along.
     """
     here, there = ("subject", "object") if direction == "subject" else ("object", "subject")
     edges = relations
     if doc_type is not None:
         edges = edges.filter(F.col(f"{there}documenttype") == doc_type)
-    edges = edges.select(F.col(f"{here}csid").alias("_here"), F.col(f"{there}csid").alias("_there"))
+    edges = edges.select(F.col(f"{here}csid").alias("_here"), F.col(f"{there}csid").alias("_there"), *keep)
     rows = df if csid else with_csid(df, hierarchy, id, "_csid0")
     joined = rows.join(edges, F.col(csid or "_csid0") == F.col("_here"))
     joined = with_id(joined, hierarchy, "_there", out)

@@ -14,10 +14,11 @@ from vitrine.functions.text import (
 from vitrine.operators.aggregates import multi_value, multi_value_distinct, union_all
 from vitrine.operators.filters import non_blank, non_null, not_deleted
 from vitrine.operators.joins import (
-    first_item, first_of_group, group_values, media_rows, members, merge_list, pivot_fields, related, stitch_long, with_csid,
+    first_item, first_of_group, group_values, media_rows, members, merge_list, pivot_fields, related, with_csid,
 )
 from vitrine.operators.ordering import sequence_id
 from vitrine.plans.model import Collection
+from vitrine.session import cut_lineage
 
 # The table and field pairs of each template kind.  The two pairs
 # whose output a special frame repeats under the same name (lender, credit line)
@@ -50,16 +51,38 @@ def _group_rows(c: Collection, table: str, field: str) -> DataFrame:
     return non_null(joined, "value").select(F.col("parentid").alias("id"), "pos", "value")
 
 
+def object_links(c: Collection) -> DataFrame:
+    """``(id, pid, side, doctype)``: each edge that touches an object, by record ids.
+
+    ``side`` says whether the object is the edge's subject or object, ``doctype`` is
+    the type of the edge's object.
+    """
+    records = c.objects.select("id")
+    forward = related(records, c.relations, c.hierarchy, "pid", keep=["objectdocumenttype"])
+    backward = related(records, c.relations, c.hierarchy, "pid", direction="object", keep=["objectdocumenttype"])
+    sides = [("subject", forward), ("object", backward)]
+    return union_all([df.select("id", "pid", F.lit(side).alias("side"), F.col("objectdocumenttype").alias("doctype")) for side, df in sides])
+
+
+def with_links(c: Collection) -> Collection:
+    """The collection with its object links resolved once and stored, for plans that use them often."""
+    return c if "links" in c else c.with_tables(links=cut_lineage(object_links(c), "links"))
+
+
+def _links(c: Collection, side: str, doc_type: str | None) -> DataFrame:
+    links = (c.links if "links" in c else object_links(c)).filter(F.col("side") == side)
+    return (links if doc_type is None else links.filter(F.col("doctype") == doc_type)).select("id", "pid")
+
+
 def _to_objects(c: Collection, table: str, columns: list[str], doc_type: str | None = None) -> DataFrame:
     """Live rows of a procedure table, once per live object they point at."""
     rows = not_deleted(c[table].select(F.col("id").alias("pid"), *columns), c.misc, "pid")
-    pairs = related(rows, c.relations, c.hierarchy, "id", doc_type, id="pid")
-    return not_deleted(pairs.join(c.objects.select("id"), "id", "left_semi"), c.misc)
+    return not_deleted(_links(c, "object", doc_type).join(rows, "pid"), c.misc)
 
 
 def _from_objects(c: Collection, doc_type: str | None) -> DataFrame:
     """``(id, pid)``: every object and the records it points at."""
-    return related(c.objects.select("id"), c.relations, c.hierarchy, "pid", doc_type)
+    return _links(c, "subject", doc_type)
 
 
 def field_extract(c: Collection, table: str, field: str, kind: int, compat: bool = False) -> DataFrame:
@@ -192,13 +215,8 @@ assocculturalcontext_s lender_s loanstatusnote_s loanstatus_s loanstatusdate_s c
 conservationstatus_s conservationstatusdate_s""".split()
 
 
-def metadata_extract(c: Collection) -> DataFrame:
-    """Full single-valued row of every live object (58 columns).
-
-    All first-of-list lookups are read in long form with one pass over the hierarchy
-    and pivoted once, in place of one self-join per list.  A list whose table the
-    collection does not have gives nulls.
-    """
+def _metadata_parts(c: Collection) -> tuple[DataFrame, DataFrame]:
+    """Base columns per live object, and all lookups in long form ``(id, field, value)``."""
     plain = ["objectnumber", "physicaldescription", "contentdescription", "contentnote", "numberofobjects", "computedcurrentlocation"]
     names = ["recordstatus", "fieldcollectionplace", "collection"]
     flags = ["sortableobjectnumber", "art", "history", "science"]
@@ -221,8 +239,18 @@ def metadata_extract(c: Collection) -> DataFrame:
         c[table].filter("pos = 0").select("id", F.lit(out).alias("field"), (refname_display("item") if is_ref else _raw("item")).alias("value"))
         for out, (table, is_ref) in ITEM_LOOKUPS.items() if table in c
     ])
-    fields = [*GROUP_LOOKUPS, *ITEM_LOOKUPS]
-    wide = pivot_fields(long.union(items), fields)
+    return base, long.union(items)
+
+
+def metadata_extract(c: Collection) -> DataFrame:
+    """Full single-valued row of every live object (58 columns).
+
+    All first-of-list lookups are read in long form with one pass over the hierarchy
+    and pivoted once, in place of one self-join per list.  A list whose table the
+    collection does not have gives nulls.
+    """
+    base, lookups = _metadata_parts(c)
+    wide = pivot_fields(lookups, [*GROUP_LOOKUPS, *ITEM_LOOKUPS])
     joined = base.join(wide, F.col("objectcsid_s") == F.col("id"), "left")
     return joined.select(*METADATA_COLUMNS)
 
@@ -373,11 +401,11 @@ SPECIAL_FRAMES = (
 # ---- outputs ---------------------------------------------------------------------------------
 
 
-def _as_cells(frame: DataFrame) -> DataFrame:
-    """A frame ``(id, fields…)`` in long form ``(id, field, value)``, nulls left out."""
-    fields = [f for f in frame.columns if f != "id"]
+def _as_cells(frame: DataFrame, key: str = "id") -> DataFrame:
+    """A frame ``(key, fields…)`` in long form ``(key, field, value)``, nulls left out."""
+    fields = [f for f in frame.columns if f != key]
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
-    return frame.select("id", F.inline(cells)).filter("value IS NOT NULL")
+    return frame.select(key, F.inline(cells)).filter("value IS NOT NULL")
 
 
 def field_frames(c: Collection) -> list[DataFrame]:
@@ -392,57 +420,63 @@ def field_frames(c: Collection) -> list[DataFrame]:
 
 
 def blob_lists(c: Collection) -> DataFrame:
-    rows = media_rows(c).filter("objectcsid IS NOT NULL").select("objectcsid", "blobcsid")
-    return rows
+    return media_rows(c).filter("objectcsid IS NOT NULL").select("objectcsid", "blobcsid")
 
 
-def _tab_free(rows: DataFrame, sep: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose cells hold no separator, and the rows a delimited file would break."""
-    broken = F.contains(F.concat_ws(" ", *rows.columns), F.lit(sep))
-    return rows.filter(~broken), rows.filter(broken)
+def _wide_rows(cells: DataFrame, fields: list[str], known: str, value: Column, sep: str, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Cells as rows without and with a separator inside a cell.
 
+    ``cells`` are scrubbed first; ``value`` then cleans a cell of the good rows.  The
+    cells of base rows and frames meet in one aggregate by key, and a key without
+    the ``known`` field is not in the base.  A missing cell is blank.
+    """
+    scrubbed = cells.withColumn("value", scrub_newlines("value"))
+    broken = F.max(F.col("value").contains(sep)).alias("_broken")
 
-def public_rows(c: Collection) -> DataFrame:
-    """Base row and all field frames of every live object, line ends scrubbed.
+    def rows(shown: Column) -> DataFrame:
+        named = scrubbed.select(key, "field", shown.alias("shown"), "value")
+        wide = named.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("shown"))).alias(f) for f in fields], broken)
+        return wide.filter(F.col(known).isNotNull())
 
-    The frames meet in long form, so one pivot and one join by id replace one join
-    per frame.
-    """
+    good = rows(value).filter(~F.col("_broken")).drop("_broken")
+    bad = rows(F.col("value")).filter("_broken").drop("_broken")
+    return good.fillna("", fields), bad.fillna("", fields)
+
+
+def _public(c: Collection) -> tuple[DataFrame, DataFrame]:
+    c = with_links(c)
+    base = basic_extract(c)
     frames = field_frames(c)
-    fields = [f for frame in frames for f in frame.columns if f != "id"]
-    rows = stitch_long(basic_extract(c), union_all([_as_cells(f) for f in frames]), fields)
-    return rows.select(*[scrub_newlines(blank_if_null(F.col(n).cast("string"))).alias(n) for n in rows.columns])
+    fields = [n for frame in [base, *frames] for n in frame.columns if n != "id"]
+    cells = union_all([_as_cells(f) for f in [base, *frames]])
+    # quotes go before and again after the blob list is added, so the last field of
+    # the row is an inner cell only the second time
+    once = F.when(F.col("field") == fields[-1], strip_field_quotes("value", last=True, pairs=False)).otherwise(strip_field_quotes("value", pairs=False))
+    return _wide_rows(cells, fields, "csid_s", strip_field_quotes(replace_delim(once, MULTI, "|")), "\t")
 
 
 def public_errors(c: Collection) -> DataFrame:
     """Rows that a tab inside a cell would make too wide."""
-    return _tab_free(public_rows(c), "\t")[1]
+    return _public(c)[1]
 
 
 def public_extract(c: Collection) -> DataFrame:
-    """One wide row per live object: base row, all field frames, blob list.
-
-    Quotes are stripped before and again after the blob list is added, so the last
-    field of the base row is an inner cell only the second time.
-    """
-    rows = _tab_free(public_rows(c), "\t")[0]
-    names = rows.columns
-    rows = rows.select(*[strip_field_quotes(n, n == "id", n == names[-1], pairs=False).alias(n) for n in names])
-    merged = merge_list(rows, blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
-    return merged.select(*[
-        strip_field_quotes(replace_delim(n, MULTI, "|"), n == "id", n == "blob_ss").alias(n) for n in merged.columns
-    ])
+    """One wide row per live object: base row, all field frames, blob list."""
+    rows = _public(c)[0]
+    return merge_list(rows, blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
 
 
 def internal_rows(c: Collection) -> tuple[DataFrame, DataFrame]:
     """Full metadata rows without and with a pipe inside a cell."""
-    rows = metadata_extract(c)
-    scrubbed = rows.select(*[scrub_newlines(blank_if_null(F.col(n).cast("string"))).alias(n) for n in rows.columns])
-    return _tab_free(scrubbed, "|")
+    base, lookups = _metadata_parts(c)
+    key = "objectcsid_s"
+    cells = _as_cells(base, key).unionByName(lookups.withColumnRenamed("id", key).filter("value IS NOT NULL"))
+    fields = [n for n in METADATA_COLUMNS if n != key]
+    return _wide_rows(cells, fields, "csid_s", escape_backslash("value"), "|", key)
 
 
 def internal_extract(c: Collection) -> DataFrame:
     """Full metadata row, blob list and a running id; backslashes doubled."""
     merged = merge_list(internal_rows(c)[0], blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
     numbered = sequence_id(merged, "objectcsid_s", out="id")
-    return numbered.select(F.col("id").cast("string").alias("id"), *[escape_backslash(n).alias(n) for n in merged.columns])
+    return numbered.select(F.col("id").cast("string").alias("id"), *METADATA_COLUMNS, "blob_ss")

@@ -43,6 +43,13 @@ class Collection(Mapping[str, DataFrame]):
         except KeyError as missing:
             raise AttributeError(name) from missing
 
+    def is_open(self, name: str) -> bool:
+        return name in self._open
+
+    def with_tables(self, **tables: DataFrame) -> Collection:
+        """The same collection with some tables replaced or added."""
+        return Collection({**{n: (lambda n=n: self[n]) for n in self}, **{n: (lambda df=df: df) for n, df in tables.items()}})
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._openers)
 

@@ -19,7 +19,7 @@ ENGINE_CONF = {
 }
 
 
-def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
+def local_session(cores: str = "8", memory: str = "16g") -> SparkSession:
     """A session for tests and the local benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("vitrine")
     for key, value in ENGINE_CONF.items():
@@ -53,13 +53,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared scratch folder and forget how it was made.
+def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` to the shared scratch folder and go on from the written table.
 
-    The copy is a reliable checkpoint: it outlives the loss of any executor.
+    The copy outlives the loss of any executor, and later plans see its true size
+    and read only the columns they need.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
