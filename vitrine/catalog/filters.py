@@ -11,6 +11,7 @@ from vitrine.operators import aggregates as ag
 from vitrine.operators import filters as fl
 from vitrine.operators import joins as jn
 from vitrine.operators import ordering as od
+from vitrine.session import cut_lineage
 
 LIVE = "(SELECT id FROM {misc} WHERE lifecyclestate <> 'deleted')"
 
@@ -101,6 +102,7 @@ def _c09(c):
     moves = jn.related(c.objects.select("id"), c.relations, c.hierarchy, "movement_id", "Movement")
     moves = moves.join(c.movements.select(F.col("id").alias("movement_id"), "reasonformove"), "movement_id")
     moves = moves.join(c.hierarchy.select(F.col("id").alias("movement_id"), "isversion"), "movement_id")
+    moves = cut_lineage(moves, "moves")
     runs = [("bed alive", "alive", "beds"), ("bed dead", "dead", "beds"), ("taxa alive", "alive", "taxa"), ("taxa dead", "dead", "taxa"),
             ("taxa both", "dead or alive", "taxa")]
     return ag.union_all([

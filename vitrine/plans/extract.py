@@ -274,17 +274,24 @@ def group_titles(c: Collection) -> DataFrame:
     return multi_value_distinct(_from_objects(c, "Group").join(groups, "pid"), "id", {"grouptitle_ss": F.col("title")})
 
 
-def acquisition_fields(c: Collection) -> DataFrame:
-    """Reference numbers, both dates and credit lines, each list distinct."""
+ACQUISITION_FIELDS = ["acquisitionreferencenumber", "accessiondate", "acquisitiondate", "creditline"]
+
+
+def _acquired(c: Collection) -> DataFrame:
+    """Acquisitions with the first of each of their two dates."""
     acquired = c.acquisitions.select(F.col("id").alias("pid"), "acquisitionreferencenumber", "creditline")
     for name, list_name in (("accessiondate", "accessionDateGroup"), ("acquisitiondate", "acquisitionDateGroupList")):
         acquired = first_of_group(
             acquired, c.hierarchy.filter("primarytype = 'structuredDateGroup'"), c.structureddategroup, {"datedisplaydate": name},
             list_name=list_name, or_null=True, id="pid")
     record = c.hierarchy.filter("pos = 0 OR pos IS NULL").select(F.col("id").alias("pid"))
-    acquired = acquired.join(record, "pid", "left_semi")
-    fields = ["acquisitionreferencenumber", "accessiondate", "acquisitiondate", "creditline"]
-    return multi_value_distinct(_from_objects(c, "Acquisition").join(acquired, "pid"), "id", {f"{f}_ss": F.col(f) for f in fields})
+    return acquired.join(record, "pid", "left_semi")
+
+
+def acquisition_fields(c: Collection) -> DataFrame:
+    """Reference numbers, both dates and credit lines, each list distinct."""
+    rows = _from_objects(c, "Acquisition").join(_acquired(c), "pid")
+    return multi_value_distinct(rows, "id", {f"{f}_ss": F.col(f) for f in ACQUISITION_FIELDS})
 
 
 def exhibition_fields(c: Collection) -> DataFrame:
@@ -392,12 +399,6 @@ def production_date(c: Collection) -> DataFrame:
     return multi_value(rows, "id", values, order=["pos", "member_id"])
 
 
-SPECIAL_FRAMES = (
-    dimension_summary, group_titles, other_number, acquisition_fields, exhibition_fields, lender, loan_in_return, loan_out_return,
-    dimensions, loan_in_status, loan_out_status, hazard, conservation, condition, field_collection_date, production_date,
-)
-
-
 # ---- outputs ---------------------------------------------------------------------------------
 
 
@@ -408,15 +409,106 @@ def _as_cells(frame: DataFrame, key: str = "id") -> DataFrame:
     return frame.select(key, F.inline(cells)).filter("value IS NOT NULL")
 
 
-def field_frames(c: Collection) -> list[DataFrame]:
-    """Every template frame whose tables the collection has, and the special frames."""
-    frames = []
+# Fields of the special frames, in the order the frames are added.
+SPECIAL_FIELDS = """dimensionsummary_s grouptitle_ss othernumber_s acquisitionreferencenumber_ss accessiondate_ss acquisitiondate_ss creditline_ss
+exhibitionnumber_ss exhibitiontitle_ss lender_ss loaninreturndate_ss loanoutreturndate_ss dimensions_ss loaninstatus_ss loanoutstatus_ss hazard_ss
+conservationstatus_ss conservationstatusdate_ss condition_ss conditiondate_ss conditioncheckrefnumber_ss fieldcollectiondate_ss objectproductiondate_ss
+objectproductionscalardate_ss""".split()
+
+
+def frame_fields(c: Collection) -> list[str]:
+    """Fields that the frames add to the base row, for the tables the collection has."""
+    named = []
     for kind, pairs in FIELD_PAIRS.items():
         for table, field in pairs:
             source = {1: f"{field.lower()}group", 2: field.lower()}.get(kind, table)
             if table in c and source in c:
-                frames.append(field_extract(c, table, field, kind))
-    return frames + [build(c) for build in SPECIAL_FRAMES]
+                named.append(f"{field.lower()}_ss")
+    return named + SPECIAL_FIELDS
+
+
+def _clean(col: str) -> Column:
+    return collapse_ctrl_ws(refname_display(col))
+
+
+def _list_values(c: Collection) -> DataFrame:
+    """``(id, field, pos, value)`` of every repeating group and list of the objects and loans."""
+    groups = {
+        f"{field.lower()}_ss": (f"{field}Group", c[f"{field.lower()}group"], _clean(field.lower()))
+        for table, field in FIELD_PAIRS[1] if table in c and f"{field.lower()}group" in c
+    }
+    values = group_values(c.hierarchy, groups, pos=None, by="primarytype")
+    items = [
+        c[field].select("id", F.lit(f"{field}_ss").alias("field"), "pos", _clean("item").alias("value"))
+        for _, field in FIELD_PAIRS[2] if field in c
+    ]
+    return union_all([values, *items])
+
+
+def _procedure_values(c: Collection) -> DataFrame:
+    """``(id, field, value)``, distinct, of every related procedure's fields.
+
+    All procedure tables meet in long form and are joined to the links once.
+    """
+
+    def long(frame: DataFrame, values: Mapping[str, Column], side: str, doc_type: str | None) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(out).alias("field"), v.cast("string").alias("value")) for out, v in values.items()])
+        tags = [F.lit(side).alias("side"), F.lit(doc_type).cast("string").alias("wanted")]
+        return frame.select("pid", *tags, F.inline(pairs)).filter("value IS NOT NULL")
+
+    fields: dict[str, dict[str, Column]] = {}
+    for kind, rule in ((3, refname_display), (5, local_date)):
+        for table, field in FIELD_PAIRS[kind]:
+            if table in c:
+                fields.setdefault(table, {})[f"{field}_ss"] = rule(field)
+    fields["loansin"]["loaninreturndate_ss"] = local_date("loanreturndate")
+    fields["loansout"]["loanoutreturndate_ss"] = local_date("loanreturndate")
+    live = [long(c[table].withColumnRenamed("id", "pid"), values, "object", None) for table, values in fields.items()]
+    live.append(long(c.groups.withColumnRenamed("id", "pid"), {"grouptitle_ss": F.col("title")}, "subject", "Group"))
+    shown = c.exhibitions.select(F.col("id").alias("pid"), "exhibitionnumber", "title")
+    rest = [
+        long(_acquired(c), {f"{f}_ss": F.col(f) for f in ACQUISITION_FIELDS}, "subject", "Acquisition"),
+        long(shown, {"exhibitionnumber_ss": F.col("exhibitionnumber"), "exhibitiontitle_ss": F.col("title")}, "subject", "Exhibition"),
+    ]
+    procedures = union_all([not_deleted(union_all(live), c.misc, "pid"), *rest])
+    joined = c.links.join(procedures, ["pid", "side"]).filter("wanted IS NULL OR wanted = doctype")
+    return joined.select("id", "field", "value").distinct()
+
+
+def _procedure_list_values(c: Collection) -> DataFrame:
+    """``(id, field, pos, value)`` of every procedure's repeating group, per linked object."""
+    # output: procedure table, member type, group table, value, column that must be there
+    specs = {
+        "lender_ss": ("loansin", "lenderGroup", "lendergroup", _clean("lender"), "lender"),
+        "loaninstatus_ss": ("loansin", "loanStatusGroup", "loanstatusgroup", _clean("loanstatus"), "loanstatus"),
+        "loanoutstatus_ss": ("loansout", "loanStatusGroup", "loanstatusgroup", _clean("loanstatus"), "loanstatus"),
+        "hazard_ss": ("conditionchecks", "hazardGroup", "hazardgroup", _clean("hazard"), "hazard"),
+        "conservationstatus_ss": ("conservation", "conservationStatusGroup", "conservationstatusgroup", refname_display("status"), "status"),
+        "conservationstatusdate_ss": ("conservation", "conservationStatusGroup", "conservationstatusgroup", local_date("statusdate"), "status"),
+    }
+    groups = {out: (kind, c[group].filter(F.col(needed).isNotNull()), value) for out, (_, kind, group, value, needed) in specs.items()}
+    values = group_values(c.hierarchy, groups, pos=None, by="primarytype").withColumnRenamed("id", "pid")
+    owners = union_all([c[table].select(F.col("id").alias("pid"), F.lit(out).alias("field")) for out, (table, *_) in specs.items()])
+    values = values.join(not_deleted(owners, c.misc, "pid"), ["pid", "field"], "left_semi")
+    return _links(c, "object", "CollectionObject").join(values, "pid").select("id", "field", "pos", "value")
+
+
+def public_cells(c: Collection) -> tuple[DataFrame, list[str]]:
+    """Every cell ``(id, field, value)`` of the wide rows, and the fields in order.
+
+    List values of all fields share one aggregate by (id, field).
+    """
+    base = basic_extract(c)
+    related_values = _procedure_values(c).select("id", "field", F.lit(None).cast("int").alias("pos"), "value")
+    values = union_all([_list_values(c), _procedure_list_values(c), related_values]).filter("value IS NOT NULL")
+    lists = values.groupBy("id", "field").agg(F.expr(f"listagg(value, '{MULTI}') WITHIN GROUP (ORDER BY pos, value)").alias("value"))
+    singles = group_values(c.hierarchy, {
+        "dimensionsummary_s": ("measuredPartGroupList", c.measuredpartgroup, F.col("dimensionsummary")),
+        "othernumber_s": ("otherNumberList", c.othernumber, F.col("numbervalue")),
+    }).select("id", "field", "value")
+    frames = [base, dimensions(c), condition(c), field_collection_date(c), production_date(c)]
+    cells = union_all([lists, singles, *[_as_cells(f) for f in frames]])
+    return cells, [n for n in base.columns if n != "id"] + frame_fields(c)
 
 
 def blob_lists(c: Collection) -> DataFrame:
@@ -444,11 +536,7 @@ def _wide_rows(cells: DataFrame, fields: list[str], known: str, value: Column, s
 
 
 def _public(c: Collection) -> tuple[DataFrame, DataFrame]:
-    c = with_links(c)
-    base = basic_extract(c)
-    frames = field_frames(c)
-    fields = [n for frame in [base, *frames] for n in frame.columns if n != "id"]
-    cells = union_all([_as_cells(f) for f in [base, *frames]])
+    cells, fields = public_cells(with_links(c))
     # quotes go before and again after the blob list is added, so the last field of
     # the row is an inner cell only the second time
     once = F.when(F.col("field") == fields[-1], strip_field_quotes("value", last=True, pairs=False)).otherwise(strip_field_quotes("value", pairs=False))
