@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "filters", "joins", "trees", "statistics", "extracts")
+MODULES = ("text", "filters", "joins", "trees", "statistics", "extracts", "reports")
 
 
 def _load() -> None:

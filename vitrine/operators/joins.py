@@ -106,9 +106,15 @@ def group_values(
     return joined.select(F.col("parentid").alias("id"), "field", "pos", "value")
 
 
-def pivot_fields(long: DataFrame, fields: Sequence[str], key: str = "id") -> DataFrame:
+def pivot_fields(long: DataFrame, fields: Sequence[str], key: str = "id", *more: Column) -> DataFrame:
     """``(key, field, value)`` as one row per key."""
-    return long.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+    return long.groupBy(key).agg(*[F.expr(f"max(CASE WHEN field = '{f}' THEN value END) AS `{f}`") for f in fields], *more)
+
+
+def long_form(fields: Sequence[str]) -> Column:
+    """Generator of ``(field, value)`` rows from columns of one row."""
+    cells = ", ".join(f"struct('{f}' AS field, CAST(`{f}` AS STRING) AS value)" for f in fields)
+    return F.expr(f"inline(array({cells}))")
 
 
 # ---- relations ----------------------------------------------------------------------------

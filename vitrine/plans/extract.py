@@ -14,7 +14,7 @@ from vitrine.functions.text import (
 from vitrine.operators.aggregates import multi_value, multi_value_distinct, union_all
 from vitrine.operators.filters import non_blank, non_null, not_deleted
 from vitrine.operators.joins import (
-    first_item, first_of_group, group_values, media_rows, members, merge_list, pivot_fields, related, with_csid,
+    first_of_group, group_values, long_form, media_rows, members, merge_list, pivot_fields, related, with_csid,
 )
 from vitrine.operators.ordering import sequence_id
 from vitrine.plans.model import Collection
@@ -405,8 +405,7 @@ def production_date(c: Collection) -> DataFrame:
 def _as_cells(frame: DataFrame, key: str = "id") -> DataFrame:
     """A frame ``(key, fields…)`` in long form ``(key, field, value)``, nulls left out."""
     fields = [f for f in frame.columns if f != key]
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
-    return frame.select(key, F.inline(cells)).filter("value IS NOT NULL")
+    return frame.select(key, long_form(fields)).filter("value IS NOT NULL")
 
 
 # Fields of the special frames, in the order the frames are added.
@@ -515,56 +514,52 @@ def blob_lists(c: Collection) -> DataFrame:
     return media_rows(c).filter("objectcsid IS NOT NULL").select("objectcsid", "blobcsid")
 
 
-def _wide_rows(cells: DataFrame, fields: list[str], known: str, value: Column, sep: str, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Cells as rows without and with a separator inside a cell.
+def _wide_rows(
+    cells: DataFrame, fields: list[str], known: str, value: Column, sep: str, key: str = "id", broken: bool = False
+) -> DataFrame:
+    """Cells as rows, without (or only) the rows that have a separator inside a cell.
 
     ``cells`` are scrubbed first; ``value`` then cleans a cell of the good rows.  The
     cells of base rows and frames meet in one aggregate by key, and a key without
     the ``known`` field is not in the base.  A missing cell is blank.
     """
     scrubbed = cells.withColumn("value", scrub_newlines("value"))
-    broken = F.max(F.col("value").contains(sep)).alias("_broken")
+    marked = scrubbed.withColumn("_broken", F.col("value").contains(sep))
+    shown = marked if broken else marked.withColumn("value", value)
+    wide = pivot_fields(shown, fields, key, F.max("_broken").alias("_broken"))
+    kept = wide.filter(F.col(known).isNotNull() & (F.col("_broken") == broken))
+    return kept.drop("_broken").fillna("", fields)
 
-    def rows(shown: Column) -> DataFrame:
-        named = scrubbed.select(key, "field", shown.alias("shown"), "value")
-        wide = named.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("shown"))).alias(f) for f in fields], broken)
-        return wide.filter(F.col(known).isNotNull())
 
-    good = rows(value).filter(~F.col("_broken")).drop("_broken")
-    bad = rows(F.col("value")).filter("_broken").drop("_broken")
-    return good.fillna("", fields), bad.fillna("", fields)
-
-
-def _public(c: Collection) -> tuple[DataFrame, DataFrame]:
+def public_rows(c: Collection, broken: bool = False) -> DataFrame:
     cells, fields = public_cells(with_links(c))
     # quotes go before and again after the blob list is added, so the last field of
     # the row is an inner cell only the second time
     once = F.when(F.col("field") == fields[-1], strip_field_quotes("value", last=True, pairs=False)).otherwise(strip_field_quotes("value", pairs=False))
-    return _wide_rows(cells, fields, "csid_s", strip_field_quotes(replace_delim(once, MULTI, "|")), "\t")
+    return _wide_rows(cells, fields, "csid_s", strip_field_quotes(replace_delim(once, MULTI, "|")), "\t", broken=broken)
 
 
 def public_errors(c: Collection) -> DataFrame:
     """Rows that a tab inside a cell would make too wide."""
-    return _public(c)[1]
+    return public_rows(c, broken=True)
 
 
 def public_extract(c: Collection) -> DataFrame:
     """One wide row per live object: base row, all field frames, blob list."""
-    rows = _public(c)[0]
-    return merge_list(rows, blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
+    return merge_list(public_rows(c), blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
 
 
-def internal_rows(c: Collection) -> tuple[DataFrame, DataFrame]:
-    """Full metadata rows without and with a pipe inside a cell."""
+def internal_rows(c: Collection, broken: bool = False) -> DataFrame:
+    """Full metadata rows without (or only with) a pipe inside a cell."""
     base, lookups = _metadata_parts(c)
     key = "objectcsid_s"
     cells = _as_cells(base, key).unionByName(lookups.withColumnRenamed("id", key).filter("value IS NOT NULL"))
     fields = [n for n in METADATA_COLUMNS if n != key]
-    return _wide_rows(cells, fields, "csid_s", escape_backslash("value"), "|", key)
+    return _wide_rows(cells, fields, "csid_s", escape_backslash("value"), "|", key, broken)
 
 
 def internal_extract(c: Collection) -> DataFrame:
     """Full metadata row, blob list and a running id; backslashes doubled."""
-    merged = merge_list(internal_rows(c)[0], blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
+    merged = merge_list(internal_rows(c), blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
     numbered = sequence_id(merged, "objectcsid_s", out="id")
     return numbered.select(F.col("id").cast("string").alias("id"), *METADATA_COLUMNS, "blob_ss")
