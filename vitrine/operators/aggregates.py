@@ -34,6 +34,12 @@ def multi_value_distinct(df: DataFrame, id: str, values: Mapping[str, Column], s
     Duplicates go before the shuffle, so a hub's repeated values cost one row each.
     ``keep_empty`` keeps ids whose values are all null.
     """
+    if len(values) == 1:
+        (out, value), = values.items()
+        pairs = df.select(id, value.cast("string").alias(out)).distinct()
+        if not keep_empty:
+            pairs = pairs.filter(F.col(out).isNotNull())
+        return pairs.groupBy(id).agg(_cell(out, [out], sep).alias(out))
     pairs = F.array(*[F.struct(F.lit(out).alias("field"), v.cast("string").alias("value")) for out, v in values.items()])
     long = df.select(id, F.inline(pairs)).distinct()
     if not keep_empty:
