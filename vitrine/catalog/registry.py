@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.catalog.fixtures import collection, oracle
 from vitrine.plans.model import Collection
+from vitrine.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +20,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Collection], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = lambda spark, sf_dir: fn(collection(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(collection(tune(spark), sf_dir))
         if sql is not None:
             ORACLES[name] = oracle(sql)
         return fn

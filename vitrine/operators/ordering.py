@@ -5,7 +5,7 @@ limit before the shuffle: a hot key sends one row per map task.  Full ranks and
 running totals never put a group into one task: rows are range-partitioned on
 (group, order), added up within each partition, and shifted by the totals of the
 earlier partitions.  Only groups that span partitions need a shift, so that
-table has at most two rows per partition.
+table has at most two rows per partition, and is broadcast for that reason.
 """
 
 from __future__ import annotations
@@ -69,9 +69,21 @@ def preceding_total(df: DataFrame, group: Sequence[str], order: Sequence[str], v
 
 
 def sequence_id(df: DataFrame, *order: str, out: str = "seq") -> DataFrame:
-    """Number the rows 1..n in a total order, without sorting in one task."""
-    counted = preceding_total(df.withColumn("_one", F.lit(1).cast("bigint")), [], order, "_one", "_before")
-    return counted.withColumn(out, F.col("_before") + 1).drop("_one", "_before")
+    """Number the rows 1..n in a total order, without sorting in one task.
+
+    The rows are shuffled once, by range, and stored with their place in their
+    partition; what each partition must add comes from one count per partition.
+    """
+    keys = sort_keys(*order)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the id holds the partition above bit 33 and the row's place in it below
+    placed = cut_lineage(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    part, at = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    joined = placed.withColumn("_part", part).join(F.broadcast(shift), "_part")
+    return joined.select(*df.columns, (F.col("_shift") + at + 1).alias(out))
 
 
 def rank_in_list(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rank") -> DataFrame:

@@ -25,6 +25,7 @@ from vitrine.operators.joins import (
 )
 from vitrine.operators.ordering import distinct_on, latest_by
 from vitrine.plans.model import Collection
+from vitrine.session import cut_lineage
 
 Keys = DataFrame | None
 
@@ -47,8 +48,11 @@ def _lookups(
     """Adds first-of-list values, one column each.
 
     Groups are given as output: (list name or member type, group table, column).
-    Everything is read in long form and pivoted once.
+    Everything is read in long form and pivoted once.  The rows are stored first:
+    they are read for each kind of lookup, and their true size decides how the
+    lists are narrowed to them.
     """
+    rows = cut_lineage(rows, "report")
     ids = rows.select("id")
     parts = []
     for by, groups in (("name", by_name), ("primarytype", by_type)):
@@ -120,14 +124,14 @@ def inventory(c: Collection, locations: DataFrame | str | None = None, variant:
             "title": ("titleGroupList", "titlegroup", "title"),
             "artist": ("objectProductionPersonGroupList", "objectproductionpersongroup", "objectproductionperson"),
         })
-        rows = distinct_on(rows, ["locationkey", "objectnumber", "objectcsid"], "moveid")
+        rows = distinct_on(rows, ["termdisplayname", "locationkey", "objectnumber", "objectcsid"], "moveid")
         return rows.select(
             "storagelocation", "locationkey", "locationdate", "objectnumber", "objectcount", "title", "movementcsid", "movementrefname",
             "objectcsid", "moveid", "subjectdocumenttype", "objectdocumenttype", F.col("computedcrate").alias("craterefname"), "crate",
             refname_display("artist").alias("artist"))
     rows = _with_storage(located_objects(c, locations), c).join(number, "id")
     rows = _lookups(c, rows, by_name={"objectname": ("objectNameList", "objectnamegroup", "objectname")})
-    rows = distinct_on(rows, ["locationkey", "sortableobjectnumber", "objectcsid"], "moveid")
+    rows = distinct_on(rows, ["termdisplayname", "locationkey", "sortableobjectnumber", "objectcsid"], "moveid")
     return rows.select(
         "storagelocation", "locationkey", "locationdate", "objectnumber", "objectcount",
         blank_if_null(refname_display("objectname")).alias("objectname"), "movementcsid", "movementrefname", "objectcsid", "moveid",
@@ -209,8 +213,13 @@ computedcrate crate briefdescription fieldcollector donor altnum altnumtype pcre
 fieldlocverbatim fieldcollectiondate""".split()
 
 
-def key_info(c: Collection, locations: DataFrame | str | None = None, variant: str = "ethnographic") -> DataFrame:
-    """Review rows of the objects at a location, in the columns of one of three collections."""
+def key_info(
+    c: Collection, locations: DataFrame | str | None = None, variant: str = "ethnographic", with_location: bool = False
+) -> DataFrame:
+    """Review rows of the objects at a location, in the columns of one of three collections.
+
+    ``with_location`` adds the location's own name to the ethnographic rows.
+    """
     if variant == "general":
         at = located_objects(c, locations).select("id", F.col("objectcsid").alias("csid")).distinct()
         rows = _general_columns(c, at)
@@ -236,8 +245,8 @@ def key_info(c: Collection, locations: DataFrame | str | None = None, variant: s
             "creditline", "legalstatus", F.lit("dd MM YYYY").alias("acqdate"), "briefdescription", "movementnote", *ext[2:],
             "artistrefname", "artistrolerefname", "collectionrefname")
     rows = _ethno_columns(c, _with_storage(located_objects(c, locations), c, ["inventorycount"]))
-    rows = distinct_on(rows, ["locationkey", "sortableobjectnumber", "objectcsid"], "moveid", "accid")
-    return rows.select("storagelocation", "locationkey", "locationdate", *ETHNO_OUT)
+    rows = distinct_on(rows, ["termdisplayname", "locationkey", "sortableobjectnumber", "objectcsid"], "moveid", "accid")
+    return rows.select("storagelocation", "locationkey", "locationdate", *ETHNO_OUT, *(["termdisplayname"] if with_location else []))
 
 
 def group_members(c: Collection, title: str, n: int = MAX_ROWS) -> DataFrame:
@@ -370,11 +379,10 @@ def packing_list(c: Collection, lo: str, hi: str, terms: Keys = None) -> DataFra
     object stays as an empty heading, one whose objects the places exclude does not.
     """
     locations = _ranged(c, lo, hi)
-    found = key_info(c, locations)
+    found = cut_lineage(key_info(c, locations, with_location=True), "packing")
     kept = under_place(found, "fieldcollectionplace", terms)
     kept = kept.select(F.col("storagelocation").alias("heading"), "locationkey", "objectnumber", "objectname", "objectcount", "fieldcollectionplace", "culturalgroup", "objectcsid")
-    names = located_objects(c, locations).select("termdisplayname").distinct()
-    empty = locations.join(names, "termdisplayname", "left_anti")
+    empty = locations.join(found.select("termdisplayname"), "termdisplayname", "left_anti")
     blanks = empty.select(
         F.col("termdisplayname").alias("heading"), F.replace("termdisplayname", F.lit(" "), F.lit("0")).alias("locationkey"),
         *[F.lit(None).cast(kept.schema[n].dataType).alias(n) for n in kept.columns[2:]])
