@@ -55,21 +55,21 @@ def shop(spark):
     return Collection.of(
         objects=spark.createDataFrame(objects, "id string, objectnumber string"),
         objects_ext=spark.createDataFrame([("o1", "u)'Box 7'"), ("o2", "u)'Box 7'"), ("o3", None)], "id string, computedcrate string"),
-        locations=spark.createDataFrame([("l1", "u)'Kroeber, 20A, AA  1,  1'")], "id string, refname string"),
+        locations=spark.createDataFrame([("l1", "u)'North Hall, 2A, AA  1,  1'")], "id string, refname string"),
         misc=spark.createDataFrame([("o1", "x"), ("o2", "x"), ("o3", "deleted"), ("l1", "x")], "id string, lifecyclestate string"),
         hierarchy=spark.createDataFrame([("o1", "c1"), ("o2", "c2"), ("o3", "c3")], "id string, name string"))
 
 
 HANDLERS = [("A1234567", "urn:p)'Ann'")]
 GOOD = [
-    '"C","A1234567","07/22/2013 15:54","8-4216","Box 7","Kroeber, 20A, AA  1,  1"', '"M","A1234567","8-4216","Kroeber, 20A, AA  1,  1","07/22/2013 15:54"  ',
-    '"R","A1234567","07/11/2013 17:29","Box 7","Kroeber, 20A, AA  1,  1"', '"R","A1234567","07/11/2013 17:29","Box 7","Kroeber, 20A, AA  1,  1"', "no scan",
+    '"C","A1234567","07/22/2013 15:54","8-4216","Box 7","North Hall, 2A, AA  1,  1"', '"M","A1234567","8-4216","North Hall, 2A, AA  1,  1","07/22/2013 15:54"  ',
+    '"R","A1234567","07/11/2013 17:29","Box 7","North Hall, 2A, AA  1,  1"', '"R","A1234567","07/11/2013 17:29","Box 7","North Hall, 2A, AA  1,  1"', "no scan",
 ]
 BAD = {
-    '"X","A1234567"': "Move codes are M, C, or R!", '"M","B9","8-4216","Kroeber, 20A, AA  1,  1","07/22/2013 15:54"': "Handler ID not recognized!",
-    '"M","A1234567","9-1","Kroeber, 20A, AA  1,  1","07/22/2013 15:54"': "Object Number not found!",
-    '"M","A1234567","8-4216","Attic","07/22/2013 15:54"': "Location not found!", '"M","A1234567","8-4216","Kroeber, 20A, AA  1,  1","22/07/2013"': "Date formatting incorrect!",
-    '"R","A1234567","07/11/2013 17:29","Box 9","Kroeber, 20A, AA  1,  1"': "Crate not found!", '"C","A1234567"': "Date formatting incorrect!",
+    '"X","A1234567"': "Move codes are M, C, or R!", '"M","B9","8-4216","North Hall, 2A, AA  1,  1","07/22/2013 15:54"': "Handler ID not recognized!",
+    '"M","A1234567","9-1","North Hall, 2A, AA  1,  1","07/22/2013 15:54"': "Object Number not found!",
+    '"M","A1234567","8-4216","Attic","07/22/2013 15:54"': "Location not found!", '"M","A1234567","8-4216","North Hall, 2A, AA  1,  1","22/07/2013"': "Date formatting incorrect!",
+    '"R","A1234567","07/11/2013 17:29","Box 9","North Hall, 2A, AA  1,  1"': "Crate not found!", '"C","A1234567"': "Date formatting incorrect!",
 }
 
 
@@ -79,7 +79,7 @@ def test_scanner_upload(spark, shop):
     checked = ch.check_scans(shop, lines(GOOD), handlers)
     assert checked.count() == 3 and checked.filter("error IS NOT NULL").count() == 0
     moves = sorted((r["code"], r["objectcsid"], r["crate"], r["locationrefname"], r["summary"]) for r in ch.scanner_moves(shop, checked, "urn:r)'Inventory'").collect())
-    place = "u)'Kroeber, 20A, AA  1,  1'"
+    place = "u)'North Hall, 2A, AA  1,  1'"
     assert moves == [("C", "c1", "Box 7", place, "2013-07-22 (Inventory)"), ("M", "c1", "", place, "2013-07-22 (Inventory)"),
                      ("R", "c1", "Box 7", place, "2013-07-11 (Inventory)"), ("R", "c2", "Box 7", place, "2013-07-11 (Inventory)")]
     mixed = ch.check_scans(shop, lines([*GOOD, *BAD]), handlers)

@@ -39,7 +39,7 @@ def test_cleaning(apply):
     assert apply(lambda c: tx.strip_field_quotes(c, pairs=False), 'a""b') == ['a""b']
     assert apply(tx.escape_backslash, "a\\b") == ["a\\\\b"]
     assert apply(tx.split_multi, "a|b||c", "", None) == [["a", "b", "", "c"], [], []]
-    assert apply(tx.slug, "Kroeber, 20A, W B") == ["kroeber_20a_w_b"]
+    assert apply(tx.slug, "North Hall, 2A, W B") == ["north_hall_2a_w_b"]
     assert apply(tx.tree_label, '@x "y"', "z") == ["<x 'y'> ", "z"]
     assert apply(tx.null_if_blank, "", None, "a") == [None, None, "a"]
 

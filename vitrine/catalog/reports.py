@@ -171,7 +171,7 @@ def bed(condition: str) -> str:
       LEFT JOIN {{taxa}} x ON x.refname = t.taxon LEFT JOIN {{location_terms}} l ON l.termdisplayname = {display('o.currentlocation')}
       LEFT JOIN {{locations}} k ON k.refname = o.currentlocation WHERE {condition}"""
     return f"""SELECT gardenlocation, shortgardenlocation, locationtype, recordstatus, objectnumber, {display('taxon')} AS determination, {display('family')} AS family, objectcsid, rare, deadflag,
-      CAST(locationdate + INTERVAL 8 HOUR AS DATE) AS actiondate, reasonformove AS actionreason, {display('previouslocation')} AS previouslocation
+      strftime(locationdate + INTERVAL 8 HOUR, '%Y-%m-%d') AS actiondate, reasonformove AS actionreason, {display('previouslocation')} AS previouslocation
       FROM ({pick(rows, 'gardenlocation, number', 'objectcsid, movement_id')}) z"""
 
 
@@ -183,6 +183,14 @@ DEAD = f"o.isversion IS TRUE AND o.reasonformove = 'Dead' AND o.movement_id IN (
     UNION ALL SELECT 'dead', * FROM ({bed(DEAD)}) b WHERE (deadflag = 'true') OR actionreason = 'Dead'""")
 def _r23(c):
     p = _plants(c)
+    return _day_text(_bed_lists(p))
+
+
+def _day_text(df):
+    return df.withColumn("actiondate", F.col("actiondate").cast("string"))
+
+
+def _bed_lists(p):
     alive = rp.bed_list(p, "alive", rare=["false"], dead=["false"]).select(F.lit("alive").alias("mode"), "*")
     return alive.unionByName(rp.bed_list(p, "dead", dead=["true"]).select(F.lit("dead").alias("mode"), "*"))
 
@@ -190,7 +198,7 @@ def _r23(c):
 def taxa(condition: str, distinct: str = "") -> str:
     return f"""SELECT {distinct} o.objectnumber, {display('t.taxon')} AS determination, {display('x.family')} AS family, {display('o.currentlocation')} AS gardenlocation, o.recordstatus AS dataquality,
       CASE WHEN g.fieldlocplace <> '' THEN {display('g.fieldlocplace')} WHEN g.fieldlocplace IS NULL AND g.taxonomicrange IS NOT NULL THEN 'Geographic range: ' || g.taxonomicrange END AS locality,
-      o.objectcsid, o.rare, o.deadflag, {display('u.taxon')} AS determinationnoauth, o.reasonformove, CAST(o.locationdate + INTERVAL 8 HOUR AS DATE) AS actiondate,
+      o.objectcsid, o.rare, o.deadflag, {display('u.taxon')} AS determinationnoauth, o.reasonformove, strftime(o.locationdate + INTERVAL 8 HOUR, '%Y-%m-%d') AS actiondate,
       {display('o.previouslocation')} AS previouslocation FROM ({PLANT}) o {first('t', 'taxonomicIdentGroupList', 'taxonomicidentgroup')}
       LEFT JOIN (SELECT h.parentid, y.taxon FROM {{hierarchy}} h LEFT JOIN {{taxonomicidentgroup}} y ON y.id = h.id WHERE h.name LIKE '%:taxonomicIdentGroupList' AND h.pos = 1) u ON u.parentid = o.id
       {first('g', 'localityGroupList', 'localitygroup')} LEFT JOIN {{taxa}} x ON x.refname = t.taxon
@@ -204,7 +212,8 @@ T_DEAD = "o.reasonformove = 'Dead'"
 @query("r24_all_taxa", f"SELECT 'dead' AS mode, * FROM ({taxa(T_DEAD)}) a UNION ALL SELECT 'both', * FROM ({taxa(T_ALIVE)} UNION {taxa(T_DEAD)}) b")
 def _r24(c):
     p = _plants(c)
-    return rp.all_taxa(p, "dead").select(F.lit("dead").alias("mode"), "*").unionByName(rp.all_taxa(p, "dead or alive").select(F.lit("both").alias("mode"), "*"))
+    dead, both = (rp.all_taxa(p, mode).select(F.lit(name).alias("mode"), "*") for mode, name in (("dead", "dead"), ("dead or alive", "both")))
+    return _day_text(dead.unionByName(both))
 
 
 @query("r25_authority_scan", down("AFRICA", 1) + f""", terms AS (SELECT term FROM down UNION SELECT 'AFRICA')
@@ -212,12 +221,13 @@ def _r24(c):
     FROM ({taxa(T_ALIVE)}) t WHERE locality IN (SELECT term FROM terms) AND rare = 'false'""")
 def _r25(c):
     terms = hi.descendants(place_edges(c), "AFRICA").select("term")
-    return rp.authority_scan(rp.all_taxa(_plants(c), "alive"), terms, "locality", rare=["false"])
+    return _day_text(rp.authority_scan(rp.all_taxa(_plants(c), "alive"), terms, "locality", rare=["false"]))
 
 
 @query("r26_advanced_search", f"""SELECT * FROM ({taxa(T_ALIVE)}) t WHERE determination IN ('Brand#3', 'Brand#7', 'Brand#9') AND locality IN ('NATION_2', 'NATION_6', 'NATION_8') AND deadflag = 'false'""")
 def _r26(c):
-    return rp.advanced_search(rp.all_taxa(_plants(c), "alive"), taxa=["Brand#3", "Brand#7", "Brand#9"], places=["NATION_2", "NATION_6", "NATION_8"], dead=["false"])
+    plants = rp.all_taxa(_plants(c), "alive")
+    return _day_text(rp.advanced_search(plants, taxa=["Brand#3", "Brand#7", "Brand#9"], places=["NATION_2", "NATION_6", "NATION_8"], dead=["false"]))
 
 
 # ---- lists over a range of locations ------------------------------------------------------------

@@ -104,8 +104,8 @@ def _r41(c):
     return stored.unionByName(st.stats_table(c.collectionstats, "db", "objByObjType", recompute=True).withColumn("percents", F.lit("computed")))
 
 
-@query("r42_stats_time", f"""SELECT CAST(isoruntime AS DATE) AS day, statvalue AS value, {METRIC} AS metric, label AS category FROM {{collectionstats}}
+@query("r42_stats_time", f"""SELECT strftime(isoruntime, '%Y-%m-%d') AS day, statvalue AS value, {METRIC} AS metric, label AS category FROM {{collectionstats}}
     WHERE statgroup = 'objByObjType' AND ((stattarget = 'musNumbers' AND statmetric = 'totalMusNoCount') OR (stattarget = 'objects' AND statmetric = 'trueObjectCount')
       OR (stattarget = 'pieces' AND statmetric = 'truePieceCount'))""")
 def _r42(c):
-    return st.stats_time(c.collectionstats, "objByObjType")
+    return st.stats_time(c.collectionstats, "objByObjType").withColumn("day", F.col("day").cast("string"))
