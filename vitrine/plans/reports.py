@@ -280,11 +280,12 @@ def object_rows(c: Collection, lo: str | Column, hi: str | Column | None = None,
 def object_list(c: Collection, lo: str, hi: str, mode: str = "range", n: int = 1000) -> DataFrame:
     """Existing objects between the nearest sort keys: the collision check of new numbers."""
     known = numbered_objects(c)
-    named = _lookups(c, known, by_name={"objectname": ("objectNameList", "objectnamegroup", "objectname")}, or_null=True)
+    found = nearest_bounds(distinct_on(known, ["sortableobjectnumber"], "id"), "sortableobjectnumber", lo, hi, mode, n, known=known)
+    named = _lookups(c, found, by_name={"objectname": ("objectNameList", "objectnamegroup", "objectname")}, or_null=True)
     member = members(c.hierarchy, "objectNameList", pos=0, or_null=True).select(F.col("parentid").alias("id"), "member_id")
+    member = member.join(found.select("id"), "id", "left_semi")
     member = member.join(c.hierarchy.select(F.col("id").alias("member_id"), F.col("name").alias("membername")), "member_id").drop("member_id")
-    first = distinct_on(named.join(member, "id", "left"), ["sortableobjectnumber"], "id", "membername")
-    rows = nearest_bounds(first, "sortableobjectnumber", lo, hi, mode, n, known=known)
+    rows = distinct_on(named.join(member, "id", "left"), ["sortableobjectnumber"], "id", "membername")
     return rows.select("objectnumber", "sortableobjectnumber", blank_if_null(refname_display("objectname")).alias("objectname"), F.col("membername").alias("objectcsid"))
 
 
