@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from vitrine.catalog import all_oracles, all_queries
 from vitrine.catalog.fixtures import GIVEN, VIEWS, collection, oracle
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +19,8 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(all_oracles()) == set(all_queries())
+    assert set(all_queries()) <= set(entry.queries())
 
 
 def test_every_sql_text_binds(duck):
