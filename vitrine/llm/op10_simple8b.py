@@ -34,93 +34,106 @@ from vitrine.session import cut_lineage, scratch_path
 #: Ids to a word, and bits to an id, for selectors 1 to 14; 0 is the escape.
 COUNTS = (0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
-MAGIC, HEADER = b"S8B1", struct.Struct("<4sIIII")
+MAGIC, HEADER = b"S8B1", struct.Struct("<4sIIIII")
 DOCUMENT = struct.Struct("<qBQII")
-BLOCK_IDS = 1 << 16
+BLOCK_IDS, MARK = 1 << 16, 256
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def pack(ids: np.ndarray) -> np.ndarray:
-    """The words for ``ids``: each takes as many of the next ids as any selector allows."""
-    ids = ids.astype(np.uint64)
-    n = len(ids)
-    width = np.zeros(n, dtype=np.int64)
-    for shift in (32, 16, 8, 4, 2, 1):  # bit lengths, by halving
-        high = (ids >> (width + shift).astype(np.uint64)) > 0
-        width[high] += shift
-    width += (ids >> width.astype(np.uint64)) > 0
-    # fits[i]: the selector of the most ids that fit from i on; the last word may be part empty.
-    fits = np.zeros(n, dtype=np.int64)
+def fitting(width: np.ndarray) -> np.ndarray:
+    """For each id, given the ids' bit widths, the selector of the most ids that fit from it on (0: an escape).
+
+    The last word of a block may be part empty.
+    """
+    n, widest = len(width), int(width.max())
+    fits = np.zeros(n, dtype=np.uint8)
     for selector in range(14, 0, -1):
-        over = np.concatenate(([0], np.cumsum(width > WIDTHS[selector])))
-        ends = np.minimum(np.arange(n) + COUNTS[selector], n)
-        fits[over[ends] == over[:-1]] = selector
-    starts, at, steps = [], 0, fits.tolist()
+        count, bits = COUNTS[selector], WIDTHS[selector]
+        if widest <= bits:
+            fits[:] = selector
+            continue
+        narrow = width <= bits
+        at = np.flatnonzero(narrow)
+        wide_last = n - 1 - int(np.argmin(narrow[::-1]))
+        if len(at) < n // 4:  # few: look at them alone
+            runs = at[: max(len(at) - count + 1, 0)]
+            fits[runs[at[count - 1 :] - runs == count - 1]] = selector
+        else:
+            over = np.zeros(n + 1, dtype=np.int32)
+            np.cumsum(~narrow, out=over[1:])
+            if n >= count:
+                fits[: n - count + 1][over[count:] == over[: n - count + 1]] = selector
+        fits[max(wide_last + 1, n - count + 1) :] = selector
+    return fits
+
+
+def widths(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id needs."""
+    if not len(ids) or int(ids.max()) < 1 << 52:
+        return np.frexp(ids.astype(np.float64))[1]
+    high = ids >> np.uint64(32)
+    return np.where(high > 0, 32 + np.frexp(high.astype(np.float64))[1], np.frexp((ids & np.uint64(0xFFFFFFFF)).astype(np.float64))[1])
+
+
+def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words for ``ids``, and where escapes stand: each word takes as many of the next ids as any selector allows."""
+    ids = ids.astype(np.uint64)
+    fits = fitting(widths(ids)) if len(ids) else np.zeros(0, dtype=np.uint8)
+    starts, at, steps, n = [], 0, np.maximum(np.array(COUNTS), 1)[fits].tolist(), len(ids)
     while at < n:
         starts.append(at)
-        at += COUNTS[steps[at]] or 1
+        at += steps[at]
     starts = np.array(starts, dtype=np.int64)
     chosen = fits[starts]
-    place = np.cumsum(1 + (chosen == 0)) - 1 - (chosen == 0)
-    words = np.zeros(len(starts) + int((chosen == 0).sum()), dtype=np.uint64)
+    escape = chosen == 0
+    place = np.arange(len(starts)) + np.cumsum(escape) - escape
+    words = np.zeros(len(starts) + int(escape.sum()), dtype=np.uint64)
     padded = np.concatenate((ids, np.zeros(60, dtype=np.uint64)))
-    for selector in np.unique(chosen):
-        mine = chosen == selector
-        if selector == 0:
-            words[place[mine] + 1] = ids[starts[mine]]
+    for selector in np.unique(chosen).tolist():
+        mine = starts[chosen == selector]
+        if not selector:
+            words[place[escape] + 1] = ids[mine]
             continue
-        count, bits = COUNTS[selector], WIDTHS[selector]
-        shifts = (np.arange(count) * bits).astype(np.uint64)
-        taken = padded[starts[mine][:, None] + np.arange(count)] << shifts
-        # Behind the end of a part-empty word stand zeros, not the padding's neighbours: ``padded`` ends in zeros.
-        words[place[mine]] = np.bitwise_or.reduce(taken, axis=1) | np.uint64(int(selector) << 60)
-    return words
-
-
-def unpack(words: np.ndarray, offsets: list[np.ndarray], n: int) -> np.ndarray:
-    """The ``n`` ids of a block; ``offsets[s]`` are the places of the words of selector ``s``."""
-    counts = np.zeros(len(words), dtype=np.int64)
-    for selector, at in enumerate(offsets):
-        counts[at] = COUNTS[selector] or 1
+        word = np.full(len(mine), selector << 60, dtype=np.uint64)
+        for i in range(COUNTS[selector]):
+            word |= padded[mine + i] << np.uint64(i * WIDTHS[selector])
+        words[place[chosen == selector]] = word
+    return words, place[escape]
+
+
+def held(words: np.ndarray, escapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Selector of every word (15: a raw word behind an escape), and ids it holds."""
+    selectors = (words >> np.uint64(60)).astype(np.int64)
+    selectors[escapes + 1] = 15
+    return selectors, np.array([1, *COUNTS[1:], 0])[selectors]
+
+
+def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` ids of a block."""
+    selectors, counts = held(words, escapes)
     first = np.cumsum(counts) - counts
     ids = np.zeros(n + 60, dtype=np.uint64)
-    for selector, at in enumerate(offsets):
-        if not len(at):
-            continue
+    # A part-empty word can only be the last, and what it lacks falls behind the end.
+    for selector in np.unique(selectors).tolist():
+        at = np.flatnonzero(selectors == selector)
         if selector == 0:
             ids[first[at]] = words[at + 1]
-            continue
-        count, bits = COUNTS[selector], WIDTHS[selector]
-        shifts = (np.arange(count) * bits).astype(np.uint64)
-        spread = (words[at][:, None] >> shifts) & np.uint64((1 << bits) - 1)
-        to = first[at][:, None] + np.arange(count)
-        keep = to < n
-        ids[to[keep]] = spread[keep]
+        elif selector < 15:
+            mask = np.uint64((1 << WIDTHS[selector]) - 1)
+            for i in range(COUNTS[selector]):
+                ids[first[at] + i] = (words[at] >> np.uint64(i * WIDTHS[selector])) & mask
     return ids[:n]
 
 
-def selector_offsets(words: np.ndarray) -> list[np.ndarray]:
-    """Places of the words of each selector; the words behind escapes belong to none."""
-    selectors = (words >> np.uint64(60)).astype(np.int64)
-    escapes = np.flatnonzero(selectors == 0)
-    raw = np.zeros(len(words) + 1, dtype=bool)
-    skip = -1
-    for at in escapes.tolist():  # a raw word may look like an escape itself
-        if at != skip:
-            skip = at + 1
-            raw[skip] = True
-    real = ~raw[: len(words)]
-    return [np.flatnonzero((selectors == s) & real) for s in range(15)]
-
-
 def block(documents: list[tuple[int | None, int, int, int]], ids: np.ndarray) -> bytes:
-    """A block: documents (id, number of its first id, ids here, ids in all), offsets, words."""
-    words = pack(ids)
-    offsets = selector_offsets(words)
-    head = HEADER.pack(MAGIC, len(documents), len(ids), len(words), 15)
+    """A block: documents (id, number of its first id, ids here, ids in all), escapes, marks, words."""
+    words, escapes = pack(ids)
+    counts = held(words, escapes)[1]
+    marks = (np.cumsum(counts) - counts)[::MARK]
+    head = HEADER.pack(MAGIC, len(documents), len(ids), len(words), len(escapes), len(marks))
     listed = b"".join(DOCUMENT.pack(i or 0, i is None, first, here, total) for i, first, here, total in documents)
-    return b"".join((head, listed, np.array([len(o) for o in offsets], dtype="<u4").tobytes(), np.concatenate(offsets).astype("<u4").tobytes(), words.astype("<u8").tobytes()))
+    return b"".join((head, listed, escapes.astype("<u4").tobytes(), marks.astype("<u4").tobytes(), words.astype("<u8").tobytes()))
 
 
 def blocks(documents: Iterable[tuple[int | None, np.ndarray]]) -> Iterator[bytes]:
@@ -147,19 +160,17 @@ def read_blocks(content: bytes) -> Iterator[tuple[int | None, int, int, np.ndarr
     """(id, number of the first id, ids in all, ids) of the documents' parts, in the order of a file."""
     at = 0
     while at < len(content):
-        magic, documents, n, n_words, selectors = HEADER.unpack_from(content, at)
+        magic, documents, n, n_words, n_escapes, n_marks = HEADER.unpack_from(content, at)
         if magic != MAGIC:
             raise ValueError(f"no block at {at}")
         at += HEADER.size
         listed = [DOCUMENT.unpack_from(content, at + k * DOCUMENT.size) for k in range(documents)]
         at += documents * DOCUMENT.size
-        sizes = np.frombuffer(content, dtype="<u4", count=selectors, offset=at)
-        at += 4 * selectors
-        placed = np.frombuffer(content, dtype="<u4", count=int(sizes.sum()), offset=at).astype(np.int64)
-        at += 4 * len(placed)
+        escapes = np.frombuffer(content, dtype="<u4", count=n_escapes, offset=at).astype(np.int64)
+        at += 4 * (n_escapes + n_marks)
         words = np.frombuffer(content, dtype="<u8", count=n_words, offset=at)
         at += 8 * n_words + 1  # and the line feed
-        ids = unpack(words, np.split(placed, np.cumsum(sizes)[:-1]), n)
+        ids = unpack(words, escapes, n)
         stop = 0
         for doc, null, first, here, total in listed:
             yield None if null else doc, first, total, ids[stop : stop + here]

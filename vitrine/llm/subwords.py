@@ -16,7 +16,7 @@ import numpy as np
 #: A space between two characters that no definition of white space includes.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Pieces a worker remembers (some 200 bytes each); pieces of more characters are not kept.
-REMEMBERED, LONGEST = 900_000, 48
+REMEMBERED, LONGEST = 800_000, 48
 #: Pieces encoded as one text.
 TOGETHER = 2000
 
@@ -28,7 +28,7 @@ class PieceEncoder:
         self.encode, self.lengths = encode, lengths
         self.known: dict[str, bytes] = {}
 
-    def texts(self, texts: Iterable[str], end: int, group_chars: int = 1 << 21) -> Iterator[np.ndarray]:
+    def texts(self, texts: Iterable[str], end: int, group_chars: int = 1 << 18) -> Iterator[np.ndarray]:
         """Ids of each text, in order, closed by ``end``; about ``group_chars`` of text are looked up at a time."""
         group: list[str] = []
         size = 0
@@ -41,27 +41,28 @@ class PieceEncoder:
         yield from self._group(group, end)
 
     def _group(self, group: list[str], end: int) -> Iterator[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        while len(self.known) > REMEMBERED:
+            self.known.popitem()  # the latest go: words met first are the frequent ones
         cut = [text.split(" ") for text in group]
-        new: set[str] = set()
+        firsts = [pieces.pop(0) for pieces in cut]
+        seen: set[str] = set()
         for pieces in cut:
-            new.update(set(pieces[1:]).difference(self.known))
+            seen.update(pieces)
+        new = seen.difference(self.known)
         odd = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
-        if odd or any(pieces[0][-1:].isspace() or not pieces[0] for pieces in cut):
-            for i, pieces in enumerate(cut):
-                if not pieces[0] or pieces[0][-1].isspace() or (odd and not odd.isdisjoint(pieces[1:])):
-                    cut[i] = CUT.split(group[i])
-                    new.update(set(cut[i][1:]).difference(self.known))
-            new -= odd
+        for i, pieces in enumerate(cut):
+            if not firsts[i] or firsts[i][-1].isspace() or (odd and not odd.isdisjoint(pieces)):
+                firsts[i], *cut[i] = CUT.split(group[i])
+                new.update(set(cut[i]).difference(self.known))
+        new -= odd
         once: dict[str, bytes] = {}
         for piece, ids in self._encoded(sorted(new)):
             (self.known if len(piece) <= LONGEST else once)[piece] = ids
         ids_of = self.known.__getitem__ if not once else lambda p: once[p] if p in once else self.known[p]
         last = np.uint32(end).tobytes()
-        for pieces in cut:
-            first = np.array(self.encode(pieces[0]), dtype=np.uint32).tobytes()
-            yield np.frombuffer(b"".join((first, *map(ids_of, pieces[1:]), last)), dtype=np.uint32)
+        for first, pieces in zip(firsts, cut):
+            start = np.array(self.encode(first), dtype=np.uint32).tobytes()
+            yield np.frombuffer(b"".join((start, *map(ids_of, pieces), last)), dtype=np.uint32)
 
     def _encoded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         for at in range(0, len(pieces), TOGETHER):
