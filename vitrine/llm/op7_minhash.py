@@ -141,19 +141,23 @@ def near(rest: DataFrame, percent: int) -> DataFrame:
             size, block, key = rows["n"].to_numpy(), rows["own"].to_numpy(), rows["key"].tolist()
             comp = pd.factorize(rows["comp"])[0]
             names = rows["comp"].tolist()
-            i, j = rows["i"].iloc[0], rows["j"].iloc[0]
+            i, j, nth = rows["i"].iloc[0], rows["j"].iloc[0], rows["nth"].iloc[0]
             right = np.flatnonzero(block == j)
             for x in np.flatnonzero(block == i):
                 ys = right[right > x] if i == j else right
                 ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(size[ys], size[x]) >= percent * np.maximum(size[ys], size[x]))]
                 if len(ys):
-                    close = (sigs[ys] == sigs[x]).mean(axis=1)
-                    for y, e in zip(ys[close >= reach], close[close >= reach]):
+                    same = sigs[ys] == sigs[x]
+                    close = same.mean(axis=1)
+                    ys, same, close = ys[close >= reach], same[close >= reach], close[close >= reach]
+                    # A pair is told by the first band it shares, not by each.
+                    mine = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == nth
+                    for y, e in zip(ys[mine], close[mine]):
                         a, b = (x, y) if key[x] < key[y] else (y, x)
                         out.append((key[a], key[b], names[a], names[b], float(e)))
         return pd.DataFrame(out, columns=["a", "b", "ca", "cb", "estimate"])
 
-    columns = rest.select("pack", "band", "i", "j", "own", "key", "comp", "n", "sig")
+    columns = rest.select("pack", "band", "nth", "i", "j", "own", "key", "comp", "n", "sig")
     return columns.groupBy("pack").applyInPandas(compare, "a binary, b binary, ca binary, cb binary, estimate double").distinct()
 
 
@@ -162,7 +166,7 @@ def links(reps: DataFrame, bodies_of, percent: int) -> DataFrame:
 
     ``bodies_of`` turns keys into (key, body), the texts of those classes.
     """
-    bands = reps.select("key", F.explode(F.pandas_udf(_annotated(_bands, pd.Series, pd.Series), "array<long>")("sig")).alias("band"))
+    bands = reps.select("key", F.posexplode(F.pandas_udf(_annotated(_bands, pd.Series, pd.Series), "array<long>")("sig")).alias("nth", "band"))
     sizes = bands.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1")
     members = cut_lineage(bands.join(sizes, "band"), "members")
     bodies = cut_lineage(bodies_of(members.select("key").distinct()), "bodies")
