@@ -2,9 +2,10 @@
 
 Every rule looks at a document and votes good (1), bad (-1) or abstains (0).
 How far a rule can be trusted is not set by hand: expectation-maximisation over
-the votes of all documents estimates the share of good documents and, per rule, how
-often a vote for good (bad) falls on a good (bad) document.  Only the counts of
-vote patterns, at most 3 to the number of rules, reach the driver.
+the votes of all documents estimates, per rule, how often it votes good and votes bad on
+good and on bad documents; the share of good ones beforehand is a parameter.  So a rule that says good of nearly
+everything weighs little.  Abstaining says nothing: that a document lacks most faults does not excuse the one
+it has.  Only the counts of vote patterns, at most 3 to the number of rules, reach the driver.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null
 id is carried along; equal rows get equal results; an empty table gives no rows
@@ -29,8 +30,10 @@ FEATURES = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
     "n_lines bigint, n_distinct bigint, n_shouted bigint, n_marks bigint, n_ended bigint"
 )
-#: What a rule is taken to be worth before EM, and with how many votes' weight.
-START, START_VOTES = 0.85, 20.0
+#: How often a rule is taken to vote (bad, good) on good and on bad documents before EM, with how many documents' weight.
+START_GOOD, START_BAD, START_VOTES, START_SHARE = (0.01, 0.8), (0.35, 0.6), 20.0, 0.85
+#: No rule is held to call more good documents bad than this share of them.
+MOST_WRONG = 0.01
 ITERATIONS = 200
 
 
@@ -74,8 +77,9 @@ def features(text: Column) -> Column:
     return F.pandas_udf(_features, FEATURES)(text)
 
 
-def _vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    vote = F.when(bad, -1)
+    return (vote if good is None else vote.when(good, 1)).otherwise(0)
 
 
 def rules(f: str = "f") -> dict[str, Column]:
@@ -85,37 +89,36 @@ def rules(f: str = "f") -> dict[str, Column]:
     lines = F.greatest(c("n_lines"), F.lit(1))
     return {
         "length": _vote(c("n_words") < 50, c("n_words") >= 100),
-        "symbols": _vote(c("n_symbols") > 0.1 * n, c("n_symbols") <= 0.02 * n),
-        "repeats": _vote(c("n_repeat_words") > 0.5 * n, c("n_repeat_words") <= 0.2 * n),
-        "lines": _vote((c("n_dup_lines") > 0.4 * lines) & (c("n_lines") >= 4), (c("n_dup_lines") <= 0.1 * lines) & (c("n_lines") >= 2)),
-        "shouting": _vote(c("n_shouted") > 0.4 * n, c("n_shouted") <= 0.1 * n),
-        "marks": _vote(c("n_marks") > 0.2 * n, c("n_marks") <= 0.05 * n),
+        "symbols": _vote(c("n_symbols") > 0.1 * n),
+        "repeats": _vote(c("n_repeat_words") > 0.4 * n),
+        "lines": _vote((c("n_dup_lines") > 0.4 * lines) & (c("n_lines") >= 4)),
+        "shouting": _vote(c("n_shouted") > 0.4 * n),
+        "marks": _vote(c("n_marks") > 0.2 * n),
         "variety": _vote((c("n_distinct") < 0.25 * n) & (n < 1000), (c("n_distinct") > 0.4 * n) | (c("n_distinct") > 300)),
         "word_length": _vote((c("word_chars") < 2.5 * n) | (c("word_chars") > 14 * n), (c("word_chars") >= 3.5 * n) & (c("word_chars") <= 9 * n)),
     }
 
 
 def estimate(votes: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """EM over vote patterns: share of good documents, and per rule P(votes good | good, votes), P(votes bad | bad, votes).
+    """EM over vote patterns: the share of good documents taken; per rule how often it votes (bad, good) on good documents, and on bad ones.
 
-    A rule is held to be better than a coin, which settles which class is the good one.
+    A rule is held to call few good documents bad (``MOST_WRONG``), and bad ones no less often, which settles which class is which.
     """
-    rules_n = votes.shape[1]
-    prior, hit, miss = 0.8, np.full(rules_n, START), np.full(rules_n, START)
-    up, down = votes == 1, votes == -1
+    names = votes.shape[1]
+    chosen = np.stack([votes == v for v in (-1, 1)], axis=2).astype(float)  # pattern, rule, vote
+    start_good, start_bad = np.tile(START_GOOD, (names, 1)), np.tile(START_BAD, (names, 1))
+    prior, good, bad = START_SHARE, start_good, start_bad
     for _ in range(ITERATIONS if counts.sum() else 0):
-        good = np.log(prior) + up @ np.log(hit) + down @ np.log1p(-hit)
-        bad = np.log1p(-prior) + up @ np.log1p(-miss) + down @ np.log(miss)
-        p = counts / (1 + np.exp(np.clip(bad - good, -500, 500)))
-        q = counts - p
-        new_prior = (p.sum() + 8) / (counts.sum() + 10)
-        new_hit = np.clip((p @ up + START * START_VOTES) / (p @ (up | down) + START_VOTES), 0.55, 0.999)
-        new_miss = np.clip((q @ down + START * START_VOTES) / (q @ (up | down) + START_VOTES), 0.55, 0.999)
-        moved = max(abs(new_prior - prior), np.abs(new_hit - hit).max(), np.abs(new_miss - miss).max())
-        prior, hit, miss = new_prior, new_hit, new_miss
-        if moved < 1e-10:
+        odds = math.log(prior / (1 - prior)) + np.einsum("prv,rv->p", chosen, np.log(good / bad))
+        p = counts / (1 + np.exp(np.clip(-odds, -500, 500)))
+        old = np.concatenate((good.ravel(), bad.ravel()))
+        good = (np.einsum("p,prv->rv", p, chosen) + START_VOTES * start_good) / (p.sum() + START_VOTES)
+        bad = (np.einsum("p,prv->rv", counts - p, chosen) + START_VOTES * start_bad) / ((counts - p).sum() + START_VOTES)
+        good[:, 0] = np.minimum(good[:, 0], MOST_WRONG)
+        bad[:, 0] = np.maximum(bad[:, 0], good[:, 0])
+        if np.abs(np.concatenate((good.ravel(), bad.ravel())) - old).max() < 1e-10:
             break
-    return float(prior), hit, miss
+    return float(prior), good, bad
 
 
 def weigh(votes: DataFrame, names: list[str]) -> tuple[float, np.ndarray, np.ndarray]:
@@ -127,10 +130,10 @@ def weigh(votes: DataFrame, names: list[str]) -> tuple[float, np.ndarray, np.nda
 
 def posterior(votes: dict[str, Column], weights: tuple[float, np.ndarray, np.ndarray]) -> Column:
     """Probability that a document is good, as one expression over its votes."""
-    prior, hit, miss = weights
+    prior, good, bad = weights
     logit = F.lit(math.log(prior / (1 - prior)))
-    for vote, h, m in zip(votes.values(), hit, miss):
-        logit = logit + F.when(vote == 1, math.log(h / (1 - m))).when(vote == -1, math.log((1 - h) / m)).otherwise(0.0)
+    for vote, says in zip(votes.values(), np.log(good / bad).tolist()):
+        logit = logit + F.when(vote == -1, says[0]).when(vote == 1, says[1]).otherwise(0.0)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
 
