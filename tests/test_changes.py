@@ -49,6 +49,13 @@ def test_create_numbers_against_brute_force(spark):
         assert made.get(i, set()) == ({key(y, a, s + j) for j in range(n)} if ok else set())
 
 
+def test_create_numbers_checks_the_whole_of_a_long_range(spark):
+    known = spark.createDataFrame([("0000002010.0000000005.0000000250",)], "sortableobjectnumber string")
+    asked = spark.createDataFrame([(1, 2010, 5, 1, 400), (2, 2010, 5, 251, 400)], "request_id int, year int, accession int, sequence int, n int")
+    created, refused = ch.create_numbers(asked, known, limit=500)
+    assert [r["request_id"] for r in refused.collect()] == [1] and created.count() == 400
+
+
 @pytest.fixture
 def shop(spark):
     objects = [("o1", "8-4216"), ("o2", "8-4217"), ("o3", "9-1")]

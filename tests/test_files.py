@@ -93,3 +93,12 @@ def test_audit_stream_picks_up_new_files(spark, tmp_path):
     run()
     got = spark.read.parquet(out).select(F.date_format("start", "MM-dd HH").alias("s"), "update_type", "n").collect()
     assert [tuple(r) for r in got] == [("01-01 01", "move", 2)]
+
+
+def test_audit_tabs_and_repeated_keys(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    df = spark.createDataFrame([("a", "x\ty")], "id string, note string")
+    sk.append_audit(sk.audit_rows(df, "PUT", "edit", "objects", "me", "2024-01-01T00:00:00Z", ["id", "note"]), path)
+    assert [r["attrs"] for r in rd.read_audit_log(spark, path).collect()] == [{"id": "a", "note": "x y"}]
+    line = spark.createDataFrame([("PUT\tt\tedit\tu\tme\tk=1\tj=0\tk=2\tno cell",)], "value string")
+    assert rd.parse_audit_log(line).first()["attrs"] == {"k": "2", "j": "0"}

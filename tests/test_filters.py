@@ -18,7 +18,7 @@ def test_not_deleted(spark, rows):
 
 @pytest.mark.parametrize("mode,lo,hi,n,expected", [
     ("set", "A 10", "", 2, ["A 10", "A 2"]), ("exact", "A 2", "", 9, ["A 2"]), ("prefix", "A", "", 9, ["A 1", "A 10", "A 2"]),
-    ("range", "A 10", "B 1", 9, ["A 10", "A 2", "B 1"]), ("set", "A", "", 0, ["A 1"]),
+    ("range", "A 10", "B 1", 9, ["A 10", "A 2", "B 1"]), ("set", "A", "", 0, []), ("set", "A", "", None, ["A 1", "A 10", "A 2", "B 1"]),
 ])
 def test_key_search(places, mode, lo, hi, n, expected):
     assert [r["name"] for r in fl.key_search(places, "name", mode, lo, hi, n).collect()] == expected

@@ -62,7 +62,13 @@ def test_cycle_ends(spark):
 def test_deep_chain_has_no_level_cap_of_its_own(spark):
     chain = edges_of(spark, [("n0", None)] + [(f"n{i}", f"n{i - 1}") for i in range(1, 25)])
     assert max(-r["level"] for r in hi.ancestors(chain, "k-n24").collect()) == 24
-    assert max(r["level"] for r in hi.descendants(chain, "n0").collect()) == 20
+    assert max(r["level"] for r in hi.descendants(chain, "n0").collect()) == 24
+    assert max(r["level"] for r in hi.descendants(chain, "n0", max_depth=20).collect()) == 20
+
+
+def test_paths_end_on_a_cycle_below_a_root(spark):
+    looped = edges_of(spark, [("r", None), ("a", "r"), ("b", "a"), ("a", "b")])
+    assert sorted((r["label"], r["depth"]) for r in hi.tree_paths(looped).collect()) == [("a", 2), ("b", 3), ("r", 1)]
 
 
 def test_headings(spark, edges):

@@ -223,7 +223,7 @@ def _k12_edges(c):
 @query("k14_label_rows", f"""SELECT storagelocation, locationkey, objectnumber, objectname, objectcount, fieldcollectionplace, culturalgroup, ethnographicfilecode FROM (
     SELECT *, row_number() OVER (PARTITION BY objectnumber || objectname ORDER BY locationkey DESC, objectcsid) AS n FROM {REVIEWED} v) t WHERE n = 1""")
 def _k14(c):
-    return ch.label_rows(c, rp.location_list(c, "range", "Bay 0", "Bay 5", 1000).select("termdisplayname")).drop("locationdate")
+    return ch.label_rows(c, rp.location_list(c, "range", "Bay 0", "Bay 5").select("termdisplayname")).drop("locationdate")
 
 
 TYPED = "CASE WHEN user_id % 3 = 0 THEN 'Bay ' || ((user_id % 40) % 7) || ', Shelf ' || (user_id % 40) WHEN user_id % 3 = 1 THEN replace('Bay ' || ((user_id % 40) % 7) || ', Shelf ' || (user_id % 40), ' ', '0') ELSE 'nowhere' END"

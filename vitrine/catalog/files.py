@@ -23,9 +23,16 @@ def _written(df, label: str, suffix: str = "", **options) -> str:
     return path
 
 
+def _folder(df) -> str:
+    """The path of a table: its folder of part files, or its one file."""
+    first = df.inputFiles()[0]
+    parent = first.rpartition("/")[0]
+    return parent if parent.endswith(".parquet") else first
+
+
 @query("a01_scan_table", "SELECT l_returnflag, count(*) AS n FROM {lineitem} WHERE l_quantity > 30 GROUP BY 1")
 def _a01(c):
-    path = c.lineitem.inputFiles()[0]
+    path = _folder(c.lineitem)
     rows = rd.scan_table(c.lineitem.sparkSession, path)
     return rows.filter("l_quantity > 30").groupBy("l_returnflag").agg(F.count("*").alias("n"))
 

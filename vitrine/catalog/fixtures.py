@@ -114,11 +114,11 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "member": """SELECT l_partkey AS k, l_linenumber - 1 AS pos, min(l_returnflag) AS flag,
         min(l_linestatus) AS st, CAST(min(l_quantity) AS INT) AS q, min(l_suppkey) AS s,
         min(l_shipdate) AS d
-        FROM {lineitem} WHERE l_linenumber <= 4 GROUP BY l_partkey, l_linenumber""",
+        FROM {lineitem} GROUP BY l_partkey, l_linenumber""",
     "procedure_member": """SELECT l_orderkey AS k, l_linenumber - 1 AS pos, min(l_returnflag) AS flag,
         min(l_linestatus) AS st, CAST(min(l_quantity) AS INT) AS q, min(l_suppkey) AS s,
         min(l_shipdate) AS d
-        FROM {lineitem} WHERE l_linenumber <= 3 GROUP BY l_orderkey, l_linenumber""",
+        FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
     "object_spec": _unnested("member", OBJECT_LISTS),
     "procedure_spec": _unnested("procedure_member", PROCEDURE_LISTS),
     "object_list": f"""SELECT split_part(spec, '/', 1) || '-' || {s('k')} || '-' || {s('pos')} AS id,

@@ -115,7 +115,7 @@ def _r19(c):
 ENDS = f"""SELECT (SELECT min(sortableobjectnumber) FROM {NUMBERED} a WHERE objectnumber = (SELECT min(objectnumber) FROM {{objects}} WHERE id IN (SELECT id FROM {LIVE} b))) AS a,
     (SELECT min(sortableobjectnumber) FROM {NUMBERED} a WHERE objectnumber = (SELECT max(objectnumber) FROM {{objects}} WHERE id IN (SELECT id FROM {LIVE} b))) AS b"""
 IN_RANGE = f"""(SELECT o.id, e.sortableobjectnumber FROM {LIVE_OBJECTS} o JOIN {{objects_ext}} e ON e.id = o.id, ({ENDS}) x WHERE e.sortableobjectnumber BETWEEN x.a AND x.b
-    ORDER BY e.sortableobjectnumber, o.objectnumber LIMIT 1000)"""
+   )"""
 
 
 def _range_ends(c):
@@ -148,7 +148,7 @@ def _r21(c):
     ends AS (SELECT min(CASE WHEN sortableobjectnumber >= '0000002000' THEN sortableobjectnumber END) AS a, max(CASE WHEN sortableobjectnumber <= '0000002010' THEN sortableobjectnumber END) AS b FROM k)
     SELECT o.objectnumber, o.sortableobjectnumber, coalesce({display('g.objectname')}, '') AS objectname, h.name AS objectcsid FROM k o, ends
     LEFT JOIN {{hierarchy}} h ON h.parentid = o.id AND h.name LIKE '%:objectNameList' AND h.pos = 0 LEFT JOIN {{objectnamegroup}} g ON g.id = h.id
-    WHERE o.sortableobjectnumber BETWEEN a AND b ORDER BY sortableobjectnumber LIMIT 1000""")
+    WHERE o.sortableobjectnumber BETWEEN a AND b""")
 def _r22(c):
     return rp.object_list(c, "0000002000", "0000002010")
 
@@ -233,7 +233,7 @@ def _r26(c):
 # ---- lists over a range of locations ------------------------------------------------------------
 
 RANGED = f"""(SELECT termdisplayname FROM {{location_terms}} t JOIN {{hierarchy}} h ON h.id = t.id JOIN {LIVE} m ON m.id = h.parentid
-    WHERE replace(termdisplayname, ' ', '0') BETWEEN 'Bay00' AND 'Bay05' ORDER BY replace(termdisplayname, ' ', '0') LIMIT 1000)"""
+    WHERE replace(termdisplayname, ' ', '0') BETWEEN 'Bay00' AND 'Bay05')"""
 REVIEWED = f"(SELECT storagelocation, locationkey, termdisplayname, {ETHNO_OUT} FROM ({REVIEW}) z WHERE termdisplayname IN (SELECT termdisplayname FROM {RANGED} r))"
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import location_key, refname_display
 
-MAX_ROWS = 30000
-
 
 # ---- record state ---------------------------------------------------------------
 
@@ -45,9 +43,10 @@ def order_by(df: DataFrame, *names: str) -> DataFrame:
     return df.orderBy(*sort_keys(*names))
 
 
-def limit_n(df: DataFrame, n: int, *names: str, cap: int = MAX_ROWS) -> DataFrame:
-    """First rows in order; ``n`` is clamped to 1..cap."""
-    return order_by(df, *names).limit(max(1, min(int(n), cap)))
+def limit_n(df: DataFrame, n: int | None, *names: str) -> DataFrame:
+    """The first ``n`` rows in order; all of them if ``n`` is None."""
+    ordered = order_by(df, *names)
+    return ordered if n is None else ordered.limit(int(n))
 
 
 def top_n(df: DataFrame, by: str, n: int, *ties: str) -> DataFrame:
@@ -55,7 +54,7 @@ def top_n(df: DataFrame, by: str, n: int, *ties: str) -> DataFrame:
     return order_by(df, f"-{by}", *ties).limit(n)
 
 
-def tail_n(log: DataFrame, time: str, n: int = 100, *ties: str) -> DataFrame:
+def tail_n(log: DataFrame, time: str, n: int, *ties: str) -> DataFrame:
     """The last ``n`` rows of a log."""
     return order_by(log, f"-{time}", *ties).limit(n)
 
@@ -86,8 +85,8 @@ def _in_mode(key: Column, mode: str, lo: Column, hi: Column | None) -> Column:
     raise ValueError(f"unknown search mode: {mode}")
 
 
-def key_search(df: DataFrame, name: str, mode: str, lo: str, hi: str = "", n: int = MAX_ROWS) -> DataFrame:
-    """Rows by the key of a location name; the next ``n`` in key order."""
+def key_search(df: DataFrame, name: str, mode: str, lo: str, hi: str = "", n: int | None = None) -> DataFrame:
+    """Rows by the key of a location name, in key order; all, or the next ``n``."""
     found = df.withColumn("locationkey", location_key(name)).filter(
         _in_mode(F.col("locationkey"), mode, F.lit(lo.replace(" ", "0")), F.lit(hi.replace(" ", "0")))
     )
@@ -95,7 +94,7 @@ def key_search(df: DataFrame, name: str, mode: str, lo: str, hi: str = "", n: in
 
 
 def object_range(
-    df: DataFrame, number: str, key: str, lo: str, hi: str | None = None, mode: str = "range", n: int = 1000
+    df: DataFrame, number: str, key: str, lo: str, hi: str | None = None, mode: str = "range", n: int | None = None
 ) -> DataFrame:
     """Rows between two known numbers, by sort key.
 
@@ -105,11 +104,11 @@ def object_range(
     hi = lo if hi is None else hi
     ends = [df.filter(F.col(number) == end).agg(F.min(key)).scalar() for end in (lo, hi)]
     found = df.filter(_in_mode(F.col(key), mode, ends[0], ends[1]) & ends[1].isNotNull())
-    return limit_n(found, n, key, number, cap=1000)
+    return limit_n(found, n, key, number)
 
 
 def nearest_bounds(
-    df: DataFrame, key: str, lo: str, hi: str, mode: str = "range", n: int = 1000, known: DataFrame | None = None
+    df: DataFrame, key: str, lo: str, hi: str, mode: str = "range", n: int | None = None, known: DataFrame | None = None
 ) -> DataFrame:
     """Rows between the smallest key at or above ``lo`` and the largest at or below ``hi``.
 
@@ -119,7 +118,7 @@ def nearest_bounds(
     first = known.filter(F.col(key) >= lo).agg(F.min(key)).scalar()
     last = known.filter(F.col(key) <= hi).agg(F.max(key)).scalar()
     found = df.filter(_in_mode(F.col(key), mode, first, last) & last.isNotNull())
-    return limit_n(found, n, key, cap=1000)
+    return limit_n(found, n, key)
 
 
 # ---- membership ---------------------------------------------------------------------

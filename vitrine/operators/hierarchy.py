@@ -48,20 +48,21 @@ def children(edges: DataFrame, term: str) -> DataFrame:
     )
 
 
-def _walk(seed: DataFrame, step, key: list[str], max_depth: int) -> DataFrame:
-    """Union of ``seed`` and the rows each round adds, until a round adds none."""
+def _walk(seed: DataFrame, step, key: list[str], max_depth: int | None = None) -> DataFrame:
+    """Union of ``seed`` and the rows each round adds, until a round adds none (or after ``max_depth`` rounds).
+
+    Rows whose key was seen are dropped, so cycles end.
+    """
     frontier = cut_lineage(seed)
     rounds = [frontier]
-    for _ in range(max_depth):
-        if frontier.isEmpty():
-            break
+    while not frontier.isEmpty() and (max_depth is None or len(rounds) <= max_depth):
         seen = union_all([r.select(*key) for r in rounds])
         frontier = cut_lineage(step(frontier).dropDuplicates(key).join(seen, key, "left_anti"))
         rounds.append(frontier)
     return union_all(rounds)
 
 
-def descendants(edges: DataFrame, term: str, max_depth: int = 20, first_level: int = 1) -> DataFrame:
+def descendants(edges: DataFrame, term: str, max_depth: int | None = None, first_level: int = 1) -> DataFrame:
     """``(term, level)`` of everything below a term.
 
     A term without children stands for itself; the term itself is added at level 0
@@ -80,18 +81,18 @@ def descendants(edges: DataFrame, term: str, max_depth: int = 20, first_level: i
         found = linked.join(keys, F.col("parent_key") == F.col("_from"))
         return found.select(F.col("child").alias("term"), F.col("child_key").alias("key"), (F.col("level") + 1).alias("level"))
 
-    walked = _walk(seed, step, ["key"], max_depth - 1).select("term", "level")
+    walked = _walk(seed, step, ["key"], None if max_depth is None else max_depth - 1).select("term", "level")
     absent = walked.filter(F.col("term") == term).agg(F.count("*")).scalar() == 0
     itself = walked.sparkSession.range(1).filter(absent).select(F.lit(term).alias("term"), F.lit(0).alias("level"))
     return walked.union(itself)
 
 
-def place_descendants(edges: DataFrame, place: str, max_depth: int = 20) -> DataFrame:
+def place_descendants(edges: DataFrame, place: str, max_depth: int | None = None) -> DataFrame:
     """Names of a place and the places below it, first children at level 0."""
     return descendants(edges, place, max_depth, first_level=0).select(F.col("term").alias("place"), "level")
 
 
-def closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
+def closure(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``(key, ancestor_key, ancestor, level)`` for every node: itself at 0, parents at -1, …"""
     nodes = edges.select("child_key", "child").distinct()
     up = _linked(edges).select(F.col("child_key").alias("_child"), "parent_key", "parent")
@@ -104,7 +105,7 @@ def closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
     return _walk(seed, step, ["key", "ancestor_key"], max_depth)
 
 
-def ancestors(edges: DataFrame, key: str, max_depth: int = 100) -> DataFrame:
+def ancestors(edges: DataFrame, key: str, max_depth: int | None = None) -> DataFrame:
     """A node (level 0) and what lies above it, root first."""
     up = _linked(edges).select(F.col("child_key").alias("_child"), "parent_key", "parent")
     seed = edges.filter(F.col("child_key") == key).select(F.col("child").alias("term"), F.col("child_key").alias("key"), F.lit(0).alias("level")).distinct()
@@ -116,30 +117,30 @@ def ancestors(edges: DataFrame, key: str, max_depth: int = 100) -> DataFrame:
     return _walk(seed, step, ["key"], max_depth).orderBy(*sort_keys("level", "key"))
 
 
-def tree_paths(edges: DataFrame, max_depth: int = 100, sep: str = " > ") -> DataFrame:
+def tree_paths(edges: DataFrame, max_depth: int | None = None, sep: str = " > ") -> DataFrame:
     """One row per node reachable from a root: path of names, depth, leaf flag.
 
-    Nodes on a cycle have no root above them and do not appear.
+    A path that would come back to a node already on it ends there, so a cycle below a
+    root is walked once; a cycle with no root above it does not appear.
     """
     linked = cut_lineage(edges.select("child", "child_key", "parent_key").distinct())
     below = linked.filter("parent_key IS NOT NULL")
     parents = below.select(F.col("parent_key").alias("_p")).distinct()
     seed = linked.filter("parent_key IS NULL").select(
-        F.col("child_key").alias("key"), F.col("child").alias("label"), F.concat(F.lit(ROOT + sep), "child").alias("path"), F.lit(1).alias("depth")
+        F.col("child_key").alias("key"), F.col("child").alias("label"), F.concat(F.lit(ROOT + sep), "child").alias("path"), F.lit(1).alias("depth"), F.array("child_key").alias("on_path")
     )
 
     def step(frontier: DataFrame) -> DataFrame:
-        at = frontier.select(F.col("key").alias("_at"), "path", "depth")
-        found = below.join(at, F.col("parent_key") == F.col("_at"))
+        at = frontier.select(F.col("key").alias("_at"), "path", "depth", "on_path")
+        found = below.join(at, F.col("parent_key") == F.col("_at")).filter(~F.array_contains("on_path", F.col("child_key")))
         return found.select(
-            F.col("child_key").alias("key"), F.col("child").alias("label"), F.concat("path", F.lit(sep), "child").alias("path"), (F.col("depth") + 1).alias("depth")
+            F.col("child_key").alias("key"), F.col("child").alias("label"), F.concat("path", F.lit(sep), "child").alias("path"), (F.col("depth") + 1).alias("depth"),
+            F.concat("on_path", F.array("child_key")).alias("on_path"),
         )
 
     frontier = cut_lineage(seed)
     rounds = [frontier]
-    for _ in range(max_depth):
-        if frontier.isEmpty():
-            break
+    while not frontier.isEmpty() and (max_depth is None or len(rounds) <= max_depth):
         frontier = cut_lineage(step(frontier))
         rounds.append(frontier)
     nodes = union_all(rounds)

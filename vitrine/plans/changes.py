@@ -231,8 +231,8 @@ def create_numbers(requests: DataFrame, known: DataFrame, limit: int = 100) -> t
 
     ``requests`` has ``(request_id, year, accession, sequence, n)``, ``known`` the
     existing ``sortableobjectnumber``.  More than ``limit`` numbers, or one existing
-    key in the range, refuses a request.  A range of at most a hundred keys spans two
-    key prefixes, so the range check is a join on prefixes.
+    key in the range, refuses a request.  The range check is a join on key prefixes:
+    every prefix of a hundred numbers between the ends.
     """
     stem = 30  # year, accession and all but two digits of the sequence
     year, accession, sequence, n = (F.col(x) for x in ("year", "accession", "sequence", "n"))
@@ -240,7 +240,7 @@ def create_numbers(requests: DataFrame, known: DataFrame, limit: int = 100) -> t
         "_lo": sortable_number(year, accession, sequence), "_hi": sortable_number(year, accession, sequence + n - 1),
     })
     sized = asked.filter((n >= 1) & (n <= limit))
-    probes = sized.select("request_id", "_lo", "_hi", F.explode(F.array_distinct(F.array(F.substring("_lo", 1, stem), F.substring("_hi", 1, stem)))).alias("_stem"))
+    probes = sized.select("request_id", "_lo", "_hi", F.explode(F.transform(F.sequence(F.floor(sequence / 100), F.floor((sequence + n - 1) / 100)), lambda h: F.substring(sortable_number(year, accession, h * 100), 1, stem))).alias("_stem"))
     keys = known.select("sortableobjectnumber", F.substring("sortableobjectnumber", 1, stem).alias("_stem"))
     hits = probes.join(keys, "_stem").filter(F.col("sortableobjectnumber").between(F.col("_lo"), F.col("_hi")))
     taken = hits.groupBy("request_id").agg(F.count("*").alias("taken"))

@@ -17,7 +17,7 @@ from vitrine.functions.text import (
 )
 from vitrine.operators.aggregates import union_all
 from vitrine.operators.filters import (
-    MAX_ROWS, alive_dead, in_or_all, key_search, limit_n, nearest_bounds, not_deleted, object_range, sort_keys, under_place,
+    alive_dead, in_or_all, key_search, limit_n, nearest_bounds, not_deleted, object_range, sort_keys, under_place,
 )
 from vitrine.operators.hierarchy import culture_heading
 from vitrine.operators.joins import (
@@ -73,7 +73,7 @@ def location_terms(c: Collection) -> DataFrame:
     return not_deleted(terms, c.misc, "location_id").select("termdisplayname", "location_id")
 
 
-def location_list(c: Collection, mode: str, lo: str, hi: str = "", n: int = MAX_ROWS) -> DataFrame:
+def location_list(c: Collection, mode: str, lo: str, hi: str = "", n: int | None = None) -> DataFrame:
     return key_search(location_terms(c).select("termdisplayname"), "termdisplayname", mode, lo, hi, n)
 
 
@@ -249,7 +249,7 @@ def key_info(
     return rows.select("storagelocation", "locationkey", "locationdate", *ETHNO_OUT, *(["termdisplayname"] if with_location else []))
 
 
-def group_members(c: Collection, title: str, n: int = MAX_ROWS) -> DataFrame:
+def group_members(c: Collection, title: str, n: int | None = None) -> DataFrame:
     """General rows of the objects in a titled group."""
     groups = not_deleted(c.groups.filter(F.col("title") == title).select(F.col("id").alias("gid")), c.misc, "gid")
     pairs = related(groups, c.relations, c.hierarchy, "id", id="gid").select("id").distinct()
@@ -263,7 +263,7 @@ def numbered_objects(c: Collection) -> DataFrame:
     return not_deleted(c.objects.select("id", "objectnumber"), c.misc).join(c.objects_ext.select("id", "sortableobjectnumber"), "id")
 
 
-def object_rows(c: Collection, lo: str | Column, hi: str | Column | None = None, mode: str = "range", n: int = 1000, variant: str = "general") -> DataFrame:
+def object_rows(c: Collection, lo: str | Column, hi: str | Column | None = None, mode: str = "range", n: int | None = None, variant: str = "general") -> DataFrame:
     """Rows of the objects between two known numbers."""
     found = object_range(numbered_objects(c), "objectnumber", "sortableobjectnumber", lo, hi, mode, n).select("id")
     if variant == "general":
@@ -277,7 +277,7 @@ def object_rows(c: Collection, lo: str | Column, hi: str | Column | None = None,
         storage_location(refname_display("locrefname"), "computedcrate").alias("storagelocation"), "locrefname", F.lit("").alias("locdate"), *ETHNO_OUT)
 
 
-def object_list(c: Collection, lo: str, hi: str, mode: str = "range", n: int = 1000) -> DataFrame:
+def object_list(c: Collection, lo: str, hi: str, mode: str = "range", n: int | None = None) -> DataFrame:
     """Existing objects between the nearest sort keys: the collision check of new numbers."""
     known = numbered_objects(c)
     found = nearest_bounds(distinct_on(known, ["sortableobjectnumber"], "id"), "sortableobjectnumber", lo, hi, mode, n, known=known)
@@ -320,7 +320,9 @@ def bed_list(
     rows = in_or_all(rows.join(terms, "gardenlocation", "left"), "gardenlocation", locations)
     kinds = c.locations.select(F.col("refname").alias("currentlocation"), "locationtype")
     rows = rows.join(kinds, "currentlocation", "left").withColumn("number", numeric_sort("objectnumber"))
-    rows = distinct_on(rows, ["gardenlocation", "number"], "objectcsid", "movement_id")
+    # A number that is no number is its own key, so such plants stay apart.
+    rows = rows.withColumn("numberkey", F.coalesce(F.col("number").cast("string"), "objectnumber"))
+    rows = distinct_on(rows, ["gardenlocation", "numberkey"], "objectcsid", "movement_id")
     rows = rows.select(
         "gardenlocation", "shortgardenlocation", _shown("locationtype").alias("locationtype"), "recordstatus", "objectnumber",
         refname_display("taxon").alias("determination"), _shown("family").alias("family"), "objectcsid", "rare", "deadflag",
@@ -330,7 +332,7 @@ def bed_list(
         for col, values in (("rare", rare), ("deadflag", dead)):
             listed = listed & (F.col(col).isin(list(values)) if values else F.lit(True))
         rows = rows.filter(listed | (F.col("actionreason") == "Dead"))
-    return rows if n is None else limit_n(rows, n, "gardenlocation", "objectnumber", cap=6000)
+    return rows if n is None else limit_n(rows, n, "gardenlocation", "objectnumber")
 
 
 def all_taxa(c: Collection, mode: str) -> DataFrame:
@@ -370,7 +372,7 @@ def advanced_search(
 
 
 def _ranged(c: Collection, lo: str, hi: str) -> DataFrame:
-    return location_list(c, "range", lo, hi, 1000).select("termdisplayname")
+    return location_list(c, "range", lo, hi).select("termdisplayname")
 
 
 def packing_list(c: Collection, lo: str, hi: str, terms: Keys = None) -> DataFrame:

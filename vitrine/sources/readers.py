@@ -92,15 +92,17 @@ def read_field_spec(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_audit_log(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Actions of an audit log: five fixed columns, then ``key=value`` cells as a map."""
+    """Actions of an audit log: five fixed columns, then ``key=value`` cells as a map; of a repeated key the last counts."""
     cells = F.split(F.col(col), "\t")
 
     def entry(cell: Column) -> Column:
         at = F.instr(cell, "=")
-        return F.struct(F.substring(cell, F.lit(1), at - 1), F.substring(cell, at + 1, F.length(cell)))
+        return F.struct(F.substring(cell, F.lit(1), at - 1).alias("key"), F.substring(cell, at + 1, F.length(cell)).alias("value"))
 
     tail = F.filter(F.slice(cells, F.lit(6), F.greatest(F.size(cells) - 5, F.lit(0))), lambda cell: cell.contains("="))
-    attrs = F.map_from_entries(F.array_distinct(F.transform(tail, entry)))
+    entries = F.transform(tail, entry)
+    from_last = F.reverse(F.transform(entries, lambda e: e["key"]))
+    attrs = F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(from_last, e["key"]) == F.size(entries) - i))
     fixed = [F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(["action", "logged_at", "update_type", "uri", "username"])]
     return lines.filter(~F.col(col).startswith("#") & (F.col(col) != "")).select(*fixed, attrs.alias("attrs"))
 
