@@ -372,7 +372,8 @@ def oracle(sql: str) -> str:
 
     if not ordered:
         return plain(sql)
-    parts = ",\n".join(f"v_{name} AS ({plain(_text(name, 1))})" for name in ordered)
+    once = {name: " MATERIALIZED" if name in STORED else "" for name in ordered}
+    parts = ",\n".join(f"v_{name} AS{once[name]} ({plain(_text(name, 1))})" for name in ordered)
     body = plain(sql).strip()
     if body.upper().startswith("WITH "):
         recursive = body.upper().startswith("WITH RECURSIVE ")

@@ -1,8 +1,8 @@
 """Authority trees: edges, closures, paths and headings.
 
-Closures walk one level per round over the edge table.  Each round is cut off
-through the shared scratch folder, so plans stay short and a lost executor only
-repeats its own round.  A visited anti join ends cycles.
+Walks from a term go one level per round over the edge table; closures double their
+reach in each.  Rounds are cut off through the shared scratch folder, so plans stay short
+and a lost executor only repeats its own round.  A visited anti join ends cycles.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from vitrine.operators.aggregates import union_all
 from vitrine.operators.filters import not_deleted, sort_keys
 from vitrine.operators.joins import with_csid
 from vitrine.operators.ordering import preceding_total
-from vitrine.session import cut_lineage
+from vitrine.session import cut_lineage, scratch_path
 
 ROOT = "ROOT"
 
 
 def authority_edges(records: DataFrame, relations: DataFrame, hierarchy: DataFrame, misc: DataFrame, primarytype: str) -> DataFrame:
     """``(child, parent, child_key, parent_key)`` of an authority; a root's parent is null."""
-    typed = hierarchy.filter(F.startswith("primarytype", F.lit(primarytype))).select("id", "name")
+    typed = hierarchy.filter(F.startswith("primarytype", F.lit(primarytype)))
     child = not_deleted(records.select("id", "refname"), misc)
     child = with_csid(child, typed, out="child_key").select(refname_display("refname").alias("child"), "child_key")
     parent = with_csid(records.select("id", "refname"), typed, out="parent_key")
@@ -53,13 +53,19 @@ def _walk(seed: DataFrame, step, key: list[str], max_depth: int | None = None) -
 
     Rows whose key was seen are dropped, so cycles end.
     """
-    frontier = cut_lineage(seed)
-    rounds = [frontier]
-    while not frontier.isEmpty() and (max_depth is None or len(rounds) <= max_depth):
-        seen = union_all([r.select(*key) for r in rounds])
-        frontier = cut_lineage(step(frontier).dropDuplicates(key).join(seen, key, "left_anti"))
-        rounds.append(frontier)
-    return union_all(rounds)
+    path, folders = scratch_path(seed.sparkSession, "walk"), []
+    stored = seed.sparkSession.read.schema(seed.schema)
+
+    def add(rows: DataFrame) -> DataFrame:
+        folders.append(f"{path}/{len(folders)}")
+        rows.select(*seed.columns).write.parquet(folders[-1])
+        return stored.parquet(folders[-1])
+
+    frontier = add(seed)
+    while not frontier.isEmpty() and (max_depth is None or len(folders) <= max_depth):
+        seen = stored.parquet(*folders).select(*key)
+        frontier = add(step(frontier).dropDuplicates(key).join(seen, key, "left_anti"))
+    return stored.parquet(*folders)
 
 
 def descendants(edges: DataFrame, term: str, max_depth: int | None = None, first_level: int = 1) -> DataFrame:
@@ -93,16 +99,28 @@ def place_descendants(edges: DataFrame, place: str, max_depth: int | None = None
 
 
 def closure(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """``(key, ancestor_key, ancestor, level)`` for every node: itself at 0, parents at -1, …"""
-    nodes = edges.select("child_key", "child").distinct()
-    up = _linked(edges).select(F.col("child_key").alias("_child"), "parent_key", "parent")
-    seed = nodes.select(F.col("child_key").alias("key"), F.col("child_key").alias("ancestor_key"), F.col("child").alias("ancestor"), F.lit(0).alias("level"))
-
-    def step(frontier: DataFrame) -> DataFrame:
-        found = frontier.select("key", F.col("ancestor_key").alias("_at"), "level").join(up, F.col("_at") == F.col("_child"))
-        return found.select("key", F.col("parent_key").alias("ancestor_key"), F.col("parent").alias("ancestor"), (F.col("level") - 1).alias("level"))
+    """``(key, ancestor_key, ancestor, level)`` for every node: itself at 0, parents at -1, …
 
-    return _walk(seed, step, ["key", "ancestor_key"], max_depth)
+    Steps double: pairs ``reach`` levels apart are joined with all pairs up to that far, so rounds
+    grow with the logarithm of the depth, and a tree's pairs are made once each.  A pair keeps its
+    nearest level, which ends cycles.
+    """
+    nodes = edges.select("child_key", "child").distinct()
+    itself = nodes.select(F.col("child_key").alias("key"), F.col("child_key").alias("ancestor_key"), F.col("child").alias("ancestor"), F.lit(0).alias("level"))
+    up = edges.filter("parent_key IS NOT NULL AND child_key != parent_key").dropDuplicates(["child_key", "parent_key"])
+    new = cut_lineage(up.select(F.col("child_key").alias("key"), F.col("parent_key").alias("ancestor_key"), F.col("parent").alias("ancestor"), F.lit(-1).alias("level")))
+    rounds, reach = [new], 1
+    while not new.isEmpty() and (max_depth is None or reach < max_depth):
+        pairs = union_all(rounds)
+        far = pairs.filter(F.col("level") == -reach).select("key", F.col("ancestor_key").alias("_at"))
+        on = pairs.select(F.col("key").alias("_from"), "ancestor_key", "ancestor", (F.col("level") - reach).alias("level"))
+        found = far.join(on, F.col("_at") == F.col("_from")).filter("key != ancestor_key")
+        nearest = found.groupBy("key", "ancestor_key").agg(F.min("ancestor").alias("ancestor"), F.max("level").alias("level"))
+        new = cut_lineage(nearest.join(pairs, ["key", "ancestor_key"], "left_anti"))
+        rounds.append(new)
+        reach *= 2
+    out = union_all([itself, *rounds])
+    return out if max_depth is None else out.filter(F.col("level") >= -max_depth)
 
 
 def ancestors(edges: DataFrame, key: str, max_depth: int | None = None) -> DataFrame:

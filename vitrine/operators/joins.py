@@ -13,8 +13,20 @@ from vitrine.operators.filters import not_deleted
 # ---- ids ------------------------------------------------------------------------------
 
 
+# Member types whose list has no schema in its name.
+BARE_PARTS = ["view", "content"]
+
+
 def csids(hierarchy: DataFrame, id: str = "id", csid: str = "csid") -> DataFrame:
-    return hierarchy.select(F.col("id").alias(id), F.col("name").alias(csid))
+    """``(id, csid)`` of the records.
+
+    Rows of list members, which carry their list's name, are left out: they are most of
+    the table, share a few names, and would meet in a few tasks of any join by name.
+    """
+    rows = hierarchy.filter(F.col("name").isNull() | ~F.col("name").contains(":"))
+    if "primarytype" in hierarchy.columns:
+        rows = rows.filter(F.col("primarytype").isNull() | ~F.col("primarytype").isin(BARE_PARTS))
+    return rows.select(F.col("id").alias(id), F.col("name").alias(csid))
 
 
 def with_csid(df: DataFrame, hierarchy: DataFrame, id: str = "id", out: str = "csid", how: str = "inner") -> DataFrame:
@@ -274,7 +286,7 @@ def media_rows(c) -> DataFrame:
     edges = c.relations.select("subjectcsid", F.col("objectcsid").alias("_m"))
     rows = media.join(edges, F.col("mediacsid") == F.col("_m")).drop("_m")
 
-    objects = c.hierarchy.select(F.col("id").alias("_oid"), F.col("name").alias("objectcsid"))
+    objects = csids(c.hierarchy, "_oid", "objectcsid")
     rows = rows.join(objects, F.col("subjectcsid") == F.col("objectcsid"), "left")
     numbers = c.objects.select(F.col("id").alias("_n"), "objectnumber")
     rows = rows.join(numbers, F.col("_oid") == F.col("_n"), "left")
