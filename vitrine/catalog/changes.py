@@ -35,7 +35,7 @@ MOVING = f"""(SELECT h.name AS objectcsid, o.objectnumber, CASE WHEN o.numberofo
     FROM {{objects}} o JOIN {{hierarchy}} h ON h.id = o.id JOIN {{objects_ext}} e ON e.id = o.id)"""
 MOVED = f"""SELECT *, CASE objectstatus WHEN 'do not move' THEN locationrefname WHEN 'not found' THEN '{LOST}' ELSE '{TO}' END AS tolocation,
     CASE objectstatus WHEN 'do not move' THEN crate WHEN 'not found' THEN '' ELSE 'Crate 2' END AS tocrate,
-    CASE objectstatus WHEN 'do not move' THEN 'not moved.' WHEN 'not found' THEN 'moved to ''Not Located''.' ELSE 'object moved to Bay 1, Shelf 1: Crate 2.' END AS message,
+    CASE objectstatus WHEN 'do not move' THEN 'kept in place' WHEN 'not found' THEN 'marked as lost' ELSE 'object now at Bay 1, Shelf 1: Crate 2' END AS message,
     'LOC2024-02-03-04-05-' || n AS referencenumber, '2024-02-03T00:00:00Z' AS locationdate, 'Webapp move (Inventory)' AS summary, objectstatus <> 'do not move' AS moved,
     CASE WHEN objectstatus <> 'do not move' THEN 'mv-' || substr(sha256('LOC2024-02-03-04-05-' || n || '|' || objectcsid), 1, 24) END AS movementcsid FROM {MOVING} v"""
 
@@ -68,12 +68,12 @@ def _handlers(c):
 CRATES = f"(SELECT DISTINCT {display('computedcrate')} FROM {{objects_ext}} WHERE computedcrate IS NOT NULL)"
 PLACES = f"(SELECT {display('l.refname')} FROM {{locations}} l JOIN {LIVE} m ON m.id = l.id)"
 NUMBERS = f"(SELECT o.objectnumber FROM {{objects}} o JOIN {LIVE} m ON m.id = o.id)"
-CHECKED = f"""SELECT *, CASE WHEN handlerrefname IS NULL THEN 'Handler ID not recognized!'
-      WHEN code <> 'M' AND moved_at IS NULL THEN 'Date formatting incorrect!'
-      WHEN code <> 'R' AND objectnumber NOT IN {NUMBERS} THEN 'Object Number not found!'
-      WHEN code <> 'M' AND crate NOT IN {CRATES} THEN 'Crate not found!'
-      WHEN location NOT IN {PLACES} THEN 'Location not found!'
-      WHEN moved_at IS NULL THEN 'Date formatting incorrect!' END AS error
+CHECKED = f"""SELECT *, CASE WHEN handlerrefname IS NULL THEN 'unknown handler'
+      WHEN code <> 'M' AND moved_at IS NULL THEN 'bad date'
+      WHEN code <> 'R' AND objectnumber NOT IN {NUMBERS} THEN 'unknown object'
+      WHEN code <> 'M' AND crate NOT IN {CRATES} THEN 'unknown crate'
+      WHEN location NOT IN {PLACES} THEN 'unknown location'
+      WHEN moved_at IS NULL THEN 'bad date' END AS error
     FROM (SELECT line, code, p.handler, date, objectnumber, crate, location, try_strptime(date, '%m/%d/%Y %H:%M') AS moved_at, u.handlerrefname FROM (
       SELECT line, f[1] AS code, f[2] AS handler, CASE f[1] WHEN 'M' THEN f[5] ELSE f[3] END AS date, CASE f[1] WHEN 'M' THEN f[3] WHEN 'C' THEN f[4] END AS objectnumber,
         CASE f[1] WHEN 'C' THEN f[5] WHEN 'R' THEN f[4] END AS crate, CASE f[1] WHEN 'M' THEN f[4] WHEN 'C' THEN f[6] ELSE f[5] END AS location
@@ -148,8 +148,8 @@ def _changes(c):
 RESOLVED = f"""(SELECT t.id, t.items AS term, CASE WHEN t.items = '' THEN '' ELSE coalesce(a.refname, '') END AS items, t.n AS typed,
     CASE WHEN regexp_matches(t.n, '^[0-9]+$') OR t.n = '' THEN t.n END AS n, t.features FROM {CHANGES} t
     LEFT JOIN (SELECT lower({display('refname')}) AS shown, min(refname) AS refname FROM {{places}} GROUP BY 1) a ON a.shown = lower(t.items))"""
-MESSAGE = """trim(CASE WHEN items = '' AND term <> '' THEN 'items: term "' || term || '" not found, field not updated.' ELSE '' END || ' ' ||
-    CASE WHEN n IS NULL THEN 'Object count: "' || typed || '" is not a valid number!' ELSE '' END)"""
+MESSAGE = """trim(CASE WHEN items = '' AND term <> '' THEN 'items: unknown term "' || term || '"' ELSE '' END || ' ' ||
+    CASE WHEN n IS NULL THEN 'not a count: "' || typed || '"' ELSE '' END)"""
 
 
 @query("k09_resolve_terms", f"SELECT id, items, n, features, {MESSAGE} AS message FROM {RESOLVED} r")
@@ -186,7 +186,7 @@ def _sortable(seq: str) -> str:
     return f"lpad(CAST(year AS VARCHAR), 10, '0') || '.' || lpad(CAST(accession AS VARCHAR), 10, '0') || '.' || lpad(CAST({seq} AS VARCHAR), 10, '0')"
 
 
-JUDGED = f"""(SELECT q.*, CASE WHEN n > 100 THEN 'Maximum objects you can create at one time is 100.' WHEN n < 1 THEN 'nothing requested' WHEN taken > 0 THEN 'there are already ' || taken || ' objects in this range!' END AS reason
+JUDGED = f"""(SELECT q.*, CASE WHEN n > 100 THEN 'more than 100 numbers' WHEN n < 1 THEN 'nothing requested' WHEN taken > 0 THEN 'numbers taken: ' || taken END AS reason
     FROM (SELECT r.*, (SELECT count(*) FROM {{objects_ext}} e WHERE e.sortableobjectnumber BETWEEN {_sortable('r.sequence').replace('year', 'r.year').replace('accession', 'r.accession')}
       AND {_sortable('(r.sequence + r.n - 1)').replace('year', 'r.year').replace('accession', 'r.accession')}) AS taken FROM {REQUESTS} r) q)"""
 
@@ -204,7 +204,7 @@ def _k11_refused(c):
 
 INTAKE = f"""(SELECT name, size, objectnumber, date, creator, contributor, handling, CASE WHEN approvedforweb = 'on' THEN 'true' ELSE 'false' END AS approvedforweb,
     CASE WHEN handling IN ('slide', 'borndigital', 'mediaonly') THEN 'N/A: ' || handling ELSE coalesce(k.csid, '') END AS objectcsid,
-    'md-' || substr(sha256(name || '|' || objectnumber || '|' || handling), 1, 24) AS mediacsid, 'BMU20240203040506' AS referencenumber FROM {{manifest}}
+    'md-' || substr(sha256(name || '|' || objectnumber || '|' || handling || '|BMU20240203040506'), 1, 24) AS mediacsid, 'BMU20240203040506' AS referencenumber FROM {{manifest}}
     LEFT JOIN (SELECT o.objectnumber AS number, min(h.name) AS csid FROM {{objects}} o JOIN {{hierarchy}} h ON h.id = o.id JOIN {LIVE} m ON m.id = o.id GROUP BY 1) k ON k.number = objectnumber)"""
 
 

@@ -41,24 +41,24 @@ def move_records(
     status = F.col("objectstatus")
     missing = status.eqNullSafe("not found")
     if app == "movecrate":
-        place, crate, message = F.lit(to_refname), F.col("crate"), F.lit(f"crate moved to {to_label}.")
+        place, crate, message = F.lit(to_refname), F.col("crate"), F.lit(f"crate now at {to_label}")
     elif app in MOVE_TO:
         stays = status.eqNullSafe("do not move")
         place = F.when(stays, F.col("locationrefname")).otherwise(F.lit(to_refname))
         crate = F.when(stays, F.col("crate")).otherwise(F.lit(to_crate))
-        message = F.when(stays, F.lit("not moved.")).otherwise(F.lit(f"object moved to {to_label}."))
+        message = F.when(stays, F.lit("kept in place")).otherwise(F.lit(f"object now at {to_label}"))
     else:
-        place, crate, message = F.col("locationrefname"), F.col("crate"), F.lit("location updated.")
+        place, crate, message = F.col("locationrefname"), F.col("crate"), F.lit("place confirmed")
     time = F.lit(now).cast("timestamp_ntz")
     rows = rows.withColumns({
         "tolocation": F.when(missing, F.lit(not_located)).otherwise(place),
         "tocrate": F.when(missing, F.lit("")).otherwise(crate),
-        "message": F.when(missing, F.lit("moved to 'Not Located'.")).otherwise(message),
+        "message": F.when(missing, F.lit("marked as lost")).otherwise(message),
         "referencenumber": reference_number("LOC", time, F.col("_row")),
         "locationdate": F.date_format(time, "yyyy-MM-dd'T'00:00:00'Z'"),
         "summary": F.concat(F.lit("Webapp move ("), urn_display(F.lit(reason)), F.lit(")")),
     })
-    rows = rows.withColumn("moved", ~F.col("message").contains("not moved"))
+    rows = rows.withColumn("moved", F.col("message") != "kept in place")
     return rows.withColumn("movementcsid", F.when(F.col("moved"), _new_id("mv-", "referencenumber", "objectcsid"))).drop("_row")
 
 
@@ -85,9 +85,9 @@ SCAN_PARTS = {
     "M": {"objectnumber": 2, "location": 3, "date": 4},
     "R": {"date": 2, "crate": 3, "location": 4},
 }
-# Message of each check; a code makes its checks in the order of its parts.
+# Message of each check; a code makes its checks in the order of its parts.
 SCAN_ERRORS = {
-    "date": "Date formatting incorrect!", "objectnumber": "Object Number not found!", "crate": "Crate not found!", "location": "Location not found!",
+    "date": "bad date", "objectnumber": "unknown object", "crate": "unknown crate", "location": "unknown location",
 }
 
 
@@ -120,8 +120,8 @@ def check_scans(c: Collection, lines: DataFrame, handlers: DataFrame) -> DataFra
     rows = exists_check(rows, "location", places, "name", "_location")
     rows = rows.withColumn("_date", F.col("moved_at").isNotNull())
 
-    error = F.when(~F.coalesce(F.col("code").isin(list(SCAN_PARTS)), F.lit(False)), F.lit("Move codes are M, C, or R!"))
-    error = error.when(F.col("handlerrefname").isNull(), F.lit("Handler ID not recognized!"))
+    error = F.when(~F.coalesce(F.col("code").isin(list(SCAN_PARTS)), F.lit(False)), F.lit("unknown move code"))
+    error = error.when(F.col("handlerrefname").isNull(), F.lit("unknown handler"))
     for code, checks in SCAN_PARTS.items():
         for name in checks:
             error = error.when((F.col("code") == code) & ~F.col(f"_{name}"), F.lit(SCAN_ERRORS[name]))
@@ -183,7 +183,7 @@ def resolve_terms(changes: DataFrame, authorities: Mapping[str, DataFrame]) -> D
     for field, authority in authorities.items():
         found = term_lookup(changes, field, authority, missing="blank", out="_found")
         unknown = (F.col("_found") == "") & (F.coalesce(F.col(field), F.lit("")) != "")
-        note = F.when(unknown, F.concat(F.lit(f'{field}: term "'), F.col(field), F.lit('" not found, field not updated.')))
+        note = F.when(unknown, F.concat(F.lit(f'{field}: unknown term "'), F.col(field), F.lit('"')))
         changes = found.withColumn(f"_note_{field}", note).withColumn(field, F.col("_found")).drop("_found")
         notes.append(f"_note_{field}")
     return changes.withColumn("message", F.concat_ws(" ", *notes)).drop(*notes)
@@ -192,7 +192,7 @@ def resolve_terms(changes: DataFrame, authorities: Mapping[str, DataFrame]) -> D
 def check_count(changes: DataFrame, field: str) -> DataFrame:
     """Drops a count that is no number, and reports it."""
     bad = valid_count(field).isNull() & (F.coalesce(F.col(field), F.lit("")) != "")
-    note = F.when(bad, F.concat(F.lit('Object count: "'), F.col(field), F.lit('" is not a valid number!')))
+    note = F.when(bad, F.concat(F.lit('not a count: "'), F.col(field), F.lit('"')))
     message = F.concat_ws(" ", F.nullif("message", F.lit("")), note) if "message" in changes.columns else F.concat_ws("", note)
     return changes.withColumn("message", message).withColumn(field, F.when(~bad, F.col(field)))
 
@@ -200,11 +200,14 @@ def check_count(changes: DataFrame, field: str) -> DataFrame:
 def bulk_edit(records: DataFrame, changes: DataFrame, key: str, rules: Mapping[str, str]) -> DataFrame:
     """Records with the changes of their key; a blank value changes nothing.
 
+    Of changes that repeat a key the greatest row counts, so records never multiply.
+
     ``rules`` says per field how a value goes in: ``replace`` a single value, a list
     rule of :func:`prefer_value`, or ``clear`` for a structured date, whose other
     parts become blank and whose display date becomes the value.
     """
-    new = changes.select(key, *[F.col(f).cast("string").alias(f"_new_{f}") for f in rules])
+    cells = F.struct(*[F.col(f).cast("string").alias(f"_new_{f}") for f in rules])
+    new = changes.groupBy(key).agg(F.max(cells).alias("_new")).select(key, "_new.*")
     joined = records.join(new, key, "left")
     out = {}
     for field, rule in rules.items():
@@ -245,8 +248,8 @@ def create_numbers(requests: DataFrame, known: DataFrame, limit: int = 100) -> t
     hits = probes.join(keys, "_stem").filter(F.col("sortableobjectnumber").between(F.col("_lo"), F.col("_hi")))
     taken = hits.groupBy("request_id").agg(F.count("*").alias("taken"))
     judged = asked.join(taken, "request_id", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    reason = F.when(n > limit, F.lit(f"Maximum objects you can create at one time is {limit}.")).when(
-        n < 1, F.lit("nothing requested")).when(F.col("taken") > 0, F.concat(F.lit("there are already "), F.col("taken").cast("string"), F.lit(" objects in this range!")))
+    reason = F.when(n > limit, F.lit(f"more than {limit} numbers")).when(
+        n < 1, F.lit("nothing requested")).when(F.col("taken") > 0, F.concat(F.lit("numbers taken: "), F.col("taken").cast("string")))
     judged = judged.withColumn("reason", reason)
     number = F.explode(F.sequence(sequence, sequence + n - 1)).alias("_seq")
     made = judged.filter("reason IS NULL").select("request_id", "year", "accession", number)
@@ -262,10 +265,9 @@ def media_intake(c: Collection, manifest: DataFrame, now: str) -> DataFrame:
     """Manifest rows with their media id, object id, flag and reference number."""
     rows = manifest.withColumn("approvedforweb", flag_on("approvedforweb"))
     rows = attach_object_id(rows, c.objects, c.hierarchy, c.misc)
-    return rows.withColumns({
-        "mediacsid": _new_id("md-", "name", "objectnumber", "handling"),
-        "referencenumber": reference_number("BMU", F.lit(now).cast("timestamp_ntz")),
-    })
+    rows = rows.withColumn("referencenumber", reference_number("BMU", F.lit(now).cast("timestamp_ntz")))
+    # A name that is taken in again later is another medium.
+    return rows.withColumn("mediacsid", _new_id("md-", "name", "objectnumber", "handling", "referencenumber"))
 
 
 def media_edges(intake: DataFrame) -> DataFrame:
