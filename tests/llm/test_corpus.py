@@ -166,6 +166,40 @@ def test_decontamination_beyond_the_broadcast(session, odd, monkeypatch):
     assert ours(op8_decontaminate.contamination(docs, items)) == want
 
 
+def on_diagonals(doc, item):
+    """Most words of ``item`` that stand at their places, over all places in ``doc``."""
+    return max((sum(0 <= s + i < len(doc) and doc[s + i] == w for i, w in enumerate(item)) for s in range(1 - len(item), len(doc))), default=0)
+
+
+def test_decontamination_finds_what_all_diagonals_find(session):
+    """Items with a tenth to six tenths of their words replaced, at random or evenly, and with the matches as far apart as they can be."""
+    import random
+
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [[rng.choice(vocabulary) for _ in range(n)] for n in (8, 12, 15, 16, 20, 24, 38, 59)]
+    docs = []
+    for item in items:
+        for rate in (0.1, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6):
+            for _ in range(4):
+                lost = set(rng.sample(range(len(item)), int(rate * len(item))))
+                docs.append(["a", "b"] + [f"x{rng.randrange(10**9)}" if i in lost else w for i, w in enumerate(item)] + ["c"])
+        for every in (2, 3, 4):
+            docs.append([w if i % every else "other" for i, w in enumerate(item)])
+        docs.append([w if i % 2 == 0 else "other" for i, w in enumerate(item)])
+        docs.append([w if i % 4 < 2 else "other" for i, w in enumerate(item)])
+        docs.append(item[len(item) // 2 :] + ["end"])
+        docs.append(["start"] + item[: -(-len(item) // 2)])
+    frame = session.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    benchmark = session.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {}
+    for d, doc in enumerate(docs):
+        best = {i: on_diagonals(doc, t) for i, t in enumerate(items)}
+        want[d] = ",".join(str(i) for i, m in best.items() if m >= 8 and 2 * m >= len(items[i]))
+    assert {r.doc_id: r["items"] for r in op8_decontaminate.contamination(frame, benchmark).collect()} == want
+    assert sum(map(bool, want.values())) > 100
+
+
 def test_decontamination_empty_and_columns(session, odd, empty):
     _, items = passages(session, odd)
     assert op8_decontaminate.contamination(empty, items).count() == 0

@@ -7,6 +7,10 @@ hits.  A hit gives a diagonal: document position minus item position.  Each
 the document: the document is contaminated if at least ``SHARE`` of the item's words, and at
 least ``MIN_WORDS``, stand at their places.  A passage with some words replaced is thus still found.
 
+No such place is lost before it is verified.  ``MASKS`` are all masks of three words within a window of five, so a place has a hit
+unless every five words of it hold two matches at most.  Then ``n`` words hold 2 * (n // 5) + min(n % 5, 2) at most, which for all
+``n`` is below half of them or below 8.
+
 Words are runs of letters, digits and characters outside ASCII, in lower case.  Windows are hashed
 in one generated stage: words once to 64 bits each, then the masked words of each
 window.  The benchmark's hashes are broadcast while there are at most ``BROADCAST_ROWS`` of
@@ -26,7 +30,7 @@ from vitrine.llm.common import fresh, table
 from vitrine.session import cut_lineage
 
 #: 1: the word counts, 0: it may be any word.
-MASKS = ("11111111", "11011010111", "111010011011")
+MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
 MIN_WORDS, SHARE = 8, 0.5
 #: 16 bytes a row: some 32 MB.
 BROADCAST_ROWS = 2_000_000
