@@ -6,7 +6,8 @@ import importlib
 
 MODULES = (
     "op1_licenses", "op2_mixing", "op3_classifier", "op4_language_model", "op5_sharding",
-    "op6_warc", "op7_minhash", "op8_decontaminate", "op9_rules", "op10_simple8b", "pipeline",
+    "op6_warc", "op7_minhash", "op8_decontaminate", "op9_rules", "op10_simple8b", "op11_importance",
+    "op12_negatives", "op13_html", "pipeline",
 )
 
 
