@@ -111,6 +111,52 @@ def test_minhash_finds_all_components(session, odd, percent):
     assert got == {i: (n, least[r]) for (i, _), r, n in zip(rows, root, sizes)}
 
 
+@pytest.mark.parametrize("changes, percent", [(3, 85), (1, 85), (2, 80)])
+def test_minhash_one_group_of_loose_copies(session, changes, percent):
+    """Two thousand copies of a text, each with some words changed: no pair is lost, links or none."""
+    import random
+
+    rng = random.Random(changes)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(120)]
+    rows = []
+    for i in range(2000):
+        text = list(base)
+        for _ in range(changes + i % 3):
+            text[rng.randrange(120)] = rng.choice(vocabulary)
+        rows.append((i, " ".join(text)))
+    number: dict = {}
+    sets = [sum(1 << number.setdefault(x, len(number)) for x in shingles(t)) for _, t in rows]
+    sizes = [s.bit_count() for s in sets]
+    parent = list(range(2000))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(range(2000), 2):
+        n = (sets[a] & sets[b]).bit_count()
+        if 100 * n >= percent * (sizes[a] + sizes[b] - n):
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    frame = session.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in op7_minhash.clustered(frame, percent=percent).collect()}
+    assert got == {i: find(i) for i in range(2000)}
+
+
+def test_intersections_are_those_of_sets():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(1)
+    sets = [set(rng.sample(range(60), rng.randint(0, 30))) for _ in range(25)] + [set()]
+    left, right = np.arange(0, 26, 2), np.arange(26)
+    got = op7_minhash.intersections(sets, left, right, columns=7)
+    assert [[x for b, x in zip(right, row) if b != a] for a, row in zip(left, got.tolist())] == [[len(sets[a] & sets[b]) for b in right if b != a] for a in left]
+
+
 def test_minhash_odd_rows(odd, empty):
     got = op7_minhash.clustered(odd).collect()
     assert len(got) == odd.count()

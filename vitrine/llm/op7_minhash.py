@@ -6,11 +6,15 @@ sigma, shifted round by the k-th step.  ``BANDS`` bands of ``ROWS`` coordinates
 hashed; documents that share a band are candidates, and a candidate pair becomes a link only when the full sets
 of the two texts say so.  With 42 bands of 6 a pair at 0.85 is missed with probability 2e-9, at 0.80 with 3e-6.
 
-Texts that are equal word for word are one class and are handled once.  Within a band no pairs are listed
-wholesale.  First every member is checked against one centre, the member that shares most bands with
-others, which for edited copies is their original.  What these links join needs no
-further check.  Only members of different components that still share a band are compared with each other, by their
-signatures, in blocks; pairs whose estimate is within reach of the threshold are verified, nearest first.
+Texts that are equal word for word are one class and are handled once.  No pairs are listed within a band.  First every
+member is checked against one centre, the member that shares most bands with others, which for edited copies is their
+original.  These checks tell links, and also every member's distance from the centre.  Distance, one less the
+similarity, is a metric: members whose distances from the centre differ by more than a link may be apart are no link.  So a band falls into
+cells by that distance, only neighbouring cells can hold a link, and cells all of one component are done.
+
+What is left is compared in blocks.  A first pass compares signatures, and names the members that have a candidate in another component,
+with no word of which; a pair counts in the first band it shares.  A second pass brings the texts of these members
+together, intersects their full sets as products of 0/1 matrices, and lists links that join components: a forest, so at most one link a member.
 
 Defined cases: a null or empty text has no shingles, is linked with nothing and kept; fewer than five words are one
 shingle; rows without an id take part and are never chosen over rows with one; equal rows are one class;
@@ -35,8 +39,8 @@ SHINGLE, BANDS, ROWS = 5, 42, 6
 COORDINATES = BANDS * ROWS
 #: An estimate this far below the threshold is still verified: four deviations of the mean of 252 coordinates.
 REACH = 0.10
-#: Members of a band that are compared as one block.
-BLOCK = 1024
+#: Members of a band whose signatures are compared as one block; members, and shingles of all of them, whose texts are.
+BLOCK, TEXTS, TEXT_SHINGLES = 4096, 512, 200_000
 #: Odd steps and multipliers of the permutations.
 STEP, SIGMA, PI = 0x9E3779B1, (0x85EBCA6B, 0xC2B2AE35), (0x2C1B3C6D, 0x297A2D39)
 _SHIFTS = (np.arange(1, COORDINATES + 1, dtype=np.uint64) * STEP).astype(np.uint32)
@@ -100,65 +104,132 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets satisfy 100 * intersection >= percent * union."""
+def checked(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with ``common`` and ``total``, the sizes of the intersection and the union of their full sets."""
 
-    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
+    def sizes(left: pd.Series, right: pd.Series) -> pd.DataFrame:
         out, kept = [], {}
         for a, b in zip(left, right):
             if a not in kept:
                 kept.clear()  # rows come sorted by their centre
                 kept[a] = normal(a.encode())[1]
             x, y = kept[a], normal(b.encode())[1]
-            shared = len(x & y)
-            out.append(100 * shared >= percent * (len(x) + len(y) - shared))
-        return pd.Series(out)
+            common = len(x & y)
+            out.append((common, len(x) + len(y) - common))
+        return pd.DataFrame(out, columns=["common", "total"])
 
-    linked.__annotations__ = {"left": pd.Series, "right": pd.Series, "return": pd.Series}
+    sizes.__annotations__ = {"left": pd.Series, "right": pd.Series, "return": pd.DataFrame}
     joined = pairs.join(bodies.select(F.col("key").alias("b"), F.col("body").alias("tb")), "b").join(bodies.select(F.col("key").alias("a"), F.col("body").alias("ta")), "a")
-    return joined.filter(F.pandas_udf(linked, "boolean")("ta", "tb")).select("a", "b")
+    return joined.select("a", "b", F.pandas_udf(sizes, "common long, total long")("ta", "tb").alias("s")).select("a", "b", "s.*")
+
+
+def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """``rows`` of bands dealt in blocks, each copied to every pair of blocks (i, j) it is in; small bands share a ``pack``."""
+    dealt = rows.withColumn("blocks", blocks.cast("int")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    packs = max(1, rows.count() // 4000)
+    return dealt.withColumn("pack", F.pmod(F.xxhash64("band", "i", "j"), F.lit(packs)))
+
 
+def sides(frame: pd.DataFrame):
+    """(rows, places of block i, places of block j) of each pair of blocks in a pack."""
+    for _, part in frame.groupby(["band", "i", "j"], sort=False).indices.items():
+        rows = frame.take(part)
+        block, i, j = rows["own"].to_numpy(), rows["i"].iloc[0], rows["j"].iloc[0]
+        yield rows, np.flatnonzero(block == i), np.flatnonzero(block == j)
 
-def near(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, ca, cb, estimate) of members of different components within a band, by signature.
 
-    Each band is dealt in blocks of ``BLOCK`` members, a task compares two blocks; many small bands share a task.
+def with_candidates(rest: DataFrame, percent: int) -> DataFrame:
+    """(band, key) of the members that have a candidate, by signature, in another component and a neighbouring cell.
+
+    ``rest`` has band, nth, m (members left in the band), key, comp, cell, n and sig.
     """
     reach = percent / 100 - REACH
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    rest = rest.withColumn("blocks", blocks).withColumn("own", own)
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    packs = max(1, rest.count() // 4000)
-    rest = rest.withColumn("pack", F.pmod(F.xxhash64("band", "i", "j"), F.lit(packs)))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in frame.groupby(["band", "i", "j"], sort=False).indices.items():
-            rows = frame.take(part)
+        for rows, left, right in sides(frame):
             sigs = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint16).reshape(-1, COORDINATES)
-            size, block, key = rows["n"].to_numpy(), rows["own"].to_numpy(), rows["key"].tolist()
+            size, cell, nth = rows["n"].to_numpy(), rows["cell"].to_numpy(), rows["nth"].iloc[0]
             comp = pd.factorize(rows["comp"])[0]
-            names = rows["comp"].tolist()
-            i, j, nth = rows["i"].iloc[0], rows["j"].iloc[0], rows["nth"].iloc[0]
-            right = np.flatnonzero(block == j)
-            for x in np.flatnonzero(block == i):
-                ys = right[right > x] if i == j else right
-                ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(size[ys], size[x]) >= percent * np.maximum(size[ys], size[x]))]
+            named = np.zeros(len(rows), dtype=bool)
+            for nr, x in enumerate(left):
+                ys = right if left[0] != right[0] else right[nr + 1 :]
+                ys = ys[(comp[ys] != comp[x]) & (np.abs(cell[ys] - cell[x]) <= 1) & (100 * np.minimum(size[ys], size[x]) >= percent * np.maximum(size[ys], size[x]))]
                 if len(ys):
                     same = sigs[ys] == sigs[x]
-                    close = same.mean(axis=1)
-                    ys, same, close = ys[close >= reach], same[close >= reach], close[close >= reach]
+                    close = same.mean(axis=1) >= reach
                     # A pair is told by the first band it shares, not by each.
-                    mine = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == nth
-                    for y, e in zip(ys[mine], close[mine]):
-                        a, b = (x, y) if key[x] < key[y] else (y, x)
-                        out.append((key[a], key[b], names[a], names[b], float(e)))
-        return pd.DataFrame(out, columns=["a", "b", "ca", "cb", "estimate"])
-
-    columns = rest.select("pack", "band", "nth", "i", "j", "own", "key", "comp", "n", "sig")
-    return columns.groupBy("pack").applyInPandas(compare, "a binary, b binary, ca binary, cb binary, estimate double").distinct()
+                    mine = ys[close][same[close].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == nth]
+                    if len(mine):
+                        named[x] = True
+                        named[mine] = True
+            out.append(rows.loc[named, ["band", "key"]])
+        return pd.concat(out)
+
+    columns = in_blocks(rest, F.ceil(F.col("m") / BLOCK)).select("pack", "band", "nth", "i", "j", "own", "key", "comp", "cell", "n", "sig")
+    return columns.groupBy("pack").applyInPandas(compare, "band long, key binary").distinct()
+
+
+def intersections(sets: list[set], left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of the ``left`` sets with other, ``right`` ones: products of 0/1 matrices, exact below 2^24."""
+    number: dict = {}
+    often: list[int] = []
+    at, what = [], []
+    for k, shingles in enumerate(sets):
+        for shingle in shingles:
+            i = number.setdefault(shingle, len(number))
+            if i == len(often):
+                often.append(0)
+            often[i] += 1
+            at.append(k)
+            what.append(i)
+    at, what = np.array(at, dtype=np.int64), np.array(what, dtype=np.int64)
+    shared = np.array(often, dtype=np.int64) > 1  # what stands in one set alone is in no intersection
+    place = np.cumsum(shared) - 1
+    keep = shared[what] if len(what) else np.zeros(0, dtype=bool)
+    at, what = at[keep], place[what[keep]]
+    order = np.argsort(what, kind="stable")
+    at, what = at[order], what[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float64)
+    for start in range(0, int(what[-1]) + 1 if len(what) else 0, columns):
+        a, b = np.searchsorted(what, (start, start + columns))
+        ones = np.zeros((len(sets), columns), dtype=np.float32)
+        ones[at[a:b], what[a:b] - start] = 1.0
+        out += ones[left] @ ones[right].T
+    return out
+
+
+def forest(rest: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join different components within blocks of ``rest`` (band, key, comp, n, m, words): at most one a member and pair of blocks."""
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for rows, left, right in sides(frame):
+            sets = [normal(t.encode())[1] for t in rows["body"]]
+            size = np.array([len(x) for x in sets])
+            common = intersections(sets, left, right)
+            linked = 100 * common >= percent * (size[left][:, None] + size[right][None, :] - common)
+            root = dict(enumerate(pd.factorize(rows["comp"])[0].tolist()))
+            above: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while c in above:
+                    above[c] = c = above.get(above[c], above[c])
+                return c
+
+            for x, y in zip(*np.nonzero(linked)):
+                p, q = find(root[left[x]]), find(root[right[y]])
+                if p != q:
+                    above[p] = q
+                    out.append((rows["key"].iat[left[x]], rows["key"].iat[right[y]]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    # A block holds few enough members, and few enough shingles, for one task.
+    blocks = F.greatest(F.ceil(F.col("m") / TEXTS), F.ceil(F.col("words") / TEXT_SHINGLES))
+    columns = in_blocks(rest, blocks).join(bodies, "key").select("pack", "band", "i", "j", "own", "key", "comp", "body")
+    return columns.groupBy("pack").applyInPandas(join, "a binary, b binary").distinct()
 
 
 def links(reps: DataFrame, bodies_of, percent: int) -> DataFrame:
@@ -171,27 +242,31 @@ def links(reps: DataFrame, bodies_of, percent: int) -> DataFrame:
     members = cut_lineage(bands.join(sizes, "band"), "members")
     bodies = cut_lineage(bodies_of(members.select("key").distinct()), "bodies")
     central = members.groupBy("key").agg(F.sum("m").alias("weight"))
-    centres = members.join(central, "key").groupBy("band").agg(F.max(F.struct("weight", "key"))["key"].alias("a"))
-    stars = cut_lineage(members.join(centres, "band").filter("a != key").select("a", F.col("key").alias("b")).distinct(), "stars")
-    found = cut_lineage(verified(stars, bodies, percent), "star_links")
-
-    def with_component(frame: DataFrame, of: DataFrame, column: str, name: str) -> DataFrame:
-        named = of.select(F.col("node").alias(column), F.col("root").alias(name))
-        return frame.join(named, column, "left").withColumn(name, F.coalesce(name, column))
+    centred = cut_lineage(members.join(central, "key").groupBy("band").agg(F.max(F.struct("weight", "key"))["key"].alias("a")), "centres")
+    centred = members.select("band", "nth", "key").join(centred, "band")
+    stars = centred.filter("a != key").select("a", F.col("key").alias("b")).distinct()
+    seen = cut_lineage(checked(stars, bodies), "stars")
+    found = cut_lineage(seen.filter(F.expr(f"100 * common >= {percent} * total")).select("a", "b"), "star_links")
 
     joined = cut_lineage(components(found), "components")
-    split = with_component(members, joined, "key", "comp")
-    open_bands = split.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("band")
-    rest = split.join(open_bands, "band").join(reps.select("key", "n", "sig"), "key")
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    candidates = cut_lineage(near(cut_lineage(rest, "rest"), percent).join(tried, ["a", "b"], "left_anti"), "candidates")
-    # Nearest first: one pair for each class and foreign component may already join the two.
-    first = candidates.groupBy("a", "cb").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")).select("a", "b")
-    more = cut_lineage(verified(first, bodies, percent), "near_links")
-    joined = cut_lineage(components(found.union(more)), "components")
-    last = with_component(with_component(candidates.drop("ca", "cb"), joined, "a", "ca"), joined, "b", "cb").filter("ca != cb")
-    last = last.select("a", "b").join(first, ["a", "b"], "left_anti")
-    return found.union(more).union(cut_lineage(verified(last, bodies, percent), "last_links"))
+    split = centred.join(joined.select(F.col("node").alias("key"), F.col("root").alias("comp")), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    # Whole cells of the width of a link: links lie within a cell or between neighbours.
+    cell = F.floor(100 * (F.col("total") - F.col("common")) / F.greatest(F.col("total") * (100 - percent), F.lit(1)))
+    cells = seen.select("a", F.col("b").alias("key"), cell.cast("int").alias("cell"))
+    split = cut_lineage(split.join(cells, ["a", "key"], "left").withColumn("cell", F.coalesce("cell", F.lit(0))), "split")
+    ends = split.groupBy("band", "cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    ends = ends.groupBy("band").agg(F.collect_list(F.struct("cell", "x", "y")).alias("cells"))  # some few cells a band
+    near = lambda c: F.filter("cells", lambda d: F.abs(d["cell"] - c) <= 1)
+    undone = F.filter("cells", lambda c: F.array_min(F.transform(near(c["cell"]), lambda d: d["x"])) != F.array_max(F.transform(near(c["cell"]), lambda d: d["y"])))
+    open_cells = ends.select("band", F.explode(F.transform(undone, lambda c: c["cell"])).alias("cell"))
+    rest = cut_lineage(split.join(open_cells, ["band", "cell"], "left_semi").join(reps.select("key", "n", "sig"), "key"), "rest")
+
+    def sized(rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+        rows = rows if keys is None else rows.join(keys, ["band", "key"])
+        return rows.join(rows.groupBy("band").agg(F.count("*").alias("m"), F.sum("n").alias("words")), "band")
+
+    named = cut_lineage(with_candidates(sized(rest), percent), "named")
+    return found.union(cut_lineage(forest(cut_lineage(sized(rest.drop("sig"), named), "loose"), bodies, percent), "forest"))
 
 
 def _annotated(fn, *types):
