@@ -129,6 +129,27 @@ def test_blocks_split_long_documents():
     assert [(i, np.concatenate(back[i]).tolist()) for i, _ in docs] == [(i, x.tolist()) for i, x in docs]
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 70_000), st.integers(1 << 60, 2**64 - 1)), min_size=1, max_size=3000), st.integers(0, 3100), st.integers(0, 3100))
+def test_a_range_of_a_block_is_read_by_its_marks(values, first, count):
+    ids = np.array(values * 3, dtype=np.uint64)
+    content = s8b.block([(1, 0, len(ids), len(ids))], ids) + b"\n"
+    (block,) = s8b.file_blocks(content)
+    assert block.range(first, count).tolist() == ids[first : first + count].tolist()
+
+
+def test_a_range_of_a_file_reads_only_its_words(monkeypatch):
+    docs = [(i, ((np.arange(50_000) * (i + 7)) % 50_000).astype(np.uint32)) for i in range(6)]
+    content = b"".join(b + b"\n" for b in s8b.blocks(docs))
+    every = np.concatenate([x for _, x in docs]).tolist()
+    whole, seen = s8b.unpack, []
+    monkeypatch.setattr(s8b, "unpack", lambda words, *rest: seen.append(len(words)) or whole(words, *rest))
+    for first, count in ((0, 10), (65_530, 20), (131_000, 70_000), (299_990, 50), (300_000, 5), (17, 0)):
+        seen.clear()
+        assert s8b.read_range(content, first, count).tolist() == every[first : first + count]
+        assert sum(seen) <= count + 4 * s8b.MARK
+
+
 def expected(rows):
     reader = Tokenizer.from_file(public_tokenizers.path(s8b.TOKENIZER))
     reader.encode_special_tokens = True
@@ -155,5 +176,6 @@ def test_whole_ids_are_read_back(session, odd):
 
 @pytest.mark.parametrize("encoder", [lambda: json_encoder(s8b.TOKENIZER), lambda: rank_encoder("byte_bpe_50k.tiktoken")])
 def test_pieces_encode_like_whole_texts(encoder):
-    texts = ["a  b", "x \n y", "é　 q", " lead", "trail ", "a\tb c", "it's 's fine", "\x1c a b\x85 c", "", " ", "a <|endoftext|> b", "  two", "word " * 50 + "x" * 100, "a   b c", "1 2  3 four!! *** (five)"]
+    texts = ["a  b", "x \n y", "é　 q", " lead", "trail ", "a\tb c", "it's 's fine", "\x1c a b\x85 c", "", " ", "a <|endoftext|> b", "  two", "word " * 50 + "x" * 100, "a   b c", "1 2  3 four!! *** (five)",
+             "an end.\nBegin, of\nlines\n\ntwo. naïve,\nÉté!\n a_b don't x's éa's <b>c</b> w/o _ ª º² ½x x½ Straße. ØÆ! ends.\r\nNext ...and --so \"it\" (is) [a] {b} ~c c~\nd~ e\u0301a\nb\u0301"]
     assert [(None, x.tolist()) for x in encoder().texts(texts, 2)] == expected([(None, t) for t in texts])

@@ -3,13 +3,14 @@
 A 64-bit word holds a selector in its top four bits and as many ids as the selector says, of equal
 width, in the other sixty.  An id of more than sixty bits is an escape: a word with
 selector 0, then the id as a word of its own.  Words are cut into blocks of at most
-``BLOCK_IDS`` ids; a block states where its words of each selector stand, so a
-reader unpacks all words of one selector at once, with no walk from word to word.
+``BLOCK_IDS`` ids.  A block lists its escapes, so the selectors of all words are known at once and a
+reader unpacks all words of one selector together, with no walk from word to word; and it lists the offsets of its
+ids by marks, the number of ids before every ``MARK``-th word, so a range of ids is decoded from the words it lies in alone.
 
 A file is a list of blocks, each closed by a line feed that the writer sets (see ``frames``).  A
 block lists the documents it holds ids of: a document's ids may run over several blocks.
 Documents are in ascending order of id within and across files (nulls first), dealt by
-range; rows of equal id are ordered by a hash of their text.
+range; rows of equal id are ordered by a hash of their text.  The strings of special tokens in a text are encoded as ordinary text.
 
 Defined cases: a null text is an empty one, so its only id is the end id; a null id is kept;
 equal rows are encoded once each; an empty table gives no files and no rows; further columns are ignored.
@@ -156,23 +157,71 @@ def blocks(documents: Iterable[tuple[int | None, np.ndarray]]) -> Iterator[bytes
         yield block(listed, np.concatenate(parts))
 
 
-def read_blocks(content: bytes) -> Iterator[tuple[int | None, int, int, np.ndarray]]:
-    """(id, number of the first id, ids in all, ids) of the documents' parts, in the order of a file."""
-    at = 0
-    while at < len(content):
-        magic, documents, n, n_words, n_escapes, n_marks = HEADER.unpack_from(content, at)
+class Block:
+    """A block of a file, at byte ``at`` of its ``content``; its ids are decoded when they are asked for."""
+
+    def __init__(self, content: bytes, at: int):
+        magic, documents, self.n, n_words, n_escapes, n_marks = HEADER.unpack_from(content, at)
         if magic != MAGIC:
             raise ValueError(f"no block at {at}")
         at += HEADER.size
-        listed = [DOCUMENT.unpack_from(content, at + k * DOCUMENT.size) for k in range(documents)]
+        self.documents = [DOCUMENT.unpack_from(content, at + k * DOCUMENT.size) for k in range(documents)]
         at += documents * DOCUMENT.size
-        escapes = np.frombuffer(content, dtype="<u4", count=n_escapes, offset=at).astype(np.int64)
-        at += 4 * (n_escapes + n_marks)
-        words = np.frombuffer(content, dtype="<u8", count=n_words, offset=at)
-        at += 8 * n_words + 1  # and the line feed
-        ids = unpack(words, escapes, n)
-        stop = 0
-        for doc, null, first, here, total in listed:
+        self.escapes = np.frombuffer(content, dtype="<u4", count=n_escapes, offset=at).astype(np.int64)
+        at += 4 * n_escapes
+        self.marks = np.frombuffer(content, dtype="<u4", count=n_marks, offset=at).astype(np.int64)
+        at += 4 * n_marks
+        self.words = np.frombuffer(content, dtype="<u8", count=n_words, offset=at)
+        self.end = at + 8 * n_words + 1  # and the line feed
+
+    def ids(self) -> np.ndarray:
+        return unpack(self.words, self.escapes, self.n)
+
+    def range(self, first: int, count: int) -> np.ndarray:
+        """The ``count`` ids from number ``first`` of the block on, from the words between the marks around them."""
+        stop = min(first + count, self.n)
+        if first >= stop:
+            return np.zeros(0, dtype=np.uint64)
+        mark = int(np.searchsorted(self.marks, first, "right")) - 1
+        after = int(np.searchsorted(self.marks, stop, "left"))
+        start, end = mark * MARK, min(after * MARK, len(self.words))
+        before = int(self.marks[mark])
+        # A mark may fall between an escape and its id, which belong together; the id is counted at the escape.
+        if start and (self.escapes == start - 1).any():
+            start += 1
+        if (self.escapes == end - 1).any():
+            end += 1
+        escapes = self.escapes[(self.escapes >= start) & (self.escapes < end)] - start
+        found = unpack(self.words[start:end], escapes, (int(self.marks[after]) if after < len(self.marks) else self.n) - before)
+        return found[first - before : stop - before]
+
+
+def file_blocks(content: bytes) -> Iterator[Block]:
+    at = 0
+    while at < len(content):
+        block = Block(content, at)
+        yield block
+        at = block.end
+
+
+def read_range(content: bytes, first: int, count: int) -> np.ndarray:
+    """The ``count`` ids from number ``first`` of a file on; blocks outside are passed over, those at its ends read in part."""
+    parts, before = [np.zeros(0, dtype=np.uint64)], 0
+    for block in file_blocks(content):
+        if before >= first + count:
+            break
+        if before + block.n > first:
+            start = max(first - before, 0)
+            parts.append(block.range(start, first + count - before - start))
+        before += block.n
+    return np.concatenate(parts)
+
+
+def read_blocks(content: bytes) -> Iterator[tuple[int | None, int, int, np.ndarray]]:
+    """(id, number of the first id, ids in all, ids) of the documents' parts, in the order of a file."""
+    for block in file_blocks(content):
+        ids, stop = block.ids(), 0
+        for doc, null, first, here, total in block.documents:
             yield None if null else doc, first, total, ids[stop : stop + here]
             stop += here
 

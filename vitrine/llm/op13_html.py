@@ -218,7 +218,9 @@ def labelled(pages: list[str], made: int = LAYOUT_PAGES, seed: int = 13) -> list
 def fitted(df: DataFrame, html_col: str = "html") -> Chain:
     """A chain learnt from a bounded sample of the table's pages and from layouts."""
     sample = df.select(F.col(html_col).cast("string").alias("h")).filter(F.length("h").between(1, TRAIN_CHARS) & F.lower("h").contains("<article"))
-    chosen = sample.select("h", F.xxhash64("h").alias("k")).orderBy("k", "h").limit(TRAIN_PAGES).collect()
+    sample = sample.select("h", F.xxhash64("h").alias("k"))
+    least = [r["k"] for r in sample.select("k").distinct().orderBy("k").limit(TRAIN_PAGES).collect()]
+    chosen = sample.filter(F.col("k").isin(least)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect()
     return learn(labelled([r["h"] for r in chosen]))
 
 

@@ -2,19 +2,25 @@
 
 The byte-level pre-tokenizer starts a new word at any single space that stands between two characters
 that are not white space, and merges never cross words.  So a text cut there encodes to the
-same ids as the whole, and a piece that was seen before need not be encoded again.  New pieces are
-encoded many at a time, as one text, and told apart by the lengths of their tokens in bytes.
+same ids as the whole, and a piece that was seen before need not be encoded again.  A new piece of Latin letters, with or
+without ASCII signs behind them, is two words to the pre-tokenizer, its letters and its signs (and twice that where a line feed stands between), and each word goes to the library's
+model alone.  Other new pieces are encoded many at a time, as one text, and told apart by the lengths of their tokens in bytes.
+
+The strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 #: A space between two characters that no definition of white space includes.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, then signs (but no apostrophe, which may begin a word of its own); perhaps the same again behind a line feed.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)(?:(\n[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*))?")
 #: Pieces a worker remembers (some 200 bytes each); pieces of more characters are not kept.
 REMEMBERED, LONGEST = 800_000, 48
 #: Pieces encoded as one text.
@@ -22,11 +28,15 @@ TOGETHER = 2000
 
 
 class PieceEncoder:
-    """Ids of texts; ``encode`` gives the ids of one text, ``lengths`` the bytes that each id stands for."""
+    """Ids of texts; ``encode`` gives the ids of one text, ``lengths`` the bytes that each id stands for.
+
+    ``word`` gives the ids of one word of the pre-tokenizer, where the library lets its model be asked alone.
+    """
 
-    def __init__(self, encode: Callable[[str], list[int]], lengths: np.ndarray):
-        self.encode, self.lengths = encode, lengths
+    def __init__(self, encode: Callable[[str], list[int]], lengths: np.ndarray, word: Callable[[str], list[int]] | None = None):
+        self.encode, self.lengths, self.word = encode, lengths, word
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def texts(self, texts: Iterable[str], end: int, group_chars: int = 1 << 18) -> Iterator[np.ndarray]:
         """Ids of each text, in order, closed by ``end``; about ``group_chars`` of text are looked up at a time."""
@@ -48,22 +58,53 @@ class PieceEncoder:
         seen: set[str] = set()
         for pieces in cut:
             seen.update(pieces)
-        new = seen.difference(self.known)
-        odd = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
+        rest = self._plain(seen.difference(self.known))
+        odd = {p for p in rest if not p or p[0].isspace() or p[-1].isspace()}
+        rest.difference_update(odd)
         for i, pieces in enumerate(cut):
             if not firsts[i] or firsts[i][-1].isspace() or (odd and not odd.isdisjoint(pieces)):
                 firsts[i], *cut[i] = CUT.split(group[i])
-                new.update(set(cut[i]).difference(self.known))
-        new -= odd
+                rest.update(self._plain(set(cut[i]).difference(self.known)))
         once: dict[str, bytes] = {}
-        for piece, ids in self._encoded(sorted(new)):
+        for piece, ids in self._encoded(sorted(rest)):
             (self.known if len(piece) <= LONGEST else once)[piece] = ids
         ids_of = self.known.__getitem__ if not once else lambda p: once[p] if p in once else self.known[p]
         last = np.uint32(end).tobytes()
         for first, pieces in zip(firsts, cut):
-            start = np.array(self.encode(first), dtype=np.uint32).tobytes()
+            start = array("I", self.encode(first)).tobytes()
             yield np.frombuffer(b"".join((start, *map(ids_of, pieces), last)), dtype=np.uint32)
 
+    def _plain(self, new: set[str]) -> set[str]:
+        """Look up the plain ones of the ``new`` pieces; the others."""
+        if self.word is None:
+            return new
+        known, tails, rest = self.known, self.tails, set()
+        for piece in new:
+            match = PLAIN.fullmatch(piece)
+            if match is None or len(piece) > LONGEST:
+                rest.add(piece)
+                continue
+            letters, signs, line, more = match.groups()
+            ids = known.get(letters)
+            if ids is None:
+                ids = known[letters] = array("I", self.word(" " + letters)).tobytes()
+            if signs:
+                ids += tails.get(signs) or self._tail(signs)
+            if line:
+                ids += (tails.get(line) or self._tail(line))
+                if more:
+                    ids += tails.get(more) or self._tail(more)
+            known[piece] = ids
+        return rest
+
+    def _tail(self, word: str) -> bytes:
+        """Ids of a word with no space before it; after a line feed they are two."""
+        if len(self.tails) > REMEMBERED:
+            self.tails.clear()
+        ids = self.word(word) if word[0] != "\n" else self.word("\n") + self.word(word[1:])
+        self.tails[word] = out = array("I", ids).tobytes()
+        return out
+
     def _encoded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         for at in range(0, len(pieces), TOGETHER):
             part = pieces[at : at + TOGETHER]
@@ -74,6 +115,9 @@ class PieceEncoder:
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
+#: The character that stands for each byte: itself where it prints, else the next one from 256 on.
+_PRINTS = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 
 def json_encoder(name: str) -> PieceEncoder:
@@ -87,7 +131,15 @@ def json_encoder(name: str) -> PieceEncoder:
         lengths = np.zeros(reader.get_vocab_size(), dtype=np.int64)
         for token, i in reader.get_vocab().items():
             lengths[i] = len(token)  # a character for each byte
-        _ENCODERS["json", name] = PieceEncoder(lambda text: reader.encode_batch_fast([text], add_special_tokens=False)[0].ids, lengths)
+        model = reader.model
+
+        def word(text: str) -> list[int]:
+            shown = "Ġ" + text[1:] if text[0] == " " and text.isascii() else text if text.isascii() and text[0] > " " else text.encode().decode("latin-1").translate(_BYTE_CHARS)
+            return [t.id for t in model.tokenize(shown)]
+
+        _ENCODERS["json", name] = PieceEncoder(
+            lambda text: reader.encode_batch_fast([text], add_special_tokens=False)[0].ids, lengths,
+            word)
     return _ENCODERS["json", name]
 
 
