@@ -11,6 +11,7 @@ from vitrine.plans.model import Collection
     (["a", "b"], "c", "prefer", ["c", "a", "b"]), (["a", "b"], "b", "prefer", ["b", "a"]), (["a", "b"], "a", "prefer", ["a", "b"]),
     ([""], "c", "prefer", ["c"]), ([None], "c", "prefer", ["c"]), ([], "c", "prefer", ["c"]), (None, "c", "prefer", ["c"]), ([None, "c"], "c", "prefer", ["c", None]),
     (["a", "b"], "b", "date", ["a", "b"]), (["a"], "b", "date", ["b", "a"]), ([""], "b", "date", ["b", ""]),
+    (["a"], None, "prefer", ["a"]), (None, None, "date", []), (["a", None], None, "insert", ["a", None]),
     (["a", "b"], "b", "insert", ["b", "a", "b"]), (["b", "a"], "b", "insert", ["b", "a"]),
 ])
 def test_prefer_value(spark, items, value, rule, expected):
@@ -94,6 +95,20 @@ def test_scanner_upload(spark, shop):
     assert ch.scanner_moves(shop, mixed, "x").count() == 0
 
 
+def test_a_bad_file_keeps_no_other_from_moving(spark, shop, tmp_path):
+    from vitrine.sources.readers import read_scanner_drop
+
+    handlers = spark.createDataFrame(HANDLERS, "handler string, handlerrefname string")
+    (tmp_path / "a.txt").write_text("\n".join(GOOD))
+    (tmp_path / "b.txt").write_text("\n".join([GOOD[1], *BAD]))
+    (tmp_path / "c.txt").write_text("\n".join(GOOD[1:2] + GOOD[2:3] + [GOOD[2] + " "]))
+    checked = ch.check_scans(shop, read_scanner_drop(spark, str(tmp_path)), handlers)
+    verdicts = {r["file"][-5:]: (r["lines"], r["errors"], r["accepted"]) for r in ch.file_verdicts(checked).collect()}
+    assert verdicts == {"a.txt": (3, 0, True), "b.txt": (1 + len(BAD), len(BAD), False), "c.txt": (2, 0, True)}
+    moves = sorted((r["file"][-5:], r["code"], r["objectcsid"]) for r in ch.scanner_moves(shop, checked, "x").collect())
+    assert moves == [("a.txt", "C", "c1"), ("a.txt", "M", "c1"), ("a.txt", "R", "c1"), ("a.txt", "R", "c2"), ("c.txt", "M", "c1"), ("c.txt", "R", "c1"), ("c.txt", "R", "c2")]
+
+
 @pytest.mark.parametrize("app,expected", [
     ("powermove", {"c1": ("to", "C9", "object now at T"), "c2": ("old", "C1", "kept in place"), "c3": ("lost", "", "marked as lost")}),
     ("movecrate", {"c1": ("to", "C1", "crate now at T"), "c2": ("to", "C1", "crate now at T"), "c3": ("lost", "", "marked as lost")}),

@@ -51,3 +51,47 @@ def test_compat_keeps_only_the_last_display(spark):
     assert ex.field_extract(one, "loansin", "lender", 3, compat=True).head()["lender_ss"] == "Two"
     with pytest.raises(ValueError):
         ex.field_extract(one, "loansin", "lender", 7)
+
+
+def test_every_column_of_the_full_row_has_values(c):
+    rows = ex.metadata_extract(c)
+    filled = rows.agg(*[F.count(n).alias(n) for n in rows.columns]).head().asDict()
+    assert all(filled.values()), [n for n, k in filled.items() if not k]
+
+
+def test_most_rows_are_whole(c):
+    counts = {r["broken"]: r["count"] for r in ex.public_wide(c).groupBy("broken").count().collect()}
+    assert counts[False] > counts[True] > 0
+
+
+def test_a_missing_table_must_be_declared(c):
+    from vitrine.plans.model import Collection
+
+    few = Collection({n: (lambda n=n: c[n]) for n in c if n != "hazardgroup"})
+    with pytest.raises(KeyError):
+        ex.metadata_extract(few)
+    rows = ex.metadata_extract(few.lacking("hazardgroup")).select("hazard_s", "hazardnote_s", "title_s")
+    assert [rows.filter(F.col(n).isNotNull()).isEmpty() for n in rows.columns] == [True, True, False]
+
+
+def test_nightly(c, spark, tmp_path):
+    from vitrine.plans.nightly import nightly
+    from vitrine.sources.versions import PublishedTable
+
+    made = nightly(c, str(tmp_path), "one", "internal")
+    assert made.rows == ex.basic_extract(c).count() == made.good + made.broken and made.good > 0 < made.broken
+    assert made.load(spark).count() == made.good and made.with_blobs > 0 and made.unmatched_blobs >= 0
+    errors = spark.read.csv(made.files("errors"), sep="|", header=True, multiLine=True)
+    assert spark.read.csv(made.files("good"), sep="|", header=True).count() == made.good and errors.count() == made.broken
+    kinds = {r["fieldname"]: r["tokens"] for r in made.profile(spark).collect()}
+    assert kinds["objectcsid_s"] == made.good and kinds["blob_ss"] > 0
+    again = nightly(c, str(tmp_path), "two", "internal")
+    assert again.version == 2 and PublishedTable(spark, f"{tmp_path}/load", "id").versions() == [1, 2]
+    with pytest.raises(Exception):
+        nightly(c, str(tmp_path), "two", "internal")
+
+
+def test_nightly_reads_few_files(c, monkeypatch):
+    """The wide rows are one plan; its scans are counted."""
+    plan = ex.public_wide(c)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 60

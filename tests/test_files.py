@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vitrine.sources import readers as rd
 from vitrine.sources import sinks as sk
+from vitrine.sources.versions import PublishedTable
 from vitrine.streaming import streams as sm
 
 
@@ -68,7 +69,7 @@ def test_replace_load(spark, tmp_path):
     first = spark.createDataFrame([("1", "x|y", "b1,b2"), ("2", "", "")], "id string, t_ss string, blob_ss string")
     sk.replace_load(first, path)
     sk.replace_load(first.filter("id = '1'"), path)
-    row = spark.read.parquet(path).collect()
+    row = PublishedTable(spark, path, "id").read().collect()
     assert len(row) == 1 and row[0]["t_ss"] == ["x", "y"] and row[0]["t_txt"] == ["x", "y"] and row[0]["blob_ss"] == ["b1", "b2"]
 
 
@@ -102,3 +103,33 @@ def test_audit_tabs_and_repeated_keys(spark, tmp_path):
     assert [r["attrs"] for r in rd.read_audit_log(spark, path).collect()] == [{"id": "a", "note": "x y"}]
     line = spark.createDataFrame([("PUT\tt\tedit\tu\tme\tk=1\tj=0\tk=2\tno cell",)], "value string")
     assert rd.parse_audit_log(line).first()["attrs"] == {"k": "2", "j": "0"}
+
+
+def test_a_redelivered_manifest_counts_once(spark, tmp_path, rows):
+    folder, out, state = (str(tmp_path / n) for n in ("drop", "out", "state"))
+    (tmp_path / "drop").mkdir()
+    text = "name|objectnumber\na.jpg|1.1\nb.jpg|1.2\n"
+
+    def run():
+        stream = sm.manifest_stream(spark, folder, ["name", "objectnumber"], "*.csv", late="1 day").select("name", "objectnumber")
+        sm.run_to_table(stream, out, state).awaitTermination()
+
+    put(tmp_path / "drop" / "a.csv", text)
+    run()
+    put(tmp_path / "drop" / "b.csv", text + "c.jpg|1.3\n")
+    run()
+    assert rows(spark.read.parquet(out)) == [("a.jpg", "1.1"), ("b.jpg", "1.2"), ("c.jpg", "1.3")]
+
+
+def test_late_lines_go_to_the_side_table(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    line = "POST\t2024-01-{0:02}T00:00:00Z\tmove\tu\tme\tid={0}\n"
+    put(tmp_path / "in" / "a", line.format(9) + line.format(9) + "#note\n" + line.format(10) + "POST\tno time\tmove\tu\tme\tid=x\n")
+    sm.run_audit(spark, folder, out, state)
+    put(tmp_path / "in" / "b", line.format(10) + line.format(2) + line.format(2) + line.format(11))
+    sm.run_audit(spark, folder, out, state)
+    put(tmp_path / "in" / "c", line.format(2) + line.format(3))
+    actions, aside = sm.run_audit(spark, folder, out, state)
+    assert sorted(r["attrs"]["id"] for r in actions.collect()) == ["10", "11", "9"]
+    assert sorted(r["attrs"]["id"] for r in aside.collect()) == ["2", "3", "x"]

@@ -88,3 +88,30 @@ def test_hot_key_join_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_resolved_links_give_what_csids_give(spark, base, hierarchy, rows):
+    from vitrine.plans.links import linked, resolve_links, store_links
+    from vitrine.plans.model import Collection
+
+    edges = spark.createDataFrame(
+        [("csid-1", "A", "csid-2", "B"), ("csid-1", "A", "csid-9", "B"), ("csid-2", "B", "csid-1", "A"), ("csid-1", "A", "csid-2", "B")],
+        "subjectcsid string, subjectdocumenttype string, objectcsid string, objectdocumenttype string").withColumn("relationshiptype", F.lit("affects"))
+    ids = base.select("id")
+    stored = store_links(Collection.of(relations=edges, hierarchy=hierarchy))
+    for links in (resolve_links(edges, hierarchy), stored):
+        for kind in (None, "A", "B", "C"):
+            for way in ("subject", "object"):
+                assert rows(linked(ids, links, "other", kind, way)) == rows(jn.related(ids, edges, hierarchy, "other", kind, way))
+    assert any("objectdocumenttype=B" in f for f in stored.inputFiles())
+
+
+def test_cell_maps_take_the_greatest_of_a_repeated_field(spark):
+    long = spark.createDataFrame([("1", "a", "x"), ("1", "a", "y"), ("1", "b", None), ("2", "b", "z")], "id string, field string, value string")
+    assert {r["id"]: r["cells"] for r in jn.cell_maps(long).collect()} == {"1": {"a": "y", "b": None}, "2": {"b": "z"}}
+
+
+def test_stitch_takes_one_row_of_a_repeated_key(spark, rows):
+    base = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
+    frame = spark.createDataFrame([("1", "x", 1), ("1", "y", None), ("1", "x", 2)], "id string, w string, n int")
+    assert rows(jn.stitch(base, [frame])) == [("1", "a", "y", ""), ("2", "b", "", "")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "filters", "joins", "trees", "statistics", "extracts", "reports", "changes", "files")
+MODULES = ("text", "filters", "joins", "trees", "statistics", "extracts", "reports", "changes", "files", "stored")
 
 
 def _load() -> None:

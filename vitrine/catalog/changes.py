@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitrine.catalog.extracts import to_objects
 from vitrine.catalog.filters import LIVE
 from vitrine.catalog.registry import query
 from vitrine.catalog.reports import RANGED, REVIEWED
 from vitrine.catalog.text import display
 from vitrine.functions import text as tx
+from vitrine.operators.aggregates import union_all
 from vitrine.plans import changes as ch
 from vitrine.plans import reports as rp
+from vitrine.session import scratch_path
+from vitrine.sources import readers as rd
+from vitrine.sources.versions import PublishedTable
 
 NOW = "2024-02-03 04:05:06"
 LOST = "urn:x:location:name(location):item:name(l0)''unlocated''"
@@ -56,6 +61,48 @@ def _k07_counts(c):
     return ch.move_counts(_moves(c))
 
 
+# What each branch does with an object that is found, in SQL: place, crate, message.
+BRANCHES = {
+    "movecrate": (f"'{TO}'", "crate", "'crate now at Bay 1, Shelf 1: Crate 2'"),
+    "grpmove": (f"CASE objectstatus WHEN 'do not move' THEN locationrefname ELSE '{TO}' END", "CASE objectstatus WHEN 'do not move' THEN crate ELSE 'Crate 2' END",
+                "CASE objectstatus WHEN 'do not move' THEN 'kept in place' ELSE 'object now at Bay 1, Shelf 1: Crate 2' END"),
+    "inventory": ("locationrefname", "crate", "'place confirmed'"),
+}
+STATUS = "CASE WHEN o.numberofobjects % 5 = 0 THEN 'do not move' WHEN o.numberofobjects % 7 = 0 THEN 'not found' ELSE 'moved' END"
+
+
+def branch_sql(app: str, chosen: str) -> str:
+    """Moves of the live objects whose id is in ``chosen``."""
+    place, crate, message = BRANCHES[app]
+    rows = f"""(SELECT h.name AS objectcsid, o.objectnumber, {STATUS} AS objectstatus, o.computedcurrentlocation AS locationrefname, coalesce({display('e.computedcrate')}, '') AS crate,
+      row_number() OVER (ORDER BY h.name) AS n FROM {{objects}} o JOIN {LIVE} m ON m.id = o.id JOIN {{hierarchy}} h ON h.id = o.id JOIN {{objects_ext}} e ON e.id = o.id WHERE o.id IN ({chosen}))"""
+    return f"""SELECT '{app}' AS app, objectcsid, objectnumber, CASE objectstatus WHEN 'not found' THEN '{LOST}' ELSE {place} END AS tolocation, CASE objectstatus WHEN 'not found' THEN '' ELSE {crate} END AS tocrate,
+      CASE objectstatus WHEN 'not found' THEN 'marked as lost' ELSE {message} END AS message, 'LOC2024-02-03-04-05-' || n AS referencenumber FROM {rows} v"""
+
+
+AT_PLACES = f"""SELECT h2.id FROM {{movements}} x JOIN {{hierarchy}} h1 ON h1.id = x.id JOIN {{relations}} r ON r.subjectcsid = h1.name JOIN {{hierarchy}} h2 ON h2.name = r.objectcsid
+    JOIN {{objects}} o ON o.id = h2.id AND o.computedcurrentlocation = x.currentlocation JOIN {{locations}} l ON l.refname = x.currentlocation JOIN {{hierarchy}} h3 ON h3.parentid = l.id
+    JOIN {{location_terms}} t ON t.id = h3.id WHERE t.termdisplayname IN (SELECT termdisplayname FROM {RANGED} z)"""
+
+
+@query("k07_other_moves", " UNION ALL ".join([
+    branch_sql("movecrate", f"SELECT id FROM {{objects_ext}} WHERE {display('computedcrate')} = 'Crate 4'"),
+    branch_sql("grpmove", f"SELECT o.id FROM {to_objects('groups', 'CollectionObject')} WHERE x.title = '1-URGENT 24'"), branch_sql("inventory", AT_PLACES)]))
+def _k07_other(c):
+    """Crate, group and inventory moves, each fed from the rows its preview shows."""
+    chosen = {"movecrate": ch.crate_rows(c, "Crate 4"), "grpmove": ch.group_rows(c, "1-URGENT 24"),
+              "inventory": ch.inventory_rows(c, rp.location_list(c, "range", "Bay 0", "Bay 5").select("termdisplayname"))}
+    size = F.col("numberofobjects")
+    status = F.when(size % 5 == 0, "do not move").when(size % 7 == 0, "not found").otherwise("moved").alias("objectstatus")
+    reason = "urn:x:reason:name(reason):item:name(r1)'Inventory'"
+    parts = []
+    for app, ids in chosen.items():
+        rows = ch.move_rows(c, ids.join(c.objects.select("id", status), "id"))
+        moves = ch.move_records(rows, app, TO.replace("''", "'"), "Bay 1, Shelf 1: Crate 2", reason, NOW, LOST.replace("''", "'"), "Crate 2")
+        parts.append(moves.select(F.lit(app).alias("app"), "objectcsid", "objectnumber", "tolocation", "tocrate", "message", "referencenumber"))
+    return union_all(parts)
+
+
 HANDLERS = "(SELECT DISTINCT 'A' || (user_id % 8) AS handler, 'urn:x:person:name(person):item:name(u' || (user_id % 8) || ')''User ' || (user_id % 8) || '''' AS handlerrefname FROM {events})"
 
 
@@ -81,56 +128,98 @@ CHECKED = f"""SELECT *, CASE WHEN handlerrefname IS NULL THEN 'unknown handler'
       LEFT JOIN {HANDLERS} u ON u.handler = p.handler) w"""
 
 
+CHECKED_FILES = CHECKED.replace("SELECT line, code, p.handler", "SELECT upload, line, code, p.handler").replace("SELECT line, f[1] AS code", "SELECT upload, line, f[1] AS code").replace(
+    "SELECT line, string_split", "SELECT upload, line, string_split").replace("SELECT DISTINCT rtrim(value) AS line", "SELECT DISTINCT upload, rtrim(value) AS line")
+
+
 @query("k08_check_scans", CHECKED)
 def _k08_check(c):
-    return ch.check_scans(c, c.scan_lines, _handlers(c))
+    return ch.check_scans(c, c.scan_lines.select("value"), _handlers(c))
+
+
+def _uploads(c):
+    """Scanner lines dropped as files, one for each upload, and read back."""
+    spark = c.scan_lines.sparkSession
+    folder = scratch_path(spark, "scans")
+    c.scan_lines.select("upload", "value").repartition(60, "upload").write.partitionBy("upload").text(folder)
+    return rd.read_scanner_drop(spark, folder)
+
+
+def _upload_of(file: str):
+    return F.regexp_extract(file, r"upload=([0-9]+)/", 1).cast("bigint").alias("upload")
 
 
 OBJECT_CSIDS = "(SELECT o.id, o.objectnumber, h.name AS objectcsid FROM {objects} o JOIN {hierarchy} h ON h.id = o.id)"
+ACCEPTED = f"(SELECT w.* FROM ({CHECKED_FILES}) w WHERE upload NOT IN (SELECT upload FROM ({CHECKED_FILES}) z WHERE error IS NOT NULL))"
 
 
-@query("k08_scanner_moves", f"""WITH good AS (SELECT * FROM ({CHECKED}) w WHERE error IS NULL),
-    found AS (SELECT good.*, l.refname AS locationrefname FROM good LEFT JOIN (SELECT lower({display('refname')}) AS shown, min(refname) AS refname FROM {{locations}} GROUP BY 1) l ON l.shown = lower(good.location)),
-    hit AS (SELECT f.code, o.objectcsid, f.objectnumber, coalesce(f.crate, '') AS crate, f.locationrefname, f.moved_at, f.handlerrefname FROM found f
+@query("k08_scanner_moves", f"""WITH found AS (SELECT good.*, l.refname AS locationrefname FROM {ACCEPTED} good
+      LEFT JOIN (SELECT lower({display('refname')}) AS shown, min(refname) AS refname FROM {{locations}} GROUP BY 1) l ON l.shown = lower(good.location)),
+    boxes AS (SELECT DISTINCT upload, code, crate, moved_at, locationrefname, handlerrefname FROM found WHERE code = 'R'),
+    hit AS (SELECT f.upload, f.code, o.objectcsid, f.objectnumber, coalesce(f.crate, '') AS crate, f.locationrefname, f.moved_at, f.handlerrefname FROM found f
         JOIN (SELECT objectnumber, min(objectcsid) AS objectcsid FROM {OBJECT_CSIDS} x GROUP BY 1) o ON o.objectnumber = f.objectnumber WHERE f.code <> 'R'
-      UNION ALL SELECT f.code, o.objectcsid, o.objectnumber, f.crate, f.locationrefname, f.moved_at, f.handlerrefname FROM found f JOIN {{objects_ext}} e ON {display('e.computedcrate')} = f.crate
-        JOIN {OBJECT_CSIDS} o ON o.id = e.id WHERE f.code = 'R')
-    SELECT code, objectcsid, objectnumber, crate, locationrefname, strftime(moved_at, '%Y-%m-%dT%H:%M:%SZ') AS locationdate, handlerrefname, 'Inventory' AS reason,
+      UNION ALL SELECT f.upload, f.code, o.objectcsid, o.objectnumber, f.crate, f.locationrefname, f.moved_at, f.handlerrefname FROM boxes f JOIN {{objects_ext}} e ON {display('e.computedcrate')} = f.crate
+        JOIN {OBJECT_CSIDS} o ON o.id = e.id)
+    SELECT upload, code, objectcsid, objectnumber, crate, locationrefname, strftime(moved_at, '%Y-%m-%dT%H:%M:%SZ') AS locationdate, handlerrefname, 'Inventory' AS reason,
       strftime(moved_at, '%Y-%m-%d') || ' (Inventory)' AS summary FROM hit""")
 def _k08_moves(c):
-    checked = ch.check_scans(c, c.scan_lines, _handlers(c))
-    return ch.scanner_moves(c, checked.filter("error IS NULL"), "Inventory")
+    moves = ch.scanner_moves(c, ch.check_scans(c, _uploads(c), _handlers(c)), "Inventory")
+    return moves.withColumn("upload", _upload_of("file")).drop("file")
+
+
+@query("k08_file_verdicts", f"SELECT upload, count(*) AS lines, count(error) AS errors, count(error) = 0 AS accepted FROM ({CHECKED_FILES}) w GROUP BY 1")
+def _k08_verdicts(c):
+    verdicts = ch.file_verdicts(ch.check_scans(c, _uploads(c), _handlers(c)))
+    return verdicts.withColumn("upload", _upload_of("file")).drop("file")
 
 
 @query("k08_scanner_rejects", f"SELECT count(CASE WHEN error IS NOT NULL THEN 1 END) AS errors, 0 AS moves FROM ({CHECKED}) w")
 def _k08_rejects(c):
+    """All lines as one upload: one error, and nothing moves."""
     from vitrine.operators.joins import scalar_row
 
-    checked = ch.check_scans(c, c.scan_lines, _handlers(c))
+    checked = ch.check_scans(c, c.scan_lines.select("value"), _handlers(c))
     moves = ch.scanner_moves(c, checked, "Inventory")
     return scalar_row(checked.sparkSession, errors=checked.filter("error IS NOT NULL").agg(F.count("*")), moves=moves.agg(F.count("*").cast("int")))
 
 
 # ---- edits -------------------------------------------------------------------------------------
 
-LISTS = """(SELECT id, list(item ORDER BY pos) AS items FROM {contentplaces} WHERE item IS NOT NULL GROUP BY id)"""
+LISTS = """(SELECT o.id, l.items FROM {objects} o LEFT JOIN (SELECT id, list(item ORDER BY pos) AS items FROM {contentplaces} GROUP BY id) l ON l.id = o.id)"""
 
 
 def _lists(c):
-    return c.contentplaces.filter("item IS NOT NULL").groupBy("id").agg(F.expr("transform(array_sort(collect_list(struct(pos, item))), x -> x.item)").alias("items"))
+    """Every object's places in order, nulls among them; null for an object without a list."""
+    lists = c.contentplaces.groupBy("id").agg(F.expr("transform(array_sort(collect_list(struct(pos, item))), x -> x.item)").alias("items"))
+    return c.objects.select("id").join(lists, "id", "left")
+
+
+def _shown_list(items):
+    return F.array_join(items, "|", "-")
+
+
+def _edit_sql(v: str, rule: str) -> str:
+    """A list after an edit, an empty one for none."""
+    old = "coalesce(items, [])"
+    rest = f"list_filter({old}, lambda x: x IS DISTINCT FROM {v})"
+    same = f"{v} IS NULL OR {old}[1] IS NOT DISTINCT FROM {v}"
+    if rule == "date":
+        return f"CASE WHEN {v} IS NULL OR list_contains({old}, {v}) THEN {old} ELSE list_concat([{v}], {old}) END"
+    if rule == "insert":
+        return f"CASE WHEN {same} THEN {old} ELSE list_concat([{v}], {old}) END"
+    return f"""CASE WHEN {same} THEN {old} WHEN list_contains({old}, {v}) THEN list_concat([{v}], {rest}) WHEN len({old}) = 1 AND coalesce({old}[1], '') = '' THEN [{v}]
+      ELSE list_concat([{v}], {old}) END"""
 
 
-def _edited(v: str) -> str:
-    rest = f"list_filter(items, lambda x: x <> {v})"
-    return (f"array_to_string(CASE WHEN items[1] = {v} THEN items WHEN list_contains(items, {v}) THEN list_concat([{v}], {rest}) ELSE list_concat([{v}], items) END, '|') AS prefer, "
-            f"array_to_string(CASE WHEN list_contains(items, {v}) THEN items ELSE list_concat([{v}], items) END, '|') AS dated, "
-            f"array_to_string(CASE WHEN items[1] = {v} THEN items ELSE list_concat([{v}], items) END, '|') AS inserted")
+def _shown_sql(items: str) -> str:
+    return f"array_to_string(list_transform({items}, lambda x: coalesce(x, '-')), '|')"
 
 
-@query("k10_prefer_value", f"SELECT id, {_edited('v')} FROM (SELECT l.id, l.items, o.fieldcollectionplace AS v FROM {LISTS} l JOIN {{objects}} o ON o.id = l.id WHERE o.fieldcollectionplace IS NOT NULL) t")
+@query("k10_prefer_value", f"""SELECT id, {_shown_sql(_edit_sql('v', 'prefer'))} AS prefer, {_shown_sql(_edit_sql('v', 'date'))} AS dated, {_shown_sql(_edit_sql('v', 'insert'))} AS inserted
+    FROM (SELECT l.id, l.items, o.fieldcollectionplace AS v FROM {LISTS} l JOIN {{objects}} o ON o.id = l.id) t""")
 def _k10(c):
-    rows = _lists(c).join(c.objects.filter("fieldcollectionplace IS NOT NULL").select("id", F.col("fieldcollectionplace").alias("v")), "id")
-    return rows.select("id", *[F.array_join(ch.prefer_value("items", "v", rule), "|").alias(out) for rule, out in (("prefer", "prefer"), ("date", "dated"), ("insert", "inserted"))])
+    rows = _lists(c).join(c.objects.select("id", F.col("fieldcollectionplace").alias("v")), "id")
+    return rows.select("id", *[_shown_list(ch.prefer_value("items", "v", rule)).alias(out) for rule, out in (("prefer", "prefer"), ("date", "dated"), ("insert", "inserted"))])
 
 
 CHANGES = """(SELECT id, CASE WHEN numberofobjects % 3 = 0 THEN 'nation_' || (numberofobjects % 30) ELSE '' END AS items, CASE numberofobjects % 4 WHEN 0 THEN numberofobjects || 'x' WHEN 1 THEN '' ELSE CAST(numberofobjects + 100 AS VARCHAR) END AS n,
@@ -157,16 +246,36 @@ def _k09_resolve(c):
     return ch.check_count(ch.resolve_terms(_changes(c), {"items": c.places}), "n")
 
 
-@query("k09_bulk_edit", f"""SELECT l.id, array_to_string(CASE WHEN r.items = '' THEN l.items WHEN l.items[1] = r.items THEN l.items WHEN list_contains(l.items, r.items)
-      THEN list_concat([r.items], list_filter(l.items, lambda x: x <> r.items)) ELSE list_concat([r.items], l.items) END, '|') AS items,
+EDITED = f"""(SELECT l.id, {_shown_sql("CASE WHEN coalesce(new, '') = '' THEN coalesce(l.items, []) ELSE " + _edit_sql("new", "prefer").replace("items", "l.items") + " END")} AS items,
     CASE WHEN r.n <> '' THEN CAST(r.n AS INT) ELSE o.numberofobjects END AS n, CASE WHEN r.features <> '' THEN r.features ELSE o.distinguishingfeatures END AS features,
-    coalesce(r.items <> '', false) OR coalesce(r.n <> '', false) OR coalesce(r.features <> '', false) AS edited
-    FROM {LISTS} l JOIN {{objects}} o ON o.id = l.id JOIN {RESOLVED} r ON r.id = l.id""")
+    coalesce(new <> '', false) OR coalesce(r.n <> '', false) OR coalesce(r.features <> '', false) AS edited
+    FROM {LISTS} l JOIN {{objects}} o ON o.id = l.id JOIN (SELECT id, items AS new, n, features FROM {RESOLVED} r0) r ON r.id = l.id)"""
+RULES = {"items": "prefer", "n": "replace", "features": "replace"}
+
+
+def _records(c):
+    return _lists(c).join(c.objects.select("id", F.col("numberofobjects").alias("n"), F.col("distinguishingfeatures").alias("features")), "id")
+
+
+def _resolved(c):
+    return ch.check_count(ch.resolve_terms(_changes(c), {"items": c.places}), "n")
+
+
+@query("k09_bulk_edit", f"SELECT * FROM {EDITED} e")
 def _k09(c):
-    records = _lists(c).join(c.objects.select("id", F.col("numberofobjects").alias("n"), F.col("distinguishingfeatures").alias("features")), "id")
-    changes = ch.check_count(ch.resolve_terms(_changes(c), {"items": c.places}), "n")
-    edited = ch.bulk_edit(records, changes, "id", {"items": "prefer", "n": "replace", "features": "replace"})
-    return edited.withColumn("items", F.array_join("items", "|"))
+    edited = ch.bulk_edit(_records(c), _resolved(c), "id", RULES)
+    return edited.withColumn("items", _shown_list(F.coalesce("items", F.array().cast("array<string>"))))
+
+
+@query("k09_stored_edit", f"SELECT id, items, n, features FROM {EDITED} e")
+def _k09_stored(c):
+    """The same edits, made in a published table of the records: the version after them."""
+    spark = c.objects.sparkSession
+    table = PublishedTable(spark, scratch_path(spark, "records"), "id", 16)
+    table.publish(_records(c))
+    changes = _resolved(c)
+    table.edit(changes.select("id"), lambda rows: ch.bulk_edit(rows, changes, "id", RULES).drop("edited"))
+    return table.read().withColumn("items", _shown_list(F.coalesce("items", F.array().cast("array<string>"))))
 
 
 # ---- numbers, intake, labels -----------------------------------------------------------------------

@@ -10,6 +10,8 @@ from vitrine.catalog.filters import LIVE
 from vitrine.catalog.registry import query
 from vitrine.catalog.text import cleaned, display
 from vitrine.plans import extract as ex
+from vitrine.plans.nightly import nightly
+from vitrine.session import scratch_path
 
 S = "␥"
 LIVE_OBJECTS = f"(SELECT o.* FROM {{objects}} o JOIN {LIVE} m ON m.id = o.id)"
@@ -121,9 +123,9 @@ def _r02(c):
 
 # ---- templates ------------------------------------------------------------------------------
 
-KIND1 = ["material", "measuredPart", "objectProductionOrganization", "objectProductionPerson", "objectProductionPlace", "title", "technique"]
+KIND1 = ["assocCulturalContext", "assocOrganization", "assocPerson", "assocPlace", "material", "measuredPart", "objectProductionOrganization", "objectProductionPerson", "objectProductionPlace", "title", "technique"]
 KIND2 = [field for _, field in ex.FIELD_PAIRS[2]]
-KIND3 = {"loanoutnumber": "loansout", "borrower": "loansout", "loaninnumber": "loansin"}
+KIND3 = {"loanoutnumber": "loansout", "borrower": "loansout", "loaninnumber": "loansin", "exitnumber": "objectexit"}
 KIND5 = {"loanoutdate": "loansout", "loanindate": "loansin"}
 
 FRAMES: dict[str, str] = {f"{f.lower()}_ss": group_sql(f) for f in KIND1}
@@ -279,8 +281,11 @@ ONCE = ", ".join(f"{unquoted(n, n != 'id', n != WIDE_COLUMNS[-1], pairs=False)}
 TWICE = ", ".join(f"{unquoted(f'replace({n}, ' + chr(39) + S + chr(39) + ', ' + chr(39) + '|' + chr(39) + ')', n != 'id')} AS {n}" for n in WIDE_COLUMNS)
 
 
-@query("k01_public_extract", WIDE + f""", once AS (SELECT {ONCE} FROM checked WHERE NOT broken), blobs AS ({BLOBS})
-    SELECT {TWICE}, coalesce(blobs.blobs, '') AS blob_ss FROM once LEFT JOIN blobs ON blobs.csid = once.csid_s""")
+PUBLIC = f"""once AS (SELECT {ONCE} FROM checked WHERE NOT broken), blobs AS ({BLOBS}),
+    public AS (SELECT {TWICE}, coalesce(blobs.blobs, '') AS blob_ss FROM once LEFT JOIN blobs ON blobs.csid = once.csid_s)"""
+
+
+@query("k01_public_extract", f"{WIDE}, {PUBLIC} SELECT * FROM public")
 def _k01(c):
     return ex.public_extract(c)
 
@@ -296,3 +301,30 @@ def _k01_errors(c):
     coalesce(blobs.blobs, '') AS blob_ss FROM good LEFT JOIN blobs ON blobs.csid = good.csid_s""")
 def _k02(c):
     return ex.internal_extract(c)
+
+
+def _nightly(c):
+    """The public job over the whole collection, run once for all queries on what it makes."""
+    return c.keep("nightly", lambda: nightly(c, scratch_path(c.objects.sparkSession, "nightly"), "20240203040506"))
+
+
+@query("k01_nightly_counts", f"""{WIDE}, {PUBLIC} SELECT (SELECT count(*) FROM wide) AS rows, (SELECT count(*) FROM public) AS good, (SELECT count(*) FROM checked WHERE broken) AS broken,
+    (SELECT count(*) FROM public WHERE blob_ss <> '') AS with_blobs, (SELECT count(*) FROM blobs WHERE csid NOT IN (SELECT csid_s FROM public)) AS unmatched_blobs,
+    (SELECT count(*) FROM public) AS loaded, (SELECT count(*) FROM checked WHERE broken) AS error_lines""")
+def _k01_nightly(c):
+    """The counts that the job kept on the way, and what its outputs hold."""
+    spark, made = c.objects.sparkSession, _nightly(c)
+    loaded, errors = made.load(spark).agg(F.count("*").alias("loaded")), spark.read.text(made.files("errors")).filter("NOT startswith(value, 'id\tcsid_s')").agg(F.count("*").alias("n"))
+    given = {n: getattr(made, n) for n in ("rows", "good", "broken", "with_blobs", "unmatched_blobs")}
+    return loaded.select(*[F.lit(v).cast("bigint").alias(n) for n, v in given.items()], "loaded", errors.select("n").scalar().alias("error_lines"))
+
+
+@query("k01_nightly_profile", f"{WIDE}, {PUBLIC} " + " UNION ALL ".join(
+    f"SELECT {i} AS col, '{n}' AS fieldname, count(DISTINCT CASE WHEN v <> '' THEN v END) AS types, count(CASE WHEN v <> '' THEN 1 END) AS tokens FROM (SELECT unnest(string_split({n}, '|')) AS v FROM public)"
+    for i, n in enumerate([*WIDE_COLUMNS, "blob_ss"], 1)))
+def _k01_profile(c):
+    """The profile that the job made of all columns of the load."""
+    rows = _nightly(c).profile(c.objects.sparkSession)
+    places = {n: i for i, n in enumerate([*WIDE_COLUMNS, "blob_ss"], 1)}
+    at = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
+    return rows.select(F.element_at(at, F.col("fieldname")).alias("col"), "fieldname", "types", "tokens")

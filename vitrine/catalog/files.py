@@ -14,6 +14,7 @@ from vitrine.plans import extract as ex
 from vitrine.session import scratch_path
 from vitrine.sources import readers as rd
 from vitrine.sources import sinks as sk
+from vitrine.sources.versions import PublishedTable
 from vitrine.streaming import streams as sm
 
 
@@ -108,9 +109,9 @@ def _a06(c):
     return rd.read_field_spec(lines.sparkSession, _written(lines, "spec")).select("number", "Name", "Label", "SolrField", "Facet", "x")
 
 
-def _log_lines(c):
+def _log_lines(events):
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return c.events.select(F.concat_ws(
+    return events.select(F.concat_ws(
         "\t", F.lit("POST"), at, "event_type", F.lit("movements"), F.concat(F.lit("user"), F.col("user_id").cast("string")),
         F.concat(F.lit("value="), F.col("event_id").cast("string")), F.concat(F.lit("props="), "props"), F.concat(F.lit("note=a=b"))).alias("value"))
 
@@ -118,7 +119,7 @@ def _log_lines(c):
 @query("a07_read_audit_log", """SELECT 'POST' AS action, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS logged_at, event_type AS update_type, 'user' || user_id AS username,
     CAST(event_id AS VARCHAR) AS value, props, 'a=b' AS note FROM {events}""")
 def _a07(c):
-    lines = _log_lines(c).union(c.region.select(F.concat(F.lit("#"), "r_name")))
+    lines = _log_lines(c.events).union(c.region.select(F.concat(F.lit("#"), "r_name")))
     log = rd.read_audit_log(lines.sparkSession, _written(lines, "log"))
     return log.select("action", "logged_at", "update_type", "username", *[F.col("attrs")[k].alias(k) for k in ("value", "props", "note")])
 
@@ -154,17 +155,17 @@ def _k03(c):
     path = scratch_path(c.objects.sparkSession, "index")
     sk.replace_load(_indexable(c).limit(0), path)
     sk.replace_load(_indexable(c), path)
-    loaded = c.objects.sparkSession.read.parquet(path)
+    loaded = PublishedTable(c.objects.sparkSession, path, "id").read()
     return loaded.select("id", "objectnumber_s", F.size("comments_ss").cast("bigint").alias("n"), F.array_join("comments_ss", "~").alias("comments_ss"))
 
 
-@query("k04_write_delimited", f"SELECT id, objectnumber, {cleaned('contentdescription')} AS contentdescription FROM {{objects}} WHERE contentdescription IS NOT NULL")
+@query("k04_write_delimited", f"SELECT id, objectnumber, coalesce({cleaned('contentdescription')}, '') AS contentdescription FROM {{objects}}")
 def _k04(c):
     spark = c.objects.sparkSession
-    rows = c.objects.filter("contentdescription IS NOT NULL").withColumn("contentdescription", tx.collapse_ctrl_ws("contentdescription"))
+    rows = c.objects.withColumn("contentdescription", tx.collapse_ctrl_ws("contentdescription"))
     path = scratch_path(spark, "csv")
     target = sk.write_delimited(rows, path, "20240203040506", ["id", "objectnumber", "contentdescription"], sep=",", quote_all=True, compression="gzip")
-    return spark.read.csv(target, header=True)
+    return spark.read.csv(target, header=True).withColumn("contentdescription", F.coalesce("contentdescription", F.lit("")))
 
 
 @query("k05_suffix_schema", f"SELECT id, objectnumber_s, objectnumber_s AS objectnumber_txt, collection_txt, collection_txt AS collection_s, array_to_string(c, '~') AS comments_ss, array_to_string(c, '~') AS comments_txt FROM ({INDEXED}) t")
@@ -218,11 +219,36 @@ def _s01(c):
     return spark.read.parquet(f"{out}/rows").select("name", "objectnumber", "handling", "approvedforweb", "objectcsid", "mediacsid", "referencenumber")
 
 
+@query("s01_redelivered", f"SELECT name, objectnumber, handling, approvedforweb, objectcsid, mediacsid, referencenumber FROM (SELECT DISTINCT * FROM {INTAKE} i) j")
+def _s01_again(c):
+    """The manifest dropped twice, as two files, counts once."""
+    spark = c.manifest.sparkSession
+    folder, out, state = (scratch_path(spark, n) for n in ("drop", "intake", "state"))
+    for name in ("a", "b"):
+        c.manifest.write.csv(f"{folder}/{name}.step1.csv", header=True, sep="|")
+        stream = sm.manifest_stream(spark, f"{folder}/*.step1.csv", c.manifest.columns, glob="*.csv", late="7 days")
+        sm.run_intake(c, stream, NOW, out, state).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("name", "objectnumber", "handling", "approvedforweb", "objectcsid", "mediacsid", "referencenumber")
+
+
 @query("s02_audit_stream", """SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H') AS hour, event_type AS update_type, count(*) AS n FROM {events}
     GROUP BY 1, 2, time_bucket(INTERVAL 1 HOUR, ts) HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 DAY FROM {events})""")
 def _s02(c):
     spark = c.events.sparkSession
     folder, out, state = (scratch_path(spark, n) for n in ("log", "activity", "state"))
-    _log_lines(c).write.text(folder)
+    _log_lines(c.events).write.text(folder)
     sm.run_to_table(sm.recent_activity(sm.audit_stream(spark, folder)), out, state).awaitTermination()
     return spark.read.parquet(out).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "update_type", "n")
+
+
+@query("s02_every_line_once", "SELECT event_type AS update_type, CAST(event_id AS VARCHAR) AS value, count(*) AS n FROM {events} GROUP BY 1, 2")
+def _s02_once(c):
+    """The log in two files that overlap, the later times first: each line is in one of the two outputs, once."""
+    spark = c.events.sparkSession
+    folder, out, state = (scratch_path(spark, n) for n in ("log", "audit", "state"))
+    late = c.events.filter(F.col("ts") >= c.events.select(F.min("ts") + F.expr("INTERVAL 3 DAYS")).scalar())
+    for rows in (late, c.events):
+        lines = _log_lines(rows)
+        lines.write.mode("append").text(folder)
+        actions, aside = sm.run_audit(spark, folder, out, state)
+    return actions.union(aside).groupBy("update_type", F.col("attrs")["value"].alias("value")).agg(F.count("*").alias("n"))

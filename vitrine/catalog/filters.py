@@ -177,11 +177,11 @@ def _c15(c):
         return fl.not_deleted(terms.select("id", *cols).join(parent, "id"), c.misc, "parentid")
 
     location = live_terms(c.location_terms, "termdisplayname").withColumn("key", tx.location_key("termdisplayname"))
-    location = fl.suggest(location, "termdisplayname", "Bay 1", ignore_case=True, order="key")
-    number = fl.suggest(_numbered(c), "objectnumber", "199", order="sortableobjectnumber")
-    group = fl.suggest(fl.not_deleted(c.groups, c.misc), "title", "1")
+    location = fl.suggest(location, "termdisplayname", "Bay 1", ignore_case=True, n=30, order="key")
+    number = fl.suggest(_numbered(c), "objectnumber", "199", n=30, order="sortableobjectnumber")
+    group = fl.suggest(fl.not_deleted(c.groups, c.misc), "title", "1", n=30)
     place = live_terms(c.place_terms.filter("termtype = 'descriptor'"), "termname")
-    place = fl.suggest(place, "termname", "tion_1", how="infix", ignore_case=True)
+    place = fl.suggest(place, "termname", "tion_1", how="infix", ignore_case=True, n=30)
     parts = [("location", location, "termdisplayname"), ("object", number, "objectnumber"), ("group", group, "title"), ("place", place, "termname")]
     return ag.union_all([df.select(F.lit(kind).alias("kind"), F.col(col).alias("v")) for kind, df, col in parts])
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from vitrine.plans.links import store_links
 from vitrine.plans.model import Collection
 from vitrine.session import cut_lineage
 
@@ -54,15 +56,15 @@ def taxon_ref(number: str) -> str:
 
 
 def mixed(authority: str, display: str) -> str:
-    """A refname, at times free text with control characters, at times null."""
+    """A refname, at times free text with a line end and now and then a tab, at times null."""
     named = refname(authority, f"{s('s')}", display)
     return (
         f"CASE WHEN (k + pos) % 11 = 0 THEN NULL "
-        f"WHEN (k + pos) % 7 = 0 THEN 'free ' || flag || chr(10) || chr(9) || st ELSE {named} END"
+        f"WHEN (k + pos) % 7 = 0 THEN 'free ' || flag || chr(10) || CASE WHEN (k + pos) % 13 = 0 THEN chr(9) ELSE ' ' END || st ELSE {named} END"
     )
 
 
-# Repeating groups of an object: id prefix / list name / primary type.
+# Repeating groups of an object: id prefix / list name / primary type / last digit classes (all, where none are named).
 OBJECT_LISTS = """
 nm/objects:objectNameList/objectNameGroup
 mt/objects:materialGroupList/materialGroup
@@ -80,6 +82,20 @@ on/objects:otherNumberList/otherNumber
 an/objects:altNumGroupList/otherNumber
 pd/objects:objectProductionDateGroupList/structuredDateGroup
 fd/objects:fieldCollectionDateGroup/structuredDateGroup
+ar/objects:assocPersonGroupList/assocPersonGroup/01
+ao/objects:assocOrganizationGroupList/assocOrganizationGroup/23
+al/objects:assocPlaceGroupList/assocPlaceGroup/45
+ac/objects:assocCulturalContextGroupList/assocCulturalContextGroup/67
+eo/objects:exhibitionobjectGroupList/exhibitionobjectGroup/1
+el/objects:exhibitionObjectLocalGroupList/exhibitionObjectLocalGroup/2
+gc/objects:Groups_CommonList/objectGroup/3
+oc/objects:objectComponentGroupList/objectComponentGroup/4
+dx/objects:dimensionsubGroupList/objectDimensionGroup/5
+ld/objects:lenderGroupList/objectLenderGroup/6
+lt/objects:loanStatusGroupList/objectLoanStatusGroup/7
+cg/objects:conditioncheckGroupList/conditioncheckGroup/0
+hx/objects:hazardGroupList/objectHazardGroup/1
+cv/objects:conservationstatusGroupList/objectConservationGroup/2
 """.split()
 
 # Repeating groups of a procedure, and the last digit classes that have them.
@@ -109,6 +125,12 @@ def _unnested(source: str, specs: list[str]) -> tuple[str, str]:
     )
 
 
+def among(prefix: str) -> str:
+    """The members whose objects have the list of ``prefix``."""
+    (classes,) = (spec.split("/")[3] for spec in OBJECT_LISTS if spec.startswith(f"{prefix}/"))
+    return f"{{member}} WHERE k % 8 IN ({', '.join(classes)})"
+
+
 VIEWS: dict[str, str | tuple[str, str]] = {
     # ---- list members ----------------------------------------------------
     "member": """SELECT l_partkey AS k, l_linenumber - 1 AS pos, min(l_returnflag) AS flag,
@@ -123,7 +145,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "procedure_spec": _unnested("procedure_member", PROCEDURE_LISTS),
     "object_list": f"""SELECT split_part(spec, '/', 1) || '-' || {s('k')} || '-' || {s('pos')} AS id,
         'p' || {s('k')} AS parentid, split_part(spec, '/', 2) AS name, pos,
-        split_part(spec, '/', 3) AS primarytype FROM {{object_spec}}""",
+        split_part(spec, '/', 3) AS primarytype FROM {{object_spec}}
+        WHERE split_part(spec, '/', 4) = '' OR position({s('k % 8')} IN split_part(spec, '/', 4)) > 0""",
     "procedure_list": f"""SELECT split_part(spec, '/', 1) || '-' || {s('k')} || '-' || {s('pos')} AS id,
         'o' || {s('k')} AS parentid, split_part(spec, '/', 2) AS name, pos,
         split_part(spec, '/', 3) AS primarytype FROM {{procedure_spec}}
@@ -219,7 +242,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         CASE WHEN p_partkey % 10 = 0 THEN 'true' ELSE 'false' END AS rare,
         CASE WHEN p_partkey % 7 = 0 THEN 'true' ELSE 'false' END AS deadflag FROM {{part}}""",
     "groups": f"""SELECT 'o' || {s('o_orderkey')} AS id, o_orderpriority || ' ' || {s('o_orderkey % 50')} AS title,
-        o_orderstatus AS responsibledepartment FROM {{orders}} WHERE o_orderkey % 8 = 0""",
+        o_orderstatus AS responsibledepartment FROM {{orders}} WHERE o_orderkey % 8 = 0 UNION ALL SELECT 'gc-' || {s('k')} || '-' || {s('pos')}, 'set ' || flag || {s('q')}, st FROM {among('gc')}""",
     "acquisitions": f"""SELECT 'o' || {s('o_orderkey')} AS id, 'AC' || {s('o_orderkey % 200')} AS acquisitionreferencenumber,
         CASE WHEN o_orderkey % 3 <> 0 THEN 'Gift of ' || o_orderpriority END AS creditline FROM {{orders}} WHERE o_orderkey % 8 = 1""",
     "exhibitions": f"""SELECT 'o' || {s('o_orderkey')} AS id, 'EX' || {s('o_orderkey % 100')} AS exhibitionnumber,
@@ -234,6 +257,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "conditionchecks_ext": f"""SELECT 'o' || {s('o_orderkey')} AS id,
         CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE {refname('condition', 'o_orderstatus', "'Cond ' || o_orderpriority")} END
         AS condition, o_orderdate AS conditiondate FROM {{orders}} WHERE o_orderkey % 8 = 5""",
+    "objectexit": f"SELECT 'o' || {s('o_orderkey')} AS id, 'OX' || {s('o_orderkey % 300')} AS exitnumber FROM {{orders}} WHERE o_orderkey % 16 = 15",
     "conservation": f"SELECT 'o' || {s('o_orderkey')} AS id FROM {{orders}} WHERE o_orderkey % 8 = 6",
     "movements": f"""SELECT 'o' || {s('o_orderkey')} AS id, {location_ref('o_custkey % 20')} AS currentlocation,
         CASE WHEN o_orderkey % 3 = 0 THEN 'Dead' WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS reasonformove,
@@ -289,15 +313,23 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         UNION ALL SELECT 'fd-' || {s('k')} || '-' || {s('pos')}, CASE WHEN k % 5 = 0 THEN '' ELSE 'coll. ' || {s('1900 + q')} END, d, 'found' FROM {{member}}
         UNION ALL SELECT 'ad-' || {s('k')} || '-' || {s('pos')}, 'acc. ' || {s('1900 + q')}, d, 'accession' FROM {{procedure_member}}
         UNION ALL SELECT 'aq-' || {s('k')} || '-' || {s('pos')}, 'acq. ' || {s('1900 + q')}, d, 'acquisition' FROM {{procedure_member}}""",
-    "lendergroup": f"SELECT 'le-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('org', 'flag || ' + s('s % 9'))} AS lender FROM {{procedure_member}}",
-    "loanstatusgroup": f"SELECT 'ls-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('loanstatus', 'flag')} AS loanstatus, 'n ' || st AS loanstatusnote, d AS loanstatusdate FROM {{procedure_member}}",
-    "hazardgroup": f"SELECT 'hz-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('hazard', 'flag || st')} AS hazard, 'n ' || st AS hazardnote, d AS hazarddate FROM {{procedure_member}}",
-    "conservationstatusgroup": f"SELECT 'cs-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('cons', 'flag || st')} AS status, d AS statusdate FROM {{procedure_member}}",
+    "lendergroup": f"SELECT 'le-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('org', 'flag || ' + s('s % 9'))} AS lender FROM {{procedure_member}} UNION ALL SELECT 'ld-' || {s('k')} || '-' || {s('pos')}, {mixed('org', 'flag || ' + s('s % 9'))} FROM {among('ld')}",
+    "loanstatusgroup": f"SELECT 'ls-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('loanstatus', 'flag')} AS loanstatus, 'n ' || st AS loanstatusnote, d AS loanstatusdate FROM {{procedure_member}} UNION ALL SELECT 'lt-' || {s('k')} || '-' || {s('pos')}, {mixed('loanstatus', 'flag')}, 'n ' || st, d FROM {among('lt')}",
+    "hazardgroup": f"SELECT 'hz-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('hazard', 'flag || st')} AS hazard, 'n ' || st AS hazardnote, d AS hazarddate FROM {{procedure_member}} UNION ALL SELECT 'hx-' || {s('k')} || '-' || {s('pos')}, {mixed('hazard', 'flag || st')}, 'n ' || st, d FROM {among('hx')}",
+    "conservationstatusgroup": f"SELECT 'cs-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('cons', 'flag || st')} AS status, d AS statusdate FROM {{procedure_member}} UNION ALL SELECT 'cv-' || {s('k')} || '-' || {s('pos')}, {mixed('cons', 'flag || st')}, d FROM {among('cv')}",
+    "assocpersongroup": f"SELECT 'ar-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('person', 'flag || ' + s('s % 9'))} AS assocperson FROM {among('ar')}",
+    "assocorganizationgroup": f"SELECT 'ao-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('org', s('s % 8'))} AS assocorganization FROM {among('ao')}",
+    "assocplacegroup": f"SELECT 'al-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('place', s('s % 7'))} AS assocplace FROM {among('al')}",
+    "assocculturalcontextgroup": f"SELECT 'ac-' || {s('k')} || '-' || {s('pos')} AS id, {mixed('concept', 'st')} AS assocculturalcontext FROM {among('ac')}",
+    "exhibitionobjectgroup": f"SELECT 'eo-' || {s('k')} || '-' || {s('pos')} AS id, 'EO' || {s('s')} AS exhibitionobjectnumber FROM {among('eo')}",
+    "exhibitionobjectlocalgroup": f"SELECT 'el-' || {s('k')} || '-' || {s('pos')} AS id, 'EL' || {s('s')} AS exhibitionobjectnumberlocal FROM {among('el')}",
+    "objectcomponentgroup": f"SELECT 'oc-' || {s('k')} || '-' || {s('pos')} AS id, 'part ' || flag AS objectcomponentname, 'of ' || st AS objectcomponentinformation FROM {among('oc')}",
+    "conditioncheckgroup": f"SELECT 'cg-' || {s('k')} || '-' || {s('pos')} AS id, 'cond ' || flag AS condition, d AS conditiondate FROM {among('cg')}",
     "placeownergroup": f"""SELECT 'ow' || {s('n_nationkey')} AS id,
         CASE WHEN n_nationkey % 5 = 4 THEN NULL ELSE {refname('org', "'g' || " + s('n_regionkey'), "'Agency ' || " + s('n_regionkey'))} END AS placeowner,
         'held by Agency ' || {s('n_regionkey')} AS ownershipnote FROM {{nation}}""",
     "dimensionsubgroup": f"""SELECT 'ds-' || {s('k')} || '-' || {s('pos')} AS id, CASE pos % 2 WHEN 0 THEN 'height' ELSE 'width' END AS dimension,
-        CASE WHEN k % 17 <> 0 THEN {s('q')} END AS value, {refname('unit', "'u' || flag", "flag || ' in'")} AS measurementunit FROM {{member}}""",
+        CASE WHEN k % 17 <> 0 THEN {s('q')} END AS value, {refname('unit', "'u' || flag", "flag || ' in'")} AS measurementunit FROM {{member}} UNION ALL SELECT 'dx-' || {s('k')} || '-' || {s('pos')}, 'depth', {s('q')}, 'cm' FROM {among('dx')}""",
     # ---- repeating scalars (id, pos, item) -----------------------------------
     "comments": f"SELECT 'p' || {s('k')} AS id, pos, flag || chr(10) || st || CASE WHEN k % 9 = 0 THEN ' | ' ELSE ' / ' END || {s('q')} AS item FROM {{member}}",
     "styles": f"SELECT 'p' || {s('k')} AS id, pos, {mixed('style', 'flag')} AS item FROM {{member}}",
@@ -311,7 +343,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "responsibledepartments": f"SELECT 'p' || {s('k')} AS id, pos, 'dept ' || st AS item FROM {{member}}",
     "photos": f"SELECT 'p' || {s('k')} AS id, pos, 'photo ' || {s('q')} AS item FROM {{member}} WHERE k % 2 = 0",
     "collectionlists": f"SELECT 'p' || {s('k')} AS id, pos, {refname('collection', 'flag', "'List ' || flag")} AS item FROM {{member}} WHERE pos = 0",
-    "exhibitionhistories": f"SELECT 'p' || {s('k')} AS id, pos, 'shown ' || {s('1950 + q')} AS item FROM {{member}}",
+    # all line items: positions repeat within a list
+    "exhibitionhistories": f"SELECT 'p' || {s('l_partkey')} AS id, l_linenumber - 1 AS pos, 'shown ' || {s('1950 + CAST(l_quantity AS INT)')} AS item FROM {{lineitem}}",
     "owners": f"SELECT 'o' || {s('k')} AS id, pos, {refname('person', s('s'), "'Donor ' || " + s('s % 30'))} AS item FROM {{procedure_member}} WHERE k % 8 = 1",
     # ---- statistics snapshots, moves, manifests ------------------------------
     "daily": """SELECT o_orderdate AS d, o_orderpriority AS label, count(*) AS n, CAST(sum(o_custkey % 10) AS BIGINT) AS w
@@ -324,12 +357,18 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         UNION ALL SELECT 'db', 'objByObjType', 'totalPieceCount', 'pieces', label, CAST(w * 2 AS DOUBLE), w / 4.0E0, d FROM {daily}
         UNION ALL SELECT 'db', 'objByObjType', 'truePieceCount', 'pieces', label, CAST(w * 2 + 1 AS DOUBLE), w / 2.0E0, d FROM {daily}
         UNION ALL SELECT 'other', 'objByLegCat', 'totalMusNoCount', 'musNumbers', label, CAST(n AS DOUBLE), 1.0E0, d FROM {daily}""",
-    "scan_lines": f"""SELECT event_id AS line_id, CASE
-        WHEN event_id % 10 < 4 THEN '"M","A' || {s('user_id % 9')} || '","' || objectnumber || '","' || {location_name('user_id % 12')} || '","07/' || lpad({s('1 + event_id % 28')}, 2, '0') || '/2013 15:54"'
-        WHEN event_id % 10 < 7 THEN '"C","A' || {s('user_id % 9')} || '","07/' || lpad({s('1 + event_id % 33')}, 2, '0') || '/2013 15:54","' || objectnumber || '","Crate ' || {s('event_id % 14')} || '","' || {location_name('user_id % 12')} || '"  '
-        WHEN event_id % 10 < 9 THEN '"R","A' || {s('user_id % 9')} || '","07/11/2013 17:29","Crate ' || {s('event_id % 14')} || '","' || {location_name('user_id % 12')} || '"'
+    # Scanner lines in sixty uploads; the lines of every fourth name things that do not exist.
+    "scan_source": f"""SELECT event_id, user_id, event_type, event_id % 60 AS upload, 'p' || {s('CASE WHEN loose THEN event_id % parts WHEN live % 101 = 0 THEN live + 1 ELSE live END')} AS oid,
+        CASE WHEN loose THEN user_id % 12 ELSE 1 + user_id % 9 END AS place, CASE WHEN loose THEN event_id % 14 ELSE 1 + 3 * (event_id % 4) END AS crate,
+        CASE WHEN loose THEN user_id % 9 ELSE user_id % 8 END AS handler, CASE WHEN loose THEN 1 + event_id % 33 ELSE 1 + event_id % 28 END AS day FROM (
+          SELECT *, 1 + 13 * (event_id % CAST(FLOOR((parts - 3) / 13) AS BIGINT)) AS live FROM (
+            SELECT *, event_id % 4 = 0 AS loose, (SELECT max(p_partkey) FROM {{part}}) AS parts FROM {{events}}) a) b""",
+    "scan_lines": f"""SELECT event_id AS line_id, upload, CASE
+        WHEN event_id % 10 < 4 THEN '"M","A' || {s('handler')} || '","' || objectnumber || '","' || {location_name('place')} || '","07/' || lpad({s('1 + event_id % 28')}, 2, '0') || '/2013 15:54"'
+        WHEN event_id % 10 < 7 THEN '"C","A' || {s('handler')} || '","07/' || lpad({s('day')}, 2, '0') || '/2013 15:54","' || objectnumber || '","Crate ' || {s('crate')} || '","' || {location_name('place')} || '"  '
+        WHEN event_id % 10 < 9 THEN '"R","A' || {s('handler')} || '","07/11/2013 17:29","Crate ' || {s('crate')} || '","' || {location_name('place')} || '"'
         ELSE 'X comment ' || event_type END AS value
-        FROM {{events}} JOIN {{objects}} ON id = 'p' || {s('event_id % 180')}""",
+        FROM {{scan_source}} JOIN {{objects}} ON id = oid""",
     "manifest": f"""SELECT 'img' || {s('doc_id')} || '.jpg' AS name, {s('n_chars')} AS size,
         CASE WHEN doc_id % 6 = 5 THEN 'none' ELSE o.objectnumber END AS objectnumber, '2020-01-01' AS date, lang AS creator,
         source AS contributor, CASE doc_id % 4 WHEN 0 THEN 'slide' WHEN 1 THEN 'mediaonly' ELSE 'normal' END AS handling,
@@ -340,7 +379,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
 
 # A collection stores these tables; the other views are cheap projections of them
 # or of the given tables.
-STORED = ("member", "procedure_member", "hierarchy", "misc", "relations")
+STORED = ("member", "procedure_member", "hierarchy", "misc", "relations", "edges")
 
 _COLLECTIONS: dict[tuple[str, str], Collection] = {}
 
@@ -392,12 +431,11 @@ def collection(spark: SparkSession, sf_dir: str) -> Collection:
 
 
 def _exists(spark: SparkSession, df: DataFrame) -> bool:
-    jvm = spark.sparkContext._jvm
-    for name in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            return False
-    return True
+    try:
+        spark.read.format("binaryFile").load(df.inputFiles()[:1]).select("length").collect()
+        return True
+    except (AnalysisException, PySparkException):
+        return False
 
 
 def _open_collection(spark: SparkSession, sf_dir: str) -> Collection:
@@ -408,12 +446,13 @@ def _open_collection(spark: SparkSession, sf_dir: str) -> Collection:
             if name in VIEWS:
                 text = _text(name, 0)
                 df = spark.sql(text, **{n: open_one(n) for n in _needs(text)})
-                opened[name] = cut_lineage(df, name) if name in STORED else df
+                opened[name] = cut_lineage(df, name, keep=True) if name in STORED else df
             else:
                 opened[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return opened[name]
 
-    return Collection({n: (lambda n=n: open_one(n)) for n in [*GIVEN, *VIEWS]})
+    tables = Collection({n: (lambda n=n: open_one(n)) for n in [*GIVEN, *VIEWS]})
+    return tables.adding(edges=lambda: store_links(tables))
 
 
 def still_there(spark: SparkSession) -> bool:

@@ -106,21 +106,22 @@ def _d10(c):
     return pairs.join(groups, "gid").select("id", "title")
 
 
-@query("d11_stitch", """WITH a AS (SELECT o_custkey AS k, count(*) AS n_orders FROM {orders} WHERE o_orderstatus <> 'P' GROUP BY 1),
-    b AS (SELECT s_suppkey * 20 AS k, s_name FROM {supplier})
-    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name, coalesce(CAST(n_orders AS VARCHAR), '') AS n_orders, coalesce(s_name, '') AS s_name
-    FROM {customer} LEFT JOIN a ON a.k = c_custkey LEFT JOIN b ON b.k = c_custkey""")
+@query("d11_stitch", """WITH a AS (SELECT o_custkey AS k, count(*) AS n_orders FROM {orders} GROUP BY 1),
+    b AS (SELECT s_suppkey * 20 AS k, s_name FROM {supplier}), c AS (SELECT o_custkey AS k, max(o_orderpriority) AS priority FROM {orders} GROUP BY 1)
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name, coalesce(CAST(n_orders AS VARCHAR), '') AS n_orders, coalesce(s_name, '') AS s_name, coalesce(priority, '') AS priority
+    FROM {customer} LEFT JOIN a ON a.k = c_custkey LEFT JOIN b ON b.k = c_custkey LEFT JOIN c ON c.k = c_custkey""")
 def _d11(c):
+    """The last frame repeats its keys: a row an order."""
     base = c.customer.select(F.col("c_custkey").cast("string").alias("id"), "c_name")
-    a = c.orders.filter("o_orderstatus <> 'P'").groupBy(F.col("o_custkey").cast("string").alias("id")).agg(F.count("*").alias("n_orders"))
+    a = c.orders.groupBy(F.col("o_custkey").cast("string").alias("id")).agg(F.count("*").alias("n_orders"))
     b = c.supplier.select((F.col("s_suppkey") * 20).cast("string").alias("id"), "s_name")
-    return jn.stitch(base, [a, b])
+    return jn.stitch(base, [a, b, c.orders.select(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderpriority").alias("priority"))])
 
 
-@query("d12_merge_list", """SELECT p_partkey, p_name, coalesce((SELECT string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey, l_linenumber)
-    FROM {lineitem} WHERE l_partkey = p_partkey AND l_returnflag = 'R'), '') AS orders FROM {part}""")
+@query("d12_merge_list", """SELECT p_partkey, p_name, coalesce(o, '') AS orders FROM {part} LEFT JOIN (
+    SELECT l_partkey, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey) AS o FROM {lineitem} GROUP BY 1) l ON l_partkey = p_partkey""")
 def _d12(c):
-    many = c.lineitem.filter("l_returnflag = 'R'").select("l_partkey", F.col("l_orderkey").cast("string").alias("o"), "l_orderkey")
+    many = c.lineitem.select("l_partkey", F.col("l_orderkey").cast("string").alias("o"), "l_orderkey")
     return jn.merge_list(c.part.select("p_partkey", "p_name"), many, "p_partkey", "o", "orders", many_key="l_partkey", order="l_orderkey")
 
 

@@ -8,9 +8,9 @@ from vitrine.catalog.extracts import LIVE_OBJECTS, first
 from vitrine.catalog.filters import LIVE, NUMBERED
 from vitrine.catalog.registry import query
 from vitrine.catalog.text import display, display_first
-from vitrine.catalog.trees import CLOSURE, down, place_edges
+from vitrine.catalog.trees import CLOSURE, down, place_edges, place_tree
 from vitrine.operators import aggregates as ag
-from vitrine.operators import hierarchy as hi
+from vitrine.operators import intervals as iv
 from vitrine.plans import reports as rp
 
 
@@ -220,7 +220,7 @@ def _r24(c):
     SELECT * REPLACE (CASE WHEN deadflag = 'true' OR deadflag IS NULL THEN coalesce(previouslocation, 'None') || ' [' || coalesce(CAST(actiondate AS VARCHAR), 'None') || ']' ELSE gardenlocation END AS gardenlocation)
     FROM ({taxa(T_ALIVE)}) t WHERE locality IN (SELECT term FROM terms) AND rare = 'false'""")
 def _r25(c):
-    terms = hi.descendants(place_edges(c), "AFRICA").select("term")
+    terms = iv.descendants(place_tree(c), "AFRICA").select("term")
     return _day_text(rp.authority_scan(rp.all_taxa(_plants(c), "alive"), terms, "locality", rare=["false"]))
 
 
@@ -242,7 +242,7 @@ REVIEWED = f"(SELECT storagelocation, locationkey, termdisplayname, {ETHNO_OUT}
       WHERE fieldcollectionplace IN (SELECT term FROM terms)
     UNION ALL SELECT termdisplayname, replace(termdisplayname, ' ', '0'), NULL, NULL, NULL, NULL, NULL, NULL FROM {RANGED} r WHERE termdisplayname NOT IN (SELECT termdisplayname FROM ({located()}) l)""")
 def _r27(c):
-    terms = hi.descendants(place_edges(c), "AMERICA").select("term")
+    terms = iv.descendants(place_tree(c), "AMERICA").select("term")
     return rp.packing_list(c, "Bay 0", "Bay 5", terms)
 
 

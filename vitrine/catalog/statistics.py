@@ -76,12 +76,22 @@ def _area_stats(c):
     return c.collectionstats.withColumn("label", F.concat("label", label))
 
 
+STATUS_LABEL = "CASE label WHEN '1-URGENT' THEN 'accessioned' WHEN '2-HIGH' THEN 'not located' WHEN '3-MEDIUM' THEN 'sold' ELSE label END"
+
+
+def _status_stats(c):
+    """Statistics by status: two known ones, one that is left out of counts, others."""
+    status = F.when(F.col("label") == "1-URGENT", "accessioned").when(F.col("label") == "2-HIGH", "not located").when(F.col("label") == "3-MEDIUM", "sold").otherwise(F.col("label"))
+    return c.collectionstats.withColumn("label", status)
+
+
 HEAD = "statmetric IN ('totalMusNoCount', 'trueObjectCount', 'truePieceCount')"
 METRIC = _case(lab.METRIC_NAMES, "statmetric", "statmetric")
 
 
 @query("r40_stats_chart", f"""SELECT 'single' AS kind, label, statvalue AS value, {METRIC} AS metric, NULL AS category, NULL AS continent FROM ({LATEST}) l WHERE {HEAD}
-    UNION ALL SELECT 'status', label, statvalue, {METRIC}, 'Other', NULL FROM ({LATEST}) l WHERE {HEAD}
+    UNION ALL SELECT 'status', {STATUS_LABEL}, statvalue, {METRIC}, CASE label WHEN '1-URGENT' THEN 'Accession Status' WHEN '3-MEDIUM' THEN 'Deaccession Reason' ELSE 'Other' END, NULL
+      FROM ({LATEST}) l WHERE {HEAD} AND label <> '2-HIGH'
     UNION ALL SELECT 'content', {AREA_LABEL}, statvalue, {METRIC}, CASE label WHEN '1-URGENT' THEN 'Archaeology' ELSE 'Ethnography' END,
       CASE label WHEN '1-URGENT' THEN 'North America' ELSE 'Africa' END FROM ({LATEST}) l WHERE {HEAD} AND label <> '2-HIGH'
     UNION ALL SELECT 'bar', label, statvalue, {METRIC}, label, NULL FROM ({LATEST}) l WHERE {HEAD}""")
@@ -89,7 +99,7 @@ def _r40(c):
     s = c.collectionstats
     none = F.lit(None).cast("string")
     single = st.stats_chart(s, "db", "objByObjType").select(F.lit("single").alias("kind"), "label", "value", "metric", none.alias("category"), none.alias("continent"))
-    status = st.stats_chart(s, "db", "objByObjType", "status").select(F.lit("status").alias("kind"), "label", "value", "metric", "category", none.alias("continent"))
+    status = st.stats_chart(_status_stats(c), "db", "objByObjType", "status").select(F.lit("status").alias("kind"), "label", "value", "metric", "category", none.alias("continent"))
     content = st.stats_chart(_area_stats(c), "db", "objByObjType", "content").select(F.lit("content").alias("kind"), "label", "value", "metric", "category", "continent")
     bar = st.stats_chart(s, "db", "objByObjType", "bar").select(F.lit("bar").alias("kind"), "label", "value", "metric", F.col("tooltip").alias("category"), none.alias("continent"))
     return ag.union_all([single, status, content, bar])

@@ -37,9 +37,9 @@ def _b01(c):
 
 
 @query("b02_refname_display_first", f"""SELECT id, {display_first('v')} AS shown FROM (
-    SELECT id, item AS v FROM {{contentplaces}} WHERE pos = 0 UNION ALL SELECT id, item FROM {{contentconcepts}} WHERE pos = 0) t""")
+    SELECT id, item AS v FROM {{contentplaces}} UNION ALL SELECT id, item FROM {{contentconcepts}}) t""")
 def _b02(c):
-    both = c.contentplaces.filter("pos = 0").union(c.contentconcepts.filter("pos = 0"))
+    both = c.contentplaces.union(c.contentconcepts)
     return both.select("id", tx.refname_display_first("item").alias("shown"))
 
 

@@ -9,6 +9,7 @@ from vitrine.catalog.registry import query
 from vitrine.catalog.text import display
 from vitrine.operators import filters as fl
 from vitrine.operators import hierarchy as hi
+from vitrine.operators import intervals as iv
 
 EDGES = f"""SELECT DISTINCT {display('t.refname')} AS child, {display('u.refname')} AS parent, h.name AS child_key, p.name AS parent_key
     FROM {{places}} t JOIN {LIVE} m ON m.id = t.id JOIN {{hierarchy}} h ON h.id = t.id AND h.primarytype LIKE 'Place%'
@@ -20,6 +21,11 @@ def place_edges(c):
     return hi.authority_edges(c.places, c.relations, c.hierarchy, c.misc, "Place")
 
 
+def place_tree(c):
+    """The places' trees as intervals, labelled once for a collection."""
+    return c.keep("place_tree", lambda: iv.intervals(place_edges(c)))
+
+
 CLOSURE = f"""WITH RECURSIVE e AS ({EDGES}),
     up AS (SELECT DISTINCT child_key AS key, child_key AS ancestor_key, child AS ancestor, 0 AS level FROM e
       UNION ALL SELECT up.key, e.parent_key, e.parent, up.level - 1 FROM up JOIN e ON e.child_key = up.ancestor_key WHERE e.parent_key IS NOT NULL)"""
@@ -52,12 +58,26 @@ def _h02_all(c):
 @query("h03_descendants", down("ASIA", 1) + """ SELECT term, level FROM down
     UNION ALL SELECT 'ASIA', 0 WHERE NOT EXISTS (SELECT 1 FROM down WHERE term = 'ASIA')""")
 def _h03(c):
-    return hi.descendants(place_edges(c), "ASIA")
+    return iv.descendants(place_tree(c), "ASIA")
+
+
+@query("h03_descendants_walk", down("AFRICA", 1) + """ SELECT term, level FROM down
+    UNION ALL SELECT 'AFRICA', 0 WHERE NOT EXISTS (SELECT 1 FROM down WHERE term = 'AFRICA')""")
+def _h03_walk(c):
+    return hi.descendants(place_edges(c), "AFRICA")
+
+
+@query("h03_below_many", CLOSURE + """ SELECT up.ancestor_key AS asked, up.key, e.child AS term, -min(up.level) AS level FROM up JOIN (SELECT DISTINCT child_key, child FROM e) e ON e.child_key = up.key
+    WHERE up.ancestor_key LIKE 'r-%' OR up.ancestor_key LIKE 'n-%' GROUP BY 1, 2, 3""")
+def _h03_many(c):
+    """Everything below every region and nation, all at once."""
+    asked = c.region.select(F.concat(F.lit("r-"), F.col("r_regionkey").cast("string")).alias("key")).union(c.nation.select(F.concat(F.lit("n-"), F.col("n_nationkey").cast("string"))))
+    return iv.below(place_tree(c), asked)
 
 
 @query("h03_leaf_term", down("Customer#000000004", 1) + " SELECT term, level FROM down")
 def _h03_leaf(c):
-    return hi.descendants(place_edges(c), "Customer#000000004")
+    return iv.descendants(place_tree(c), "Customer#000000004")
 
 
 @query("h04_children", f"""WITH e AS ({EDGES}) SELECT child AS term, child_key AS key, parent_key AS broader_key, parent AS broader FROM e WHERE parent = 'NATION_3'""")
@@ -68,7 +88,7 @@ def _h04(c):
 @query("h05_place_descendants", down("EUROPE", 0) + """ SELECT term AS place, level FROM down
     UNION ALL SELECT 'EUROPE', 0 WHERE NOT EXISTS (SELECT 1 FROM down WHERE term = 'EUROPE')""")
 def _h05(c):
-    return hi.place_descendants(place_edges(c), "EUROPE")
+    return iv.place_descendants(place_tree(c), "EUROPE")
 
 
 @query("h06_tree_paths", f"""WITH RECURSIVE e AS ({EDGES}),
@@ -102,5 +122,5 @@ def _h08(c):
 def _c08(c):
     from vitrine.functions.text import refname_display
 
-    terms = hi.descendants(place_edges(c), "NATION_7").select("term")
+    terms = iv.descendants(place_tree(c), "NATION_7").select("term")
     return fl.under_place(c.objects.select("id", refname_display("fieldcollectionplace").alias("place")), "place", terms)

@@ -77,13 +77,11 @@ def basic_aggs(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
 def share_of_total(df: DataFrame, label: str, values: Sequence[str], exclude: str | None = "None") -> DataFrame:
     """Percent of each column's total, rounded to 3 places; a zero total gives null.
 
-    One label may be left out of both rows and totals.
+    One label may be left out of both rows and totals.  One pass gives all totals.
     """
     rows = df if exclude is None else df.filter(~F.col(label).eqNullSafe(exclude))
-    for value in values:
-        total = rows.agg(F.sum(value)).scalar()
-        rows = rows.withColumn(f"{value}_pct", F.round(F.col(value) / F.nullif(total * 0.01, F.lit(0.0)), 3))
-    return rows
+    totals = rows.agg(F.struct(*[F.sum(value).alias(value) for value in values])).scalar()
+    return rows.withColumns({f"{v}_pct": F.round(F.col(v) / F.nullif(totals[v] * 0.01, F.lit(0.0)), 3) for v in values})
 
 
 def holding_summary(df: DataFrame, accession: str, name: str) -> DataFrame:

@@ -251,13 +251,13 @@ def split_latlong(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
 
 
 def suggest(
-    df: DataFrame, col: str, q: str, how: str = "prefix", ignore_case: bool = False, n: int = 30, order: str | None = None
+    df: DataFrame, col: str, q: str, how: str = "prefix", ignore_case: bool = False, n: int | None = None, order: str | None = None
 ) -> DataFrame:
-    """Distinct values that start with (or contain) the typed text, in order."""
+    """Distinct values that start with (or contain) the typed text, in order; all, or the first ``n``."""
     c, typed = (F.lower(F.col(col)), q.lower()) if ignore_case else (F.col(col), q)
     hit = c.startswith(typed) if how == "prefix" else c.contains(typed)
     wanted = [col] if order is None else [col, order]
-    return df.filter(hit).select(*wanted).distinct().orderBy(*sort_keys(order or col, col)).limit(n)
+    return limit_n(df.filter(hit).select(*wanted).distinct(), n, order or col, col)
 
 
 def keyword_match(df: DataFrame, col: str, term: str, how: str = "keyword") -> DataFrame:

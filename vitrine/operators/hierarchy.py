@@ -181,9 +181,26 @@ def child_lists(edges: DataFrame) -> DataFrame:
     return numbered.drop("_one")
 
 
-def headings(edges: DataFrame, sep: str = " :: ") -> DataFrame:
-    """``(key, term, heading)``: ancestor names root first, or ``No parent :: term``."""
-    up = closure(edges)
+def closure_of(edges: DataFrame, keys: DataFrame) -> DataFrame:
+    """As :func:`closure`, for the given keys (one column) alone: pairs of other nodes are never made.
+
+    Each round takes one step up from the pairs that the round before added.
+    """
+    asked = keys.select(F.col(keys.columns[0]).alias("key")).distinct()
+    nodes = edges.select(F.col("child_key").alias("key"), F.col("child").alias("ancestor")).distinct().join(asked, "key", "left_semi")
+    seed = nodes.select("key", F.col("key").alias("ancestor_key"), "ancestor", F.lit(0).alias("level"))
+    up = _linked(edges).select(F.col("child_key").alias("_child"), "parent_key", "parent").dropDuplicates(["_child", "parent_key"])
+
+    def step(frontier: DataFrame) -> DataFrame:
+        found = frontier.select("key", F.col("ancestor_key").alias("_at"), "level").join(up, F.col("_at") == F.col("_child"))
+        return found.select("key", F.col("parent_key").alias("ancestor_key"), F.col("parent").alias("ancestor"), (F.col("level") - 1).alias("level"))
+
+    return _walk(seed, step, ["key", "ancestor_key"])
+
+
+def headings(edges: DataFrame, sep: str = " :: ", keys: DataFrame | None = None) -> DataFrame:
+    """``(key, term, heading)``: ancestor names root first, or ``No parent :: term``; of the given keys, or of all nodes."""
+    up = closure(edges) if keys is None else closure_of(edges, keys)
     # levels fall from 0, and depth is bounded by the tree, so the cell stays short
     lists = up.groupBy("key").agg(
         F.expr(f"listagg(ancestor, '{sep}') WITHIN GROUP (ORDER BY level, ancestor_key)").alias("path"),
@@ -195,9 +212,14 @@ def headings(edges: DataFrame, sep: str = " :: ") -> DataFrame:
 
 
 def culture_heading(df: DataFrame, refname: str, authority: DataFrame, hierarchy: DataFrame, edges: DataFrame, out: str = "heading") -> DataFrame:
-    """Adds the heading of each row's term, and a key that sorts the unplaced ones last."""
-    keys = with_csid(authority.select("id", F.col("refname").alias("_ref")), hierarchy, out="_key").select("_ref", "_key")
-    heads = keys.join(headings(edges), F.col("_key") == F.col("key")).select("_ref", "heading", "alone")
+    """Adds the heading of each row's term, and a key that sorts the unplaced ones last.
+
+    Only terms that the rows name are looked up and walked from.
+    """
+    named = cut_lineage(df.select(F.col(refname).alias("_ref")).filter("_ref IS NOT NULL").distinct(), "terms")
+    terms = authority.select("id", F.col("refname").alias("_ref")).join(named, "_ref", "left_semi")
+    keys = cut_lineage(with_csid(terms, hierarchy, out="_key").select("_ref", "_key"), "terms")
+    heads = keys.join(headings(edges, keys=keys.select("_key")), F.col("_key") == F.col("key")).select("_ref", "heading", "alone")
     heads = heads.groupBy("_ref").agg(F.min("heading").alias("_heading"), F.min("alone").alias("_alone"))
     joined = df.join(heads, F.col(refname) == F.col("_ref"), "left")
     unknown = F.concat(F.lit("No parent :: "), refname_display(refname))

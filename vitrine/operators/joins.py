@@ -99,11 +99,14 @@ def group_values(
     a list name or, with ``by="primarytype"``, a member type.  ``ids`` keeps only the
     members of those parents.
     """
-    values = None
+    # Fields of one table and list are read in one pass over the table.
+    tables: dict[tuple[str, int], tuple[DataFrame, list[Column]]] = {}
     for field, (list_name, table, value) in groups.items():
-        one = table.select(
-            F.col("id").alias("_gid"), F.lit(field).alias("field"), F.lit(list_name).alias("_list"), value.cast("string").alias("value")
-        )
+        cells = tables.setdefault((list_name, id(table)), (table, []))[1]
+        cells.append(F.struct(F.lit(field).alias("field"), value.cast("string").alias("value")))
+    values = None
+    for (list_name, _), (table, cells) in tables.items():
+        one = table.select(F.col("id").alias("_gid"), F.lit(list_name).alias("_list"), F.inline(F.array(*cells)))
         values = one if values is None else values.unionByName(one)
     rows = hierarchy
     if pos is not None:
@@ -118,9 +121,20 @@ def group_values(
     return joined.select(F.col("parentid").alias("id"), "field", "pos", "value")
 
 
+def cell_maps(long: DataFrame, key: str = "id", *more: Column) -> DataFrame:
+    """``(key, cells)``: the ``(field, value)`` rows of each key as a map; of a repeated field the greatest value counts.
+
+    Rows are dealt by key once, for both the fields and the map.  ``more`` adds aggregates over the fields' rows (field, value).
+    """
+    single = long.repartition(key).groupBy(key, "field").agg(F.max("value").alias("value"))
+    return single.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("cells"), *more)
+
+
 def pivot_fields(long: DataFrame, fields: Sequence[str], key: str = "id", *more: Column) -> DataFrame:
     """``(key, field, value)`` as one row per key."""
-    return long.groupBy(key).agg(*[F.expr(f"max(CASE WHEN field = '{f}' THEN value END) AS `{f}`") for f in fields], *more)
+    maps = cell_maps(long, key, *more)
+    rest = [c for c in maps.columns if c not in (key, "cells")]
+    return maps.select(key, *[F.col("cells")[f].alias(f) for f in fields], *rest)
 
 
 def long_form(fields: Sequence[str]) -> Column:
@@ -231,11 +245,13 @@ def stitch(base: DataFrame, frames: Sequence[DataFrame], key: str = "id", arriva
     """Adds the columns of each frame to the base rows.
 
     Keys the base does not know are dropped, missing values become blanks, and the
-    base never gains or loses a key.  A frame must have one row per key.
+    base never gains or loses a key.  Of a frame's rows that repeat a key the greatest counts.
     """
     out = last_of_key(base, key, arrival) if arrival else base
     for frame in frames:
-        out = out.join(frame, key, "left")
+        rest = [c for c in frame.columns if c != key]
+        one = frame.groupBy(key).agg(F.max(F.struct(*rest)).alias("_cells")).select(key, "_cells.*")
+        out = out.join(one, key, "left")
     added = [c for frame in frames for c in frame.columns if c != key]
     return out.select(*base.columns, *[F.coalesce(F.col(c).cast("string"), F.lit(blank)).alias(c) for c in added])
 

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import (
-    flag_on, location_key, object_number, parse_date, reference_number, refname_display, sortable_number, urn_display, valid_count,
+    blank_if_null, flag_on, location_key, object_number, parse_date, reference_number, refname_display, sortable_number, urn_display, valid_count,
 )
 from vitrine.operators.filters import exists_check, not_deleted, term_lookup
 from vitrine.operators.joins import attach_object_id, two_way_edges, with_csid
 from vitrine.operators.ordering import distinct_on, sequence_id
+from vitrine.plans.links import linked, links_of
 from vitrine.plans.model import Collection
-from vitrine.plans.reports import key_info
+from vitrine.plans.reports import key_info, located_objects
 from vitrine.sources.readers import parse_scanner_lines
 
 # Applications that move objects to a chosen place.
@@ -62,6 +63,31 @@ def move_records(
     return rows.withColumn("movementcsid", F.when(F.col("moved"), _new_id("mv-", "referencenumber", "objectcsid"))).drop("_row")
 
 
+def move_rows(c: Collection, ids: DataFrame) -> DataFrame:
+    """What a move needs of the live objects among ``ids`` (id, and perhaps objectstatus): the rows of :func:`move_records`."""
+    rows = not_deleted(ids.distinct(), c.misc).join(c.objects.select("id", "objectnumber", F.col("computedcurrentlocation").alias("locationrefname")), "id")
+    rows = rows.join(c.objects_ext.select("id", blank_if_null(refname_display("computedcrate")).alias("crate")), "id")
+    rows = with_csid(rows, c.hierarchy, out="objectcsid")
+    status = F.col("objectstatus") if "objectstatus" in ids.columns else F.lit("found")
+    return rows.select("objectcsid", "objectnumber", status.alias("objectstatus"), "locationrefname", "crate")
+
+
+def crate_rows(c: Collection, crate: str) -> DataFrame:
+    """``(id)`` of the objects in a crate."""
+    return c.objects_ext.filter(refname_display("computedcrate") == crate).select("id")
+
+
+def group_rows(c: Collection, title: str) -> DataFrame:
+    """``(id)`` of the objects in a titled group."""
+    groups = not_deleted(c.groups.filter(F.col("title") == title).select(F.col("id").alias("gid")), c.misc, "gid")
+    return linked(groups, links_of(c), "id", "CollectionObject", id="gid").select("id").distinct()
+
+
+def inventory_rows(c: Collection, locations: DataFrame) -> DataFrame:
+    """``(id)`` of the objects that a movement puts at the locations, where they are now."""
+    return located_objects(c, locations).select("id").distinct()
+
+
 def movement_rows(moves: DataFrame, reason: str, handler: str) -> DataFrame:
     """New movement records of the objects that moved."""
     return moves.filter("moved").select(
@@ -128,22 +154,35 @@ def check_scans(c: Collection, lines: DataFrame, handlers: DataFrame) -> DataFra
     return rows.withColumn("error", error).drop("_objectnumber", "_crate", "_location", "_date")
 
 
+def file_verdicts(checked: DataFrame) -> DataFrame:
+    """``(file, lines, errors, accepted)`` of each uploaded file."""
+    counts = checked.groupBy("file").agg(F.count("*").alias("lines"), F.count("error").alias("errors"))
+    return counts.withColumn("accepted", F.col("errors") == 0)
+
+
 def scanner_moves(c: Collection, checked: DataFrame, reason: str) -> DataFrame:
-    """Moves of a checked upload; one error anywhere rejects the whole upload.
+    """Moves of checked uploads; one error anywhere rejects the whole file it is in, and no other.
 
-    ``R`` lines move every object of the crate.
+    Lines that carry no ``file`` are one upload.  ``R`` lines move every object of the crate; such lines that say
+    the same of a crate, time, place and handler count once.
     """
-    errors = checked.filter("error IS NOT NULL").agg(F.count("*")).scalar()
-    good = checked.filter(errors == 0)
+    if "file" in checked.columns:
+        bad = checked.filter("error IS NOT NULL").select("file").distinct()
+        good = checked.join(bad, "file", "left_anti")
+    else:
+        errors = checked.filter("error IS NOT NULL").agg(F.count("*")).scalar()
+        good = checked.filter(errors == 0)
     found = term_lookup(good, "location", c.locations, out="locationrefname")
     numbered = with_csid(c.objects.select("id", "objectnumber"), c.hierarchy, out="objectcsid")
     by_number = numbered.groupBy("objectnumber").agg(F.min("objectcsid").alias("objectcsid"))
     single = found.filter("code <> 'R'").join(by_number, "objectnumber")
     boxed = numbered.join(c.objects_ext.select("id", refname_display("computedcrate").alias("crate")), "id").drop("id")
-    crates = found.filter("code = 'R'").drop("objectnumber").join(boxed, "crate")
+    of = [n for n in ("file",) if n in checked.columns]
+    boxes = found.filter("code = 'R'").drop("objectnumber").dropDuplicates([*of, "crate", "moved_at", "locationrefname", "handlerrefname"])
+    crates = boxes.join(boxed, "crate")
     shown = F.concat(F.date_format("moved_at", "yyyy-MM-dd"), F.lit(" ("), urn_display(F.lit(reason)), F.lit(")"))
     columns = [
-        "code", "objectcsid", "objectnumber", F.coalesce("crate", F.lit("")).alias("crate"), "locationrefname",
+        *of, "code", "objectcsid", "objectnumber", F.coalesce("crate", F.lit("")).alias("crate"), "locationrefname",
         F.date_format("moved_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("locationdate"), "handlerrefname", F.lit(reason).alias("reason"), shown.alias("summary"),
     ]
     return single.select(*columns).union(crates.select(*columns))
@@ -160,21 +199,22 @@ def prefer_value(values: Column | str, value: Column | str, rule: str = "prefer"
     """A list with ``value`` put in by one of the edit rules.
 
     ``prefer``: first, moved there if present, replacing a single empty element.
-    ``date``: first, if absent.  ``insert``: first, unless it is first already.
+    ``date``: first, if absent.  ``insert``: first, unless it is first already.  A null value changes
+    nothing; null elements stay where they are.
     """
     v = F.col(value) if isinstance(value, str) else value
     old = F.coalesce(F.col(values) if isinstance(values, str) else values, F.array().cast("array<string>"))
     first = F.get(old, F.lit(0))
     added = F.concat(F.array(v), old)
     if rule == "date":
-        return F.when(_holds(old, v), old).otherwise(added)
+        return F.when(v.isNull() | _holds(old, v), old).otherwise(added)
     if rule == "insert":
-        return F.when(first.eqNullSafe(v), old).otherwise(added)
+        return F.when(v.isNull() | first.eqNullSafe(v), old).otherwise(added)
     if rule != "prefer":
         raise ValueError(f"unknown edit rule: {rule}")
     empty = (F.size(old) == 1) & (F.coalesce(first, F.lit("")) == "")
     moved = F.concat(F.array(v), F.filter(old, lambda x: ~x.eqNullSafe(v)))
-    return F.when(first.eqNullSafe(v), old).when(_holds(old, v), moved).when(empty, F.array(v)).otherwise(added)
+    return F.when(v.isNull() | first.eqNullSafe(v), old).when(_holds(old, v), moved).when(empty, F.array(v)).otherwise(added)
 
 
 def resolve_terms(changes: DataFrame, authorities: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +14,10 @@ from vitrine.functions.text import (
 from vitrine.operators.aggregates import multi_value, multi_value_distinct, union_all
 from vitrine.operators.filters import non_blank, non_null, not_deleted
 from vitrine.operators.joins import (
-    first_of_group, group_values, long_form, media_rows, members, merge_list, pivot_fields, related, with_csid,
+    first_of_group, group_values, long_form, media_rows, members, merge_list, pivot_fields, with_csid,
 )
 from vitrine.operators.ordering import sequence_id
+from vitrine.plans.links import linked, links_of
 from vitrine.plans.model import Collection
 from vitrine.session import cut_lineage
 
@@ -57,9 +58,9 @@ def object_links(c: Collection) -> DataFrame:
     ``side`` says whether the object is the edge's subject or object, ``doctype`` is
     the type of the edge's object.
     """
-    records = c.objects.select("id")
-    forward = related(records, c.relations, c.hierarchy, "pid", keep=["objectdocumenttype"])
-    backward = related(records, c.relations, c.hierarchy, "pid", direction="object", keep=["objectdocumenttype"])
+    records, links = c.objects.select("id"), links_of(c)
+    forward = linked(records, links, "pid", keep=["objectdocumenttype"])
+    backward = linked(records, links, "pid", direction="object", keep=["objectdocumenttype"])
     sides = [("subject", forward), ("object", backward)]
     return union_all([df.select("id", "pid", F.lit(side).alias("side"), F.col("objectdocumenttype").alias("doctype")) for side, df in sides])
 
@@ -232,12 +233,12 @@ def _metadata_parts(c: Collection) -> tuple[DataFrame, DataFrame]:
     groups = {
         out: (list_name, c[table], refname_display(col) if is_ref else _raw(col))
         for out, (list_name, table, col, is_ref) in GROUP_LOOKUPS.items()
-        if table in c
+        if c.has(table)
     }
     long = group_values(c.hierarchy, groups).select("id", "field", "value")
     items = union_all([
         c[table].filter("pos = 0").select("id", F.lit(out).alias("field"), (refname_display("item") if is_ref else _raw("item")).alias("value"))
-        for out, (table, is_ref) in ITEM_LOOKUPS.items() if table in c
+        for out, (table, is_ref) in ITEM_LOOKUPS.items() if c.has(table)
     ])
     return base, long.union(items)
 
@@ -247,7 +248,7 @@ def metadata_extract(c: Collection) -> DataFrame:
 
     All first-of-list lookups are read in long form with one pass over the hierarchy
     and pivoted once, in place of one self-join per list.  A list whose table the
-    collection does not have gives nulls.
+    collection is declared to lack gives nulls.
     """
     base, lookups = _metadata_parts(c)
     wide = pivot_fields(lookups, [*GROUP_LOOKUPS, *ITEM_LOOKUPS])
@@ -416,12 +417,12 @@ objectproductionscalardate_ss""".split()
 
 
 def frame_fields(c: Collection) -> list[str]:
-    """Fields that the frames add to the base row, for the tables the collection has."""
+    """Fields that the frames add to the base row, without those of tables the collection is declared to lack."""
     named = []
     for kind, pairs in FIELD_PAIRS.items():
         for table, field in pairs:
             source = {1: f"{field.lower()}group", 2: field.lower()}.get(kind, table)
-            if table in c and source in c:
+            if c.has(table) and c.has(source):
                 named.append(f"{field.lower()}_ss")
     return named + SPECIAL_FIELDS
 
@@ -434,12 +435,12 @@ def _list_values(c: Collection) -> DataFrame:
     """``(id, field, pos, value)`` of every repeating group and list of the objects and loans."""
     groups = {
         f"{field.lower()}_ss": (f"{field}Group", c[f"{field.lower()}group"], _clean(field.lower()))
-        for table, field in FIELD_PAIRS[1] if table in c and f"{field.lower()}group" in c
+        for table, field in FIELD_PAIRS[1] if c.has(table) and c.has(f"{field.lower()}group")
     }
     values = group_values(c.hierarchy, groups, pos=None, by="primarytype")
     items = [
         c[field].select("id", F.lit(f"{field}_ss").alias("field"), "pos", _clean("item").alias("value"))
-        for _, field in FIELD_PAIRS[2] if field in c
+        for _, field in FIELD_PAIRS[2] if c.has(field)
     ]
     return union_all([values, *items])
 
@@ -458,7 +459,7 @@ def _procedure_values(c: Collection) -> DataFrame:
     fields: dict[str, dict[str, Column]] = {}
     for kind, rule in ((3, refname_display), (5, local_date)):
         for table, field in FIELD_PAIRS[kind]:
-            if table in c:
+            if c.has(table):
                 fields.setdefault(table, {})[f"{field}_ss"] = rule(field)
     fields["loansin"]["loaninreturndate_ss"] = local_date("loanreturndate")
     fields["loansout"]["loanoutreturndate_ss"] = local_date("loanreturndate")
@@ -492,12 +493,11 @@ def _procedure_list_values(c: Collection) -> DataFrame:
     return _links(c, "object", "CollectionObject").join(values, "pid").select("id", "field", "pos", "value")
 
 
-def public_cells(c: Collection) -> tuple[DataFrame, list[str]]:
-    """Every cell ``(id, field, value)`` of the wide rows, and the fields in order.
+def public_parts(c: Collection) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Base rows; every other cell ``(id, field, value)`` of the wide rows; and the fields of these cells in order.
 
     List values of all fields share one aggregate by (id, field).
     """
-    base = basic_extract(c)
     related_values = _procedure_values(c).select("id", "field", F.lit(None).cast("int").alias("pos"), "value")
     values = union_all([_list_values(c), _procedure_list_values(c), related_values]).filter("value IS NOT NULL")
     lists = values.groupBy("id", "field").agg(F.expr(f"listagg(value, '{MULTI}') WITHIN GROUP (ORDER BY pos, value)").alias("value"))
@@ -505,61 +505,73 @@ def public_cells(c: Collection) -> tuple[DataFrame, list[str]]:
         "dimensionsummary_s": ("measuredPartGroupList", c.measuredpartgroup, F.col("dimensionsummary")),
         "othernumber_s": ("otherNumberList", c.othernumber, F.col("numbervalue")),
     }).select("id", "field", "value")
-    frames = [base, dimensions(c), condition(c), field_collection_date(c), production_date(c)]
-    cells = union_all([lists, singles, *[_as_cells(f) for f in frames]])
-    return cells, [n for n in base.columns if n != "id"] + frame_fields(c)
+    frames = [dimensions(c), condition(c), field_collection_date(c), production_date(c)]
+    return basic_extract(c), union_all([lists, singles, *[_as_cells(f) for f in frames]]), frame_fields(c)
 
 
 def blob_lists(c: Collection) -> DataFrame:
     return media_rows(c).filter("objectcsid IS NOT NULL").select("objectcsid", "blobcsid")
 
 
-def _wide_rows(
-    cells: DataFrame, fields: list[str], known: str, value: Column, sep: str, key: str = "id", broken: bool = False
-) -> DataFrame:
-    """Cells as rows, without (or only) the rows that have a separator inside a cell.
+def wide_rows(base: DataFrame, cells: DataFrame, fields: Sequence[str], sep: str, clean: Callable[[Column, Column], Column], key: str = "id") -> DataFrame:
+    """A row for each base row: its columns, then ``fields``, then ``broken``: whether a cell holds ``sep``.
 
-    ``cells`` are scrubbed first; ``value`` then cleans a cell of the good rows.  The
-    cells of base rows and frames meet in one aggregate by key, and a key without
-    the ``known`` field is not in the base.  A missing cell is blank.
+    Cells meet in one map for each key, and the base rows take theirs from it.  Line ends go from all cells; those of whole
+    rows are cleaned by ``clean(field, value)``.  A missing cell is blank.
     """
-    scrubbed = cells.withColumn("value", scrub_newlines("value"))
-    marked = scrubbed.withColumn("_broken", F.col("value").contains(sep))
-    shown = marked if broken else marked.withColumn("value", value)
-    wide = pivot_fields(shown, fields, key, F.max("_broken").alias("_broken"))
-    kept = wide.filter(F.col(known).isNotNull() & (F.col("_broken") == broken))
-    return kept.drop("_broken").fillna("", fields)
-
-
-def public_rows(c: Collection, broken: bool = False) -> DataFrame:
-    cells, fields = public_cells(with_links(c))
-    # quotes go before and again after the blob list is added, so the last field of
-    # the row is an inner cell only the second time
-    once = F.when(F.col("field") == fields[-1], strip_field_quotes("value", last=True, pairs=False)).otherwise(strip_field_quotes("value", pairs=False))
-    return _wide_rows(cells, fields, "csid_s", strip_field_quotes(replace_delim(once, MULTI, "|")), "\t", broken=broken)
+    single = cells.withColumn("value", scrub_newlines("value")).filter("value IS NOT NULL").repartition(key).groupBy(key, "field").agg(F.max("value").alias("value"))
+    both = F.struct("value", clean(F.col("field"), F.col("value")).alias("clean"))
+    maps = single.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field", both))).alias("_cells"), F.bool_or(F.col("value").contains(sep)).alias("_split"))
+    joined = base.join(maps, key, "left")
+    own = [n for n in base.columns if n != key]
+    given = {n: scrub_newlines(F.col(n).cast("string")) for n in own}
+    broken = F.coalesce("_split", F.lit(False))
+    for n in own:
+        broken = broken | F.coalesce(given[n].contains(sep), F.lit(False))
+    rows = joined.withColumn("broken", broken)
+    out = {n: F.when(F.col("broken"), value).otherwise(clean(F.lit(n), value)) for n, value in given.items()}
+    out |= {f: F.when(F.col("broken"), F.col("_cells")[f]["value"]).otherwise(F.col("_cells")[f]["clean"]) for f in fields}
+    return rows.select(key, *[F.coalesce(value, F.lit("")).alias(n) for n, value in out.items()], "broken")
+
+
+def public_wide(c: Collection) -> DataFrame:
+    """Every live object's wide row, whole or broken by a tab inside a cell."""
+    base, cells, fields = public_parts(with_links(c))
+
+    def clean(field: Column, value: Column) -> Column:
+        # quotes go before and again after the blob list is added, so the last field of
+        # the row is an inner cell only the second time
+        once = F.when(field == fields[-1], strip_field_quotes(value, last=True, pairs=False)).otherwise(strip_field_quotes(value, pairs=False))
+        return strip_field_quotes(replace_delim(once, MULTI, "|"))
+
+    return wide_rows(base, cells, fields, "\t", clean)
+
+
+def internal_wide(c: Collection) -> DataFrame:
+    """Every live object's full metadata row, whole or broken by a pipe inside a cell."""
+    base, lookups = _metadata_parts(c)
+    key = "objectcsid_s"
+    cells = lookups.withColumnRenamed("id", key)
+    rows = wide_rows(base, cells, [*GROUP_LOOKUPS, *ITEM_LOOKUPS], "|", lambda field, value: escape_backslash(value), key)
+    return rows.select(*METADATA_COLUMNS, "broken")
 
 
 def public_errors(c: Collection) -> DataFrame:
     """Rows that a tab inside a cell would make too wide."""
-    return public_rows(c, broken=True)
+    return public_wide(c).filter("broken").drop("broken")
 
 
-def public_extract(c: Collection) -> DataFrame:
-    """One wide row per live object: base row, all field frames, blob list."""
-    return merge_list(public_rows(c), blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
+def with_blobs(rows: DataFrame, c: Collection) -> DataFrame:
+    return merge_list(rows, blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
 
 
-def internal_rows(c: Collection, broken: bool = False) -> DataFrame:
-    """Full metadata rows without (or only with) a pipe inside a cell."""
-    base, lookups = _metadata_parts(c)
-    key = "objectcsid_s"
-    cells = _as_cells(base, key).unionByName(lookups.withColumnRenamed("id", key).filter("value IS NOT NULL"))
-    fields = [n for n in METADATA_COLUMNS if n != key]
-    return _wide_rows(cells, fields, "csid_s", escape_backslash("value"), "|", key, broken)
+def public_extract(c: Collection) -> DataFrame:
+    """One wide row per live object: base row, all field frames, blob list."""
+    return with_blobs(public_wide(c).filter("NOT broken").drop("broken"), c)
 
 
 def internal_extract(c: Collection) -> DataFrame:
     """Full metadata row, blob list and a running id; backslashes doubled."""
-    merged = merge_list(internal_rows(c), blob_lists(c), "csid_s", "blobcsid", "blob_ss", many_key="objectcsid")
+    merged = with_blobs(internal_wide(c).filter("NOT broken").drop("broken"), c)
     numbered = sequence_id(merged, "objectcsid_s", out="id")
     return numbered.select(F.col("id").cast("string").alias("id"), *METADATA_COLUMNS, "blob_ss")

@@ -20,10 +20,9 @@ from vitrine.operators.filters import (
     alive_dead, in_or_all, key_search, limit_n, nearest_bounds, not_deleted, object_range, sort_keys, under_place,
 )
 from vitrine.operators.hierarchy import culture_heading
-from vitrine.operators.joins import (
-    first_of_group, group_values, members, pivot_fields, related, self_related, with_csid, with_id,
-)
+from vitrine.operators.joins import first_of_group, group_values, members, pivot_fields, with_csid
 from vitrine.operators.ordering import distinct_on, latest_by
+from vitrine.plans.links import linked, links_of
 from vitrine.plans.model import Collection
 from vitrine.session import cut_lineage
 
@@ -90,15 +89,14 @@ def located_objects(c: Collection, locations: DataFrame | str | None = None, mov
         terms = _only(terms, locations, "termdisplayname")
     terms = terms.join(c.hierarchy.select("id", F.col("parentid").alias("lid")), "id").drop("id")
     places = terms.join(c.locations.select(F.col("id").alias("lid"), F.col("refname").alias("movementrefname")), "lid").drop("lid")
-    moves = c.movements.select(F.col("id").alias("moveid"), F.col("currentlocation").alias("movementrefname"), "locationdate", "movementnote")
-    rows = places.join(moves, "movementrefname")
-    rows = with_csid(rows, c.hierarchy, "moveid", "movementcsid")
+    # Objects that are there now come first: they are few beside all movements ever made to the places.
+    objects = not_deleted(c.objects.select("id", F.col("computedcurrentlocation").alias("movementrefname")), c.misc).join(places, "movementrefname")
     here, there = ("subject", "object") if movement == "subject" else ("object", "subject")
-    edges = c.relations.select(F.col(f"{here}csid").alias("movementcsid"), F.col(f"{there}csid").alias("objectcsid"), "subjectdocumenttype", "objectdocumenttype")
-    rows = rows.join(edges, "movementcsid")
-    rows = with_id(rows, c.hierarchy, "objectcsid", "id")
-    objects = not_deleted(c.objects.select("id", F.col("computedcurrentlocation").alias("_at")), c.misc)
-    return rows.join(objects, "id").filter(F.col("_at") == F.col("movementrefname")).drop("_at")
+    edges = links_of(c).select(
+        F.col(f"{there}id").alias("id"), F.col(f"{here}id").alias("moveid"), F.col(f"{here}csid").alias("movementcsid"), F.col(f"{there}csid").alias("objectcsid"),
+        "subjectdocumenttype", "objectdocumenttype")
+    moves = c.movements.select(F.col("id").alias("moveid"), F.col("currentlocation").alias("movementrefname"), "locationdate", "movementnote")
+    return objects.join(edges, "id").join(moves, ["moveid", "movementrefname"])
 
 
 def _with_storage(rows: DataFrame, c: Collection, extra: Sequence[str] = ()) -> DataFrame:
@@ -175,10 +173,9 @@ def _acquired(c: Collection, rows: DataFrame) -> DataFrame:
     """Adds each object's acquisitions (number, id, csid, first owner); an object without keeps nulls."""
     owner = c.owners.filter("pos = 0 OR pos IS NULL").select(F.col("id").alias("accid"), F.col("item").alias("pdrefname"))
     acquisitions = c.acquisitions.select(F.col("id").alias("accid"), F.col("acquisitionreferencenumber").alias("accnum"))
-    acquisitions = with_csid(acquisitions.join(owner, "accid", "left"), c.hierarchy, "accid", "acccsid")
-    edges = c.relations.filter("objectdocumenttype = 'Acquisition'").select(F.col("subjectcsid").alias("objectcsid"), F.col("objectcsid").alias("acccsid"))
-    wanted = edges.join(rows.select("objectcsid").distinct(), "objectcsid", "left_semi")
-    return rows.join(wanted.join(acquisitions, "acccsid"), "objectcsid", "left")
+    edges = links_of(c).filter("objectdocumenttype = 'Acquisition'").select(F.col("subjectid").alias("id"), F.col("objectid").alias("accid"), F.col("objectcsid").alias("acccsid"))
+    wanted = edges.join(rows.select("id").distinct(), "id", "left_semi")
+    return rows.join(wanted.join(acquisitions.join(owner, "accid", "left"), "accid"), "id", "left")
 
 
 ETHNO_BY_NAME = {
@@ -252,7 +249,7 @@ def key_info(
 def group_members(c: Collection, title: str, n: int | None = None) -> DataFrame:
     """General rows of the objects in a titled group."""
     groups = not_deleted(c.groups.filter(F.col("title") == title).select(F.col("id").alias("gid")), c.misc, "gid")
-    pairs = related(groups, c.relations, c.hierarchy, "id", id="gid").select("id").distinct()
+    pairs = linked(groups, links_of(c), "id", id="gid").select("id").distinct()
     rows = _general_columns(c, with_csid(not_deleted(pairs, c.misc), c.hierarchy))
     first = distinct_on(rows, ["computedcurrentlocation", "objectnumber"], "csid").drop("id")
     return limit_n(first, n, "computedcurrentlocation", "objectnumber")
@@ -294,11 +291,10 @@ def object_list(c: Collection, lo: str, hi: str, mode: str = "range", n: int | N
 
 def _plant_moves(c: Collection) -> DataFrame:
     """Every plant with every movement: ids, version flag, reason, places, date."""
-    objects = with_csid(c.objects.select("id", "objectnumber", "recordstatus"), c.hierarchy, out="objectcsid")
-    edges = c.relations.filter("objectdocumenttype = 'Movement'").select(F.col("subjectcsid").alias("objectcsid"), F.col("objectcsid").alias("_mcsid"))
-    versions = c.hierarchy.select(F.col("id").alias("movement_id"), F.col("name").alias("_mcsid"), "isversion")
-    moves = c.movements.select(F.col("id").alias("movement_id"), "currentlocation", "reasonformove", "locationdate", "previouslocation")
-    rows = objects.join(edges, "objectcsid").join(versions, "_mcsid").join(moves, "movement_id").drop("_mcsid")
+    edges = links_of(c).filter("objectdocumenttype = 'Movement'").select(F.col("subjectid").alias("id"), F.col("subjectcsid").alias("objectcsid"), F.col("objectid").alias("movement_id"))
+    versions = c.hierarchy.filter("name IS NOT NULL").select(F.col("id").alias("movement_id"), "isversion")
+    moves = c.movements.select(F.col("id").alias("movement_id"), "currentlocation", "reasonformove", "locationdate", "previouslocation").join(versions, "movement_id")
+    rows = c.objects.select("id", "objectnumber", "recordstatus").join(edges, "id").join(moves, "movement_id")
     return rows.join(c.objects_ext.select("id", "rare", "deadflag"), "id")
 
 
@@ -438,7 +434,8 @@ def objects_by_owner(c: Collection, owner: str) -> DataFrame:
         "objectname": ("objectNameList", "objectnamegroup", "objectname"),
         "collectiondate": ("fieldCollectionDateGroup", "structureddategroup", "datedisplaydate"),
     })
-    acquisitions = related(c.objects.select("id"), c.relations, c.hierarchy, "aid", "Acquisition").join(
+    rows = cut_lineage(rows, "owned")  # the owner's few objects, before their acquisitions
+    acquisitions = linked(rows.select("id").distinct(), links_of(c), "aid", "Acquisition").join(
         c.acquisitions.select(F.col("id").alias("aid"), "acquisitionreferencenumber"), "aid").select("id", "acquisitionreferencenumber").distinct()
     keys = ["objectnumber", "sortableobjectnumber", "numberofobjects", "objectname", "collectiondate", "site_refname", "placeowner", "ownershipnote", "placenote"]
     joined = rows.select("id", *keys).join(acquisitions, "id", "left")
@@ -505,8 +502,13 @@ def parent_info(c: Collection, numbers: Keys = None) -> DataFrame:
 
 
 def _related_pairs(c: Collection, numbers: Keys, this: str | None, other: str | None) -> DataFrame:
-    pairs = self_related(c.objects, c.objects_ext, c.relations, c.hierarchy, this, other)
-    return pairs if numbers is None else pairs.join(_numbered(c, numbers).select("id"), "id", "left_semi")
+    records = c.objects.select("id")
+    asked = records if numbers is None else _numbered(c, numbers).select("id").distinct()
+    pairs = linked(asked, links_of(c), "other_id", "CollectionObject").join(records.withColumnRenamed("id", "other_id"), "other_id", "left_semi")
+    for flag, side in ((this, "id"), (other, "other_id")):
+        wanted = c.objects_ext if flag is None else c.objects_ext.filter(F.col("iscomponent") == flag)
+        pairs = pairs.join(wanted.select(F.col("id").alias(side)), side, "left_semi")
+    return pairs.select("id", "other_id")
 
 
 def child_info(c: Collection, numbers: Keys = None) -> DataFrame:
@@ -520,7 +522,7 @@ def child_info(c: Collection, numbers: Keys = None) -> DataFrame:
 def current_locations(c: Collection, csids: Keys = None) -> DataFrame:
     """Latest movement of each object."""
     objects = _only(with_csid(c.objects.select("id", "objectnumber"), c.hierarchy), csids, "csid")
-    moves = related(objects, c.relations, c.hierarchy, "mid", "Movement", csid="csid")
+    moves = linked(objects, links_of(c), "mid", "Movement")
     moves = moves.join(c.movements.select(F.col("id").alias("mid"), "locationdate", "reasonformove", "currentlocation"), "mid")
     return latest_by(moves, ["csid"], "locationdate", "mid").select(
         "csid", "objectnumber", "locationdate", "reasonformove", refname_display_first("currentlocation").alias("location"))
@@ -528,10 +530,9 @@ def current_locations(c: Collection, csids: Keys = None) -> DataFrame:
 
 def accession_info(c: Collection, csids: Keys = None) -> DataFrame:
     """Accession number and first owner of each object's acquisitions."""
-    edges = _only(c.relations.select("subjectcsid", "objectcsid"), csids, "subjectcsid")
+    edges = _only(links_of(c).select("subjectcsid", F.col("objectcsid").alias("csid"), F.col("objectid").alias("id")), csids, "subjectcsid")
     owners = c.owners.filter("pos = 0").select("id", F.col("item").alias("owner"))
-    acquired = with_csid(c.acquisitions.select("id", "acquisitionreferencenumber").join(owners, "id"), c.hierarchy)
-    rows = edges.join(acquired, F.col("objectcsid") == F.col("csid"))
+    rows = edges.join(c.acquisitions.select("id", "acquisitionreferencenumber").join(owners, "id"), "id")
     return rows.select(F.col("subjectcsid").alias("object"), "acquisitionreferencenumber", refname_display_first("owner").alias("donor"), "csid")
 
 
@@ -560,7 +561,7 @@ def production_dates(c: Collection, numbers: Keys = None) -> DataFrame:
 
 def object_media(c: Collection, numbers: Keys = None) -> DataFrame:
     """Media of each object, the primary image first."""
-    pairs = related(_numbered(c, numbers), c.relations, c.hierarchy, "mid")
+    pairs = linked(_numbered(c, numbers), links_of(c), "mid")
     media = c.media.select(F.col("id").alias("mid"), "blobcsid", "primarydisplay", "approvedforweb", "description")
     rows = pairs.join(media, "mid").select("objectnumber", "blobcsid", "primarydisplay", "approvedforweb", "description")
     return rows.orderBy(*sort_keys("objectnumber", "-primarydisplay", "blobcsid"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,17 +60,46 @@ def scratch_root(spark: SparkSession) -> str:
     return named
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
+_OPEN: ContextVar[list[str] | None] = ContextVar("scratch folders of the open scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the scratch folders that are made inside; for jobs whose results are written elsewhere.
+
+    Nothing read from such a folder may be used after the scope.  Folders made with ``keep`` stay.
+    """
+    mine: list[str] = []
+    token = _OPEN.set(mine)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        delete_folders(spark, mine)
+
+
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders through the store's own file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
     """A path under the scratch folder that no other run uses."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not keep and _OPEN.get() is not None:
+        _OPEN.get().append(path)
+    return path
 
 
-def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "step", keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and go on from the written table.
 
     The copy outlives the loss of any executor, and later plans see its true size
     and read only the columns they need.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

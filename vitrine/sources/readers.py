@@ -73,11 +73,17 @@ def read_keyword_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_scanner_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``(line, cells)`` of scanner lines; other lines drop, equal lines collapse."""
-    scans = lines.filter(F.col(col).startswith('"')).select(F.rtrim(col).alias("line")).distinct()
+    """``(line, cells)`` of scanner lines; other lines drop, equal lines collapse (of one file, where lines carry their ``file``)."""
+    of = [c for c in ("file",) if c in lines.columns]
+    scans = lines.filter(F.col(col).startswith('"')).select(*of, F.rtrim(col).alias("line")).distinct()
     body = F.substring("line", F.lit(2), F.length("line") - 2)
     cells = F.transform(F.split(body, _pattern('","')), lambda cell: F.rtrim(cell))
-    return scans.select("line", cells.alias("cells"))
+    return scans.select(*of, "line", cells.alias("cells"))
+
+
+def read_scanner_drop(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, value)``: the lines of every file of a drop folder, with the file they came in."""
+    return spark.read.text(folder).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def parse_field_spec(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -91,8 +97,11 @@ def read_field_spec(spark: SparkSession, path: str) -> DataFrame:
     return parse_field_spec(spark.read.text(path))
 
 
-def parse_audit_log(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Actions of an audit log: five fixed columns, then ``key=value`` cells as a map; of a repeated key the last counts."""
+def parse_audit_log(lines: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Actions of an audit log: five fixed columns, then ``key=value`` cells as a map; of a repeated key the last counts.
+
+    ``keep`` names further columns of ``lines`` to carry along.
+    """
     cells = F.split(F.col(col), "\t")
 
     def entry(cell: Column) -> Column:
@@ -104,7 +113,7 @@ def parse_audit_log(lines: DataFrame, col: str = "value") -> DataFrame:
     from_last = F.reverse(F.transform(entries, lambda e: e["key"]))
     attrs = F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(from_last, e["key"]) == F.size(entries) - i))
     fixed = [F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(["action", "logged_at", "update_type", "uri", "username"])]
-    return lines.filter(~F.col(col).startswith("#") & (F.col(col) != "")).select(*fixed, attrs.alias("attrs"))
+    return lines.filter(~F.col(col).startswith("#") & (F.col(col) != "")).select(*fixed, attrs.alias("attrs"), *keep)
 
 
 def read_audit_log(spark: SparkSession, path: str) -> DataFrame:
