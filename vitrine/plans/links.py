@@ -16,8 +16,7 @@ TYPES = ("subjectdocumenttype", "objectdocumenttype")
 
 def resolve_links(relations: DataFrame, hierarchy: DataFrame) -> DataFrame:
     """Relations with the record id of both ends; an edge with an unknown end drops."""
-    rows = relations.select("subjectcsid", "objectcsid", *TYPES, "relationshiptype")
-    return with_id(with_id(rows, hierarchy, "subjectcsid", "subjectid"), hierarchy, "objectcsid", "objectid")
+    return with_id(with_id(relations, hierarchy, "subjectcsid", "subjectid"), hierarchy, "objectcsid", "objectid")
 
 
 def store_links(c: Collection, path: str | None = None) -> DataFrame:
