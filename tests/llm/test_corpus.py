@@ -271,3 +271,35 @@ def test_pipeline_stages(session):
     assert mixed.columns == docs.columns
     files = corpus_pipeline.token_files(session, mixed, sf)
     assert Counter(r.doc_id for r in files.collect()) == Counter(r.doc_id for r in mixed.collect())
+
+
+def run_on(session, tmp_path, frame):
+    """Each stage's output over ``frame``, written and read as the pipeline does."""
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    session.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, out = session.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(session, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = session.read.parquet(f"{tmp_path}/{name}")
+        out.append(docs)
+    return out
+
+
+def test_pipeline_takes_odd_rows(session, odd, documents, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and columns of clashing names pass all stages."""
+    plain = documents.selectExpr("doc_id + 10000 AS doc_id", "text", "lang", "source", "n_chars", "'x' AS `key`", "1.0D AS score", "true AS kept", "5 AS slot")
+    *stages, last = run_on(session, tmp_path, odd.union(plain))
+    before = odd.union(plain)
+    for docs in stages:
+        assert docs.columns == odd.columns
+    kept, deduped, clean, mixed = stages
+    rows = lambda df: Counter((r.doc_id, r.text) for r in df.select("doc_id", "text").collect())
+    assert not rows(kept) - rows(before) and not rows(deduped) - rows(kept) and not rows(clean) - rows(deduped) and set(rows(mixed)) <= set(rows(clean))
+    assert last.count() == mixed.count() and last.agg({"n_tokens": "min"}).first()[0] >= 1
+    assert Counter(r.doc_id for r in last.collect()) == Counter(r.doc_id for r in mixed.collect())
+
+
+def test_pipeline_on_an_empty_table(session, empty, tmp_path):
+    stages = run_on(session, tmp_path, empty)
+    assert [s.count() for s in stages] == [0] * 5 and all(s.columns == empty.columns for s in stages[:-1])
+    assert corpus_pipeline.run(session, str(tmp_path)).count() == 0

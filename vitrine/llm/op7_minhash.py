@@ -232,8 +232,8 @@ def forest(rest: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     return columns.groupBy("pack").applyInPandas(join, "a binary, b binary").distinct()
 
 
-def links(reps: DataFrame, bodies_of, percent: int) -> DataFrame:
-    """Links (a, b) between classes that give the same components as all links would.
+def grouped(reps: DataFrame, bodies_of, percent: int) -> DataFrame:
+    """(node, root) of the classes that are linked with others; root is the smallest of its component.
 
     ``bodies_of`` turns keys into (key, body), the texts of those classes.
     """
@@ -266,7 +266,16 @@ def links(reps: DataFrame, bodies_of, percent: int) -> DataFrame:
         return rows.join(rows.groupBy("band").agg(F.count("*").alias("m"), F.sum("n").alias("words")), "band")
 
     named = cut_lineage(with_candidates(sized(rest), percent), "named")
-    return found.union(cut_lineage(forest(cut_lineage(sized(rest.drop("sig"), named), "loose"), bodies, percent), "forest"))
+    more = cut_lineage(forest(cut_lineage(sized(rest.drop("sig"), named), "loose"), bodies, percent), "forest")
+    if more.isEmpty():
+        return joined
+    # Links between components join whole components: only these are walked again.
+    for x in ("a", "b"):
+        more = more.join(joined.select(F.col("node").alias(x), F.col("root").alias("_root")), x, "left").withColumn(x, F.coalesce("_root", x)).drop("_root")
+    upper = cut_lineage(components(more).withColumnRenamed("root", "upper"), "components")
+    moved = joined.join(upper.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("upper", "root").alias("root"))
+    # A class that had no link before is its own root.
+    return moved.union(upper.join(joined, "node", "left_anti").select("node", F.col("upper").alias("root")))
 
 
 def _annotated(fn, *types):
@@ -286,7 +295,7 @@ def clustered(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
         texts = df.select(row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("body"))
         return texts.join(wanted, "row_key").groupBy("key").agg(F.any_value("body").alias("body"))
 
-    joined = components(links(reps, bodies_of, percent))
+    joined = grouped(reps, bodies_of, percent)
     rooted = reps.select("key", "id").join(joined.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = cut_lineage(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
