@@ -1,6 +1,12 @@
 """From raw documents to token files, in five stages.
 
 Each stage works on what the one before kept, written as a table in between.
+
+Defined cases, beside those that each operator states: a null text is an empty one; an empty text has fewer words than the
+first stage asks for, so it goes there; rows without an id stay as long as their texts do, and lose against rows
+with one among near-duplicates; repeated rows are near-duplicates, so one stays; a null source is a source
+of its own; an empty table gives empty stages; further columns, whatever their names, are carried
+to the last stage, which returns its own.
 """
 
 from __future__ import annotations
@@ -48,6 +54,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``; a row for each text in the token files."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir), name)
