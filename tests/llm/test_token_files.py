@@ -49,14 +49,23 @@ def test_sharding_query(session):
     for r in got:
         places[r.shard].append(r.slot)
     assert all(sorted(v) == list(range(len(v))) for v in places.values())
+    held = Counter()
+    for r in got:
+        held[r.balanced_shard] += r.size
+    grown = Counter()
+    for r in got:
+        grown[r.shard] += r.size
+    assert max(held.values()) - min(held.values()) < max(grown.values()) - min(grown.values())
+    slots = {r.virtual_slot: (r.shard, r.balanced_shard) for r in got}
+    assert all(slots[r.virtual_slot] == (r.shard, r.balanced_shard) for r in got) and sum(a != b for a, b in slots.values()) < len(slots)
     larger = {r.doc_id: r.shard for r in sharding.op5_virtual_slots(session, "/root/testdata/sf0.01").collect()}
     assert all(larger[r.doc_id] == r.shard for r in got)
 
 
 def test_sharding_odd_rows(session, odd, empty):
     path = scratch_path(session, "map")
-    sharding.save_map(session, path, 3, sharding.grown_map(3))
-    slot_map = sharding.load_map(session, path, 3)
+    sharding.save_map(session, path, "3", sharding.grown_map(3))
+    slot_map = sharding.load_map(session, path, "3")
     got = sharding.numbered(sharding.place(odd, slot_map)).collect()
     assert len(got) == odd.count() and sum(r.size == 8 for r in got) == 3
     assert sharding.place(empty, slot_map).count() == 0

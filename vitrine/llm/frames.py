@@ -3,8 +3,8 @@
 A file is a row of chunks.  Spark's text writer puts the bytes of a string column down as
 they are and ends each with a line feed, so a chunk format that takes a closing line
 feed as its own can be written by Spark: to any store, with its commit protocol, and
-again from scratch after the loss of an executor.  Files are read whole as ``binaryFile``, so
-writers bound their size.
+again from scratch after the loss of an executor.  Files are read whole as ``binaryFile``, so a
+file must stay below 2 GB: token files are dealt by bytes, archives by partition.
 """
 
 from __future__ import annotations

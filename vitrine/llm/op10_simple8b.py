@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ WIDTHS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 MAGIC, HEADER = b"S8B1", struct.Struct("<4sIIIII")
 DOCUMENT = struct.Struct("<qBQII")
 BLOCK_IDS, MARK = 1 << 16, 256
+#: Texts that are cut into pieces together.
+GROUP_BYTES = 8 << 20
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -235,17 +238,28 @@ def write_ids(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         coder = json_encoder(tokenizer)
 
         def documents():
+            held, size = [], 0
             for b in batches:
-                texts = [t if isinstance(t, str) else "" for t in b["t"]]
-                yield from zip((int(i) if isinstance(i, str) else None for i in b["i"]), coder.texts(texts, end))
+                held.append(b)
+                size += b.nbytes
+                if size >= GROUP_BYTES:
+                    yield from read(held)
+                    held, size = [], 0
+            if held:
+                yield from read(held)
+
+        def read(held):
+            rows = pa.Table.from_batches(held).combine_chunks()
+            numbers, texts = (pa.concat_arrays(rows.column(c).chunks) for c in ("n", "t"))
+            yield from zip(numbers.to_pylist(), coder.strings(texts, end))
 
         for chunk in blocks(documents()):
-            yield pd.DataFrame({"chunk": [chunk]})
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.binary())})
 
     tie = F.xxhash64(F.coalesce(F.col("t"), F.lit("")))
     dealt = df.select(F.col(id_col).cast("bigint").alias("n"), F.col(text_col).alias("t")).repartitionByRange(files, F.col("n").asc_nulls_first(), tie)
-    ordered = dealt.sortWithinPartitions(F.col("n").asc_nulls_first(), tie).select(F.col("n").cast("string").alias("i"), "t")
-    write_chunks(ordered.mapInPandas(encoded, "chunk binary"), path)
+    ordered = dealt.sortWithinPartitions(F.col("n").asc_nulls_first(), tie)
+    write_chunks(ordered.mapInArrow(encoded, "chunk binary"), path)
 
 
 def read_ids(spark: SparkSession, path: str, summary: bool = False) -> DataFrame:

@@ -5,7 +5,9 @@ shard holds a slot stands in a map of ``SLOTS`` rows that is stored in versions;
 records move only when the map is edited.  ``grow`` makes the next version for one
 more shard by moving an even share of slots to it; ``rebalance`` makes one that
 evens out the bytes that ``slot_sizes`` finds.  The query follows the law ``key``:
-it uses the maps that come from growth alone, so id and shard count decide.
+its shards come from the maps of growth alone, so id and shard count decide.  Beside
+them it sums the bytes of every slot, stores the map edited by them as a version of its own, and
+names the shard of that version as ``balanced_shard``.
 
 Defined cases: a null id hashes like the text ``null``; a null text has no bytes (size 8);
 equal ids share a shard; an empty table gives no rows; further columns are ignored.
@@ -82,12 +84,12 @@ def slot_sizes(placed: DataFrame) -> DataFrame:
     return placed.groupBy("virtual_slot").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
 
 
-def save_map(spark: SparkSession, path: str, version: int, owners: list[int]) -> None:
+def save_map(spark: SparkSession, path: str, version: str, owners: list[int]) -> None:
     """Store a version of the map; versions stand side by side and none is overwritten."""
     spark.createDataFrame(list(enumerate(owners)), "virtual_slot int, shard int").coalesce(1).write.parquet(f"{path}/version={version}")
 
 
-def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
+def load_map(spark: SparkSession, path: str, version: str) -> DataFrame:
     return spark.read.schema("virtual_slot int, shard int").parquet(f"{path}/version={version}")
 
 
@@ -116,12 +118,16 @@ def op5_virtual_slots(spark, sf_dir: str, shards: int = 24) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "slot_map")
     owners = grown_map(shards)
-    save_map(spark, path, shards, owners)
-    save_map(spark, path, shards + 1, grow(owners, shards))
-    placed = cut_lineage(place(documents, load_map(spark, path, shards)), "placed")
-    later = load_map(spark, path, shards + 1).withColumnRenamed("shard", "grown_shard")
-    out = numbered(placed).join(F.broadcast(later), "virtual_slot")
-    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "virtual_slot")
+    save_map(spark, path, f"{shards}", owners)
+    save_map(spark, path, f"{shards + 1}", grow(owners, shards))
+    placed = cut_lineage(place(documents, load_map(spark, path, f"{shards}")), "placed")
+    # A row a slot reaches the driver, whatever the input.
+    held = {r["virtual_slot"]: r["bytes"] for r in slot_sizes(placed).collect()}
+    save_map(spark, path, f"{shards}-by-bytes", rebalance(owners, shards, held))
+    later = load_map(spark, path, f"{shards + 1}").withColumnRenamed("shard", "grown_shard")
+    even = load_map(spark, path, f"{shards}-by-bytes").withColumnRenamed("shard", "balanced_shard")
+    out = numbered(placed).join(F.broadcast(later), "virtual_slot").join(F.broadcast(even), "virtual_slot")
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "virtual_slot", "balanced_shard")
 
 
 QUERIES = {"op5_virtual_slots": op5_virtual_slots}

@@ -32,8 +32,8 @@ from vitrine.session import cut_lineage
 #: 1: the word counts, 0: it may be any word.
 MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
 MIN_WORDS, SHARE = 8, 0.5
-#: 16 bytes a row: some 32 MB.
-BROADCAST_ROWS = 2_000_000
+#: Some 100 bytes a row, as the item's key is a text of 32 characters: some 40 MB.
+BROADCAST_ROWS = 400_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

@@ -16,6 +16,8 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A space between two characters that no definition of white space includes.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -74,6 +76,47 @@ class PieceEncoder:
             start = array("I", self.encode(first)).tobytes()
             yield np.frombuffer(b"".join((start, *map(ids_of, pieces), last)), dtype=np.uint32)
 
+    def strings(self, texts: pa.Array, end: int) -> Iterator[np.ndarray]:
+        """Ids of each text of a string array, closed by ``end``, in order.
+
+        Texts are cut and their pieces told apart in Arrow; Python sees a piece once an array, and ids are gathered by places.
+        """
+        texts = texts.fill_null("")
+        cut = pc.split_pattern(texts, " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.values[bounds[0] : bounds[-1]].dictionary_encode()
+        bounds -= bounds[0]
+        pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        held = list(map(self.known.get, pieces))
+        rest = self._plain({p for p, ids in zip(pieces, held) if ids is None})
+        odd = {p for p in rest if not p or p[0].isspace() or p[-1].isspace()}
+        once: dict[str, bytes] = dict.fromkeys(odd, b"")
+        for piece, ids in self._encoded(sorted(rest.difference(odd))):
+            (self.known if len(piece) <= LONGEST else once)[piece] = ids
+        held = [ids if ids is not None else self.known[p] if p in self.known else once[p] for p, ids in zip(pieces, held)]
+        # Texts with an odd piece, or white space at the end of the first, are cut anew by themselves.
+        strange = np.array([p in odd for p in pieces] if odd else [False] * len(pieces), dtype=bool)
+        first = [pieces[i] for i in at[bounds[:-1]].tolist()]
+        alone = np.logical_or.reduceat(strange[at], bounds[:-1]) | np.array([not f or f[-1].isspace() for f in first]) if len(first) else np.zeros(0, dtype=bool)
+        # Segments: the first piece without its space, the other pieces, the end.
+        held.extend(b"" if a else array("I", self.encode(f)).tobytes() for f, a in zip(first, alone.tolist()))
+        held.append(np.uint32(end).tobytes())
+        flat = np.frombuffer(b"".join(held), dtype=np.uint32)
+        size = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
+        start = np.cumsum(size) - size
+        at[bounds[:-1]] = len(pieces) + np.arange(len(first))
+        at = np.insert(at, bounds[1:], len(held) - 1)
+        many = size[at]
+        stop = np.cumsum(many)
+        ids = flat[np.repeat(start[at] - (stop - many), many) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        ends = stop[bounds[1:] + np.arange(len(first))].tolist()
+        before = 0
+        for i, (after, by_itself) in enumerate(zip(ends, alone.tolist())):
+            yield next(self._group([texts[i].as_py()], end)) if by_itself else ids[before:after]
+            before = after
+        while len(self.known) > REMEMBERED:
+            self.known.popitem()  # the latest go: words met first are the frequent ones
+
     def _plain(self, new: set[str]) -> set[str]:
         """Look up the plain ones of the ``new`` pieces; the others."""
         if self.word is None:
