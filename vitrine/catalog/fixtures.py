@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.plans.links import store_links
+from vitrine.plans.links import store_hierarchy, store_links
 from vitrine.plans.model import Collection
 from vitrine.session import cut_lineage
 
@@ -446,7 +446,7 @@ def _open_collection(spark: SparkSession, sf_dir: str) -> Collection:
             if name in VIEWS:
                 text = _text(name, 0)
                 df = spark.sql(text, **{n: open_one(n) for n in _needs(text)})
-                opened[name] = cut_lineage(df, name, keep=True) if name in STORED else df
+                opened[name] = store_hierarchy(df) if name == "hierarchy" else cut_lineage(df, name, keep=True) if name in STORED else df
             else:
                 opened[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return opened[name]

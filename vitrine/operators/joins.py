@@ -17,16 +17,33 @@ from vitrine.operators.filters import not_deleted
 BARE_PARTS = ["view", "content"]
 
 
-def csids(hierarchy: DataFrame, id: str = "id", csid: str = "csid") -> DataFrame:
-    """``(id, csid)`` of the records.
+#: Column that a stored hierarchy is partitioned by, and its value for rows of no list.
+LIST, NO_LIST = "list", "-"
+
+
+def with_lists(hierarchy: DataFrame) -> DataFrame:
+    """The hierarchy with each member's list, its name without the schema before it; tables partitioned by it are read list by list."""
+    return hierarchy.withColumn(LIST, F.when(F.col("name").contains(":"), F.substring_index("name", ":", -1)).otherwise(F.lit(NO_LIST)))
+
+
+def records(hierarchy: DataFrame) -> DataFrame:
+    """The rows of records.
 
     Rows of list members, which carry their list's name, are left out: they are most of
     the table, share a few names, and would meet in a few tasks of any join by name.
     """
-    rows = hierarchy.filter(F.col("name").isNull() | ~F.col("name").contains(":"))
+    if LIST in hierarchy.columns:
+        rows = hierarchy.filter(F.col(LIST) == NO_LIST)
+    else:
+        rows = hierarchy.filter(F.col("name").isNull() | ~F.col("name").contains(":"))
     if "primarytype" in hierarchy.columns:
         rows = rows.filter(F.col("primarytype").isNull() | ~F.col("primarytype").isin(BARE_PARTS))
-    return rows.select(F.col("id").alias(id), F.col("name").alias(csid))
+    return rows
+
+
+def csids(hierarchy: DataFrame, id: str = "id", csid: str = "csid") -> DataFrame:
+    """``(id, csid)`` of the records."""
+    return records(hierarchy).select(F.col("id").alias(id), F.col("name").alias(csid))
 
 
 def with_csid(df: DataFrame, hierarchy: DataFrame, id: str = "id", out: str = "csid", how: str = "inner") -> DataFrame:
@@ -53,7 +70,7 @@ def members(
     """``(parentid, member_id, pos)`` of a repeating group, by list name or member type."""
     rows = hierarchy
     if list_name is not None:
-        rows = rows.filter(list_named(F.col("name"), list_name))
+        rows = rows.filter(F.col(LIST) == list_name if LIST in rows.columns else list_named(F.col("name"), list_name))
     if primarytype is not None:
         rows = rows.filter(F.col("primarytype") == primarytype)
     if pos is not None:
@@ -112,7 +129,8 @@ def group_values(
     if pos is not None:
         at = F.col("pos") == pos
         rows = rows.filter(at | F.col("pos").isNull() if or_null else at)
-    tag = F.substring_index("name", ":", -1) if by == "name" else F.col("primarytype")
+    name = F.col(LIST) if LIST in hierarchy.columns else F.substring_index("name", ":", -1)
+    tag = name if by == "name" else F.col("primarytype")
     rows = rows.withColumn("_tag", tag).filter(F.col("_tag").isin(sorted({list_name for list_name, *_ in groups.values()})))
     rows = rows.select("parentid", F.col("id").alias("member_id"), "pos", "_tag")
     if ids is not None:

@@ -14,7 +14,7 @@ from vitrine.functions.text import (
 from vitrine.operators.aggregates import multi_value, multi_value_distinct, union_all
 from vitrine.operators.filters import non_blank, non_null, not_deleted
 from vitrine.operators.joins import (
-    first_of_group, group_values, long_form, media_rows, members, merge_list, pivot_fields, with_csid,
+    first_of_group, group_values, long_form, media_rows, members, merge_list, pivot_fields, records, with_csid,
 )
 from vitrine.operators.ordering import sequence_id
 from vitrine.plans.links import linked, links_of
@@ -285,7 +285,7 @@ def _acquired(c: Collection) -> DataFrame:
         acquired = first_of_group(
             acquired, c.hierarchy.filter("primarytype = 'structuredDateGroup'"), c.structureddategroup, {"datedisplaydate": name},
             list_name=list_name, or_null=True, id="pid")
-    record = c.hierarchy.filter("pos = 0 OR pos IS NULL").select(F.col("id").alias("pid"))
+    record = records(c.hierarchy).filter("pos = 0 OR pos IS NULL").select(F.col("id").alias("pid"))
     return acquired.join(record, "pid", "left_semi")
 
 

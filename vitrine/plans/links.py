@@ -1,4 +1,4 @@
-"""Relations by record ids: csids are resolved once, and reports join the result."""
+"""Tables that a collection stores in a layout of its own: relations by record ids, the hierarchy by list."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators.joins import with_id
+from vitrine.operators.joins import LIST, with_id, with_lists
 from vitrine.plans.model import Collection
 from vitrine.session import scratch_path
 
@@ -28,6 +28,15 @@ def store_links(c: Collection, path: str | None = None) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def store_hierarchy(hierarchy: DataFrame, path: str | None = None) -> DataFrame:
+    """The hierarchy written once, partitioned by list: a list is read without the others, records without any list."""
+    spark = hierarchy.sparkSession
+    path = path or scratch_path(spark, "hierarchy", keep=True)
+    rows = with_lists(hierarchy)
+    rows.hint("rebalance", LIST).write.partitionBy(LIST).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def links_of(c: Collection) -> DataFrame:
     """The collection's table of resolved links, or the links resolved on the way."""
     return c.edges if "edges" in c else resolve_links(c.relations, c.hierarchy)

@@ -20,7 +20,7 @@ from vitrine.operators.filters import (
     alive_dead, in_or_all, key_search, limit_n, nearest_bounds, not_deleted, object_range, sort_keys, under_place,
 )
 from vitrine.operators.hierarchy import culture_heading
-from vitrine.operators.joins import first_of_group, group_values, members, pivot_fields, with_csid
+from vitrine.operators.joins import first_of_group, group_values, members, pivot_fields, records, with_csid
 from vitrine.operators.ordering import distinct_on, latest_by
 from vitrine.plans.links import linked, links_of
 from vitrine.plans.model import Collection
@@ -68,7 +68,8 @@ def _lookups(
 
 def location_terms(c: Collection) -> DataFrame:
     """``(termdisplayname, location_id)`` of every live location."""
-    terms = c.location_terms.select("id", "termdisplayname").join(c.hierarchy.select("id", F.col("parentid").alias("location_id")), "id")
+    owner = members(c.hierarchy, "locTermGroupList").select(F.col("member_id").alias("id"), F.col("parentid").alias("location_id"))
+    terms = c.location_terms.select("id", "termdisplayname").join(owner, "id")
     return not_deleted(terms, c.misc, "location_id").select("termdisplayname", "location_id")
 
 
@@ -87,7 +88,8 @@ def located_objects(c: Collection, locations: DataFrame | str | None = None, mov
         terms = terms.filter(F.col("termdisplayname") == locations)
     else:
         terms = _only(terms, locations, "termdisplayname")
-    terms = terms.join(c.hierarchy.select("id", F.col("parentid").alias("lid")), "id").drop("id")
+    owner = members(c.hierarchy, "locTermGroupList").select(F.col("member_id").alias("id"), F.col("parentid").alias("lid"))
+    terms = terms.join(owner, "id").drop("id")
     places = terms.join(c.locations.select(F.col("id").alias("lid"), F.col("refname").alias("movementrefname")), "lid").drop("lid")
     # Objects that are there now come first: they are few beside all movements ever made to the places.
     objects = not_deleted(c.objects.select("id", F.col("computedcurrentlocation").alias("movementrefname")), c.misc).join(places, "movementrefname")
@@ -292,7 +294,7 @@ def object_list(c: Collection, lo: str, hi: str, mode: str = "range", n: int | N
 def _plant_moves(c: Collection) -> DataFrame:
     """Every plant with every movement: ids, version flag, reason, places, date."""
     edges = links_of(c).filter("objectdocumenttype = 'Movement'").select(F.col("subjectid").alias("id"), F.col("subjectcsid").alias("objectcsid"), F.col("objectid").alias("movement_id"))
-    versions = c.hierarchy.filter("name IS NOT NULL").select(F.col("id").alias("movement_id"), "isversion")
+    versions = records(c.hierarchy).select(F.col("id").alias("movement_id"), "isversion")
     moves = c.movements.select(F.col("id").alias("movement_id"), "currentlocation", "reasonformove", "locationdate", "previouslocation").join(versions, "movement_id")
     rows = c.objects.select("id", "objectnumber", "recordstatus").join(edges, "id").join(moves, "movement_id")
     return rows.join(c.objects_ext.select("id", "rare", "deadflag"), "id")
