@@ -89,9 +89,3 @@ def test_nightly(c, spark, tmp_path):
     assert again.version == 2 and PublishedTable(spark, f"{tmp_path}/load", "id").versions() == [1, 2]
     with pytest.raises(Exception):
         nightly(c, str(tmp_path), "two", "internal")
-
-
-def test_nightly_reads_few_files(c, monkeypatch):
-    """The wide rows are one plan; its scans are counted."""
-    plan = ex.public_wide(c)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") <= 60

@@ -131,5 +131,5 @@ def test_late_lines_go_to_the_side_table(spark, tmp_path):
     sm.run_audit(spark, folder, out, state)
     put(tmp_path / "in" / "c", line.format(2) + line.format(3))
     actions, aside = sm.run_audit(spark, folder, out, state)
-    assert sorted(r["attrs"]["id"] for r in actions.collect()) == ["10", "11", "9"]
-    assert sorted(r["attrs"]["id"] for r in aside.collect()) == ["2", "3", "x"]
+    assert sorted(r["attrs"]["id"] for r in actions.collect()) == ["10", "11", "9", "x"]
+    assert sorted(r["attrs"]["id"] for r in aside.collect()) == ["2", "3"]

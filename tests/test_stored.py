@@ -68,7 +68,7 @@ def test_an_edit_may_empty_buckets_and_not_stray(published, spark):
     assert published.read().collect() == []
     published.publish(spark.range(20).select("id", F.lit("x").alias("v")))
     with pytest.raises(ValueError):
-        published.edit(spark.createDataFrame([(1,)], "id long"), lambda df: df.withColumn("id", F.explode(F.sequence(F.lit(0), F.lit(99))).cast("long")))
+        published.edit(spark.createDataFrame([(1,)], "id long"), lambda df: df.withColumn("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(99).cast("long")))))
 
 
 def test_null_keys_are_kept(spark, tmp_path, rows):

@@ -101,6 +101,8 @@ def _reach(tree: Intervals, starts: DataFrame) -> DataFrame:
         reached = cut_lineage(reached.union(new).groupBy("asked", "key").agg(F.min("distance").alias("distance")))
     found = reached.join(at, F.col("key") == F.col("_key")).select("asked", "from", "to", (F.col("_depth") - F.col("distance")).alias("base"))
     hits = _within(found, tree.nodes).select("asked", "key", "term", level)
+    if not back:
+        return hits
     again = union_all(back).join(tree.nodes.select("key", "term"), "key")
     return hits.union(again.select("asked", "key", "term", F.col("distance").cast("int")))
 

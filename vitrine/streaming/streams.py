@@ -86,9 +86,9 @@ def _written(spark: SparkSession, path: str) -> DataFrame | None:
 def run_audit(spark: SparkSession, folder: str, out: str, checkpoint: str, late: str = "1 day") -> tuple[DataFrame, DataFrame]:
     """Take in the lines that have arrived; ``(actions, late actions)``, every line of the log once in one of them.
 
-    Lines within the watermark go to ``actions``, each once.  The watermark passes over what comes later (and over lines without a
-    time): those lines are found as the ones that are in no output yet, and go to the side table.  Only files that came since the run
-    before, and were there when this one began, are looked at again.
+    Lines within the watermark, and lines without a time, go to ``actions``, each once.  The watermark passes over what comes later:
+    those lines are found as the ones that are in no output yet, and go to the side table.  Only files that came since the run before,
+    and were there when this one began, are looked at again.
     """
     columns = ["action", "logged_at", "update_type", "uri", "username", "attrs", "line", "at"]
     marks = _written(spark, f"{out}/marks")
