@@ -45,6 +45,16 @@ def test_method_adds_labels(session, empty):
     assert op1_licenses.scan(empty).count() == 0
 
 
+def test_query_places_start_at_the_whole_phrase(session, tmp_path):
+    rows = ["Released UNDER the MIT License", "see the MIT license", "under the, mit; license under the MIT license", "under mit license", "Under\nThe\nMIT\nLicense apache license version 2 cc by nc", None, ""]
+    session.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in op1_licenses.op1_license_scan(session, str(tmp_path)).collect()}
+    base = lambda r: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)
+    assert [base(found[i]) for i in range(7)] == [
+        (5, 1, 1, 1, "mit"), (4, 0, None, None, ""), (8, 2, 0, 4, "mit"), (3, 0, None, None, ""), (11, 3, 0, 8, "apache-2,cc-by-nc,mit"), (0, 0, None, None, ""), (0, 0, None, None, "")]
+    assert found[1].labels == "mit" and set(found[4].base_labels.split(",")) <= set(found[4].labels.split(","))
+
+
 def counts(text):
     raw = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", raw)

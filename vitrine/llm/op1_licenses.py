@@ -64,6 +64,9 @@ PHRASES = (
     Template("cc phrase", "cc-by-nc", "cc by nc", ("cc by nc",)),
 )
 
+# The phrases of the registered query, whose MIT phrase is a word longer; the shorter one only adds its label there.
+QUERY_PHRASES = (Template("mit under phrase", "mit", "under the mit license", ("under the mit license",)), *PHRASES[1:])
+
 # Short notices that licenses give for use in files, and the words that must not be missing.
 NOTICES = (
     Template("mit notice", "mit", "released under the mit license", ("mit license",)),
@@ -192,7 +195,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents")).drop("places")
+    return scan(table(spark, sf_dir, "documents"), phrases=QUERY_PHRASES, notices=(PHRASES[0], *NOTICES)).drop("places")
 
 
 QUERIES = {"op1_license_scan": op1_license_scan}
