@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from vitrine.catalog import all_oracles, all_queries
@@ -54,3 +55,33 @@ def test_no_query_plans_a_cross_join(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "id"
+
+
+def test_hierarchy_by_list_is_that_of_its_text(spark, duck):
+    ours = collection(spark, SF)["hierarchy"]
+    theirs = duck.execute(oracle("SELECT id, parentid, name, pos, primarytype, isversion FROM {hierarchy}")).fetchall()
+    assert sorted(str(tuple(r)[:6]) for r in ours.collect()) == sorted(map(str, theirs))
+
+
+def test_a_list_of_the_hierarchy_makes_no_other(spark):
+    def lists(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+
+    from vitrine.operators.joins import members, records
+
+    h = collection(spark, SF)["hierarchy"]
+    assert lists(members(h, "titleGroupList")) == 1
+    assert lists(members(h, primarytype="lenderGroup")) == 1 and lists(members(h, primarytype="structuredDateGroup")) == 4
+    assert lists(records(h)) == 0 and "l_partkey" not in records(h)._jdf.queryExecution().optimizedPlan().toString()
+    places = h.filter("startswith(primarytype, 'Place')")._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" in places and not any(n in places for n in ("l_partkey", "o_orderkey", "p_partkey", "doc_id"))
+
+
+def test_small_files_of_large_tables_are_not_broadcast(spark, tmp_path):
+    from vitrine.session import tune
+
+    path = str(tmp_path / "t")
+    tune(spark).range(400_000).selectExpr("concat('urn:x:place:name(place):item:name(c', id, ')') AS name").coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path)
+    plan = rows.join(rows.withColumnRenamed("name", "other"), rows["name"] == F.col("other"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
