@@ -15,7 +15,7 @@ from vitrine.operators.latest import LatestRows
 from vitrine.operators.layout import KeyedTable
 from vitrine.operators.suggestions import SuggestionTable
 from vitrine.plans.links import linked, links_of
-from vitrine.session import scratch_path
+from vitrine.session import cut_lineage, scratch_path
 
 
 def keyed_locations(c) -> KeyedTable:
@@ -94,7 +94,7 @@ def _f03(c):
     """Every object's latest movement, after its movements came in three batches in no order, the first of them twice."""
     spark = c.movements.sparkSession
     moves = linked(c.objects.select("id"), links_of(c), "move", "Movement").join(c.movements.select(F.col("id").alias("move"), "locationdate", "currentlocation"), "move")
-    moves = moves.select("id", "move", "locationdate", "currentlocation")
+    moves = cut_lineage(moves.select("id", "move", "locationdate", "currentlocation"), "moves")  # read by every batch
     state = LatestRows(spark, scratch_path(spark, "latest"), "id", "locationdate", ["move"], 16)
     for batch in (0, 1, 2, 0):
         state.merge(moves.filter(F.pmod(F.xxhash64("move"), F.lit(3)) == batch))
