@@ -280,10 +280,10 @@ def object_list(c: Collection, lo: str, hi: str, mode: str = "range", n: int | N
     """Existing objects between the nearest sort keys: the collision check of new numbers."""
     known = numbered_objects(c)
     found = nearest_bounds(distinct_on(known, ["sortableobjectnumber"], "id"), "sortableobjectnumber", lo, hi, mode, n, known=known)
+    found = cut_lineage(found, "found")  # the few numbers in the range, for their names and their members
     named = _lookups(c, found, by_name={"objectname": ("objectNameList", "objectnamegroup", "objectname")}, or_null=True)
-    member = members(c.hierarchy, "objectNameList", pos=0, or_null=True).select(F.col("parentid").alias("id"), "member_id")
+    member = members(c.hierarchy, "objectNameList", pos=0, or_null=True, keep=["name"]).select(F.col("parentid").alias("id"), F.col("name").alias("membername"))
     member = member.join(found.select("id"), "id", "left_semi")
-    member = member.join(c.hierarchy.select(F.col("id").alias("member_id"), F.col("name").alias("membername")), "member_id").drop("member_id")
     rows = distinct_on(named.join(member, "id", "left"), ["sortableobjectnumber"], "id", "membername")
     return rows.select("objectnumber", "sortableobjectnumber", blank_if_null(refname_display("objectname")).alias("objectname"), F.col("membername").alias("objectcsid"))
 
