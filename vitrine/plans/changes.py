@@ -13,7 +13,7 @@ from vitrine.functions.text import (
 from vitrine.operators.filters import exists_check, not_deleted, term_lookup
 from vitrine.operators.joins import attach_object_id, two_way_edges, with_csid
 from vitrine.operators.ordering import distinct_on, sequence_id
-from vitrine.plans.links import linked, links_of
+from vitrine.plans.links import linked_in
 from vitrine.plans.model import Collection
 from vitrine.plans.reports import key_info, located_objects
 from vitrine.sources.readers import parse_scanner_lines
@@ -80,7 +80,7 @@ def crate_rows(c: Collection, crate: str) -> DataFrame:
 def group_rows(c: Collection, title: str) -> DataFrame:
     """``(id)`` of the objects in a titled group."""
     groups = not_deleted(c.groups.filter(F.col("title") == title).select(F.col("id").alias("gid")), c.misc, "gid")
-    return linked(groups, links_of(c), "id", "CollectionObject", id="gid").select("id").distinct()
+    return linked_in(c, groups, "id", "CollectionObject", id="gid").select("id").distinct()
 
 
 def inventory_rows(c: Collection, locations: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from vitrine.operators.filters import (
 from vitrine.operators.hierarchy import culture_heading
 from vitrine.operators.joins import first_of_group, group_values, members, pivot_fields, records, with_csid
 from vitrine.operators.ordering import distinct_on, latest_by
-from vitrine.plans.links import linked, links_of
+from vitrine.plans.links import linked_in, links_of
 from vitrine.plans.model import Collection
 from vitrine.session import cut_lineage
 
@@ -94,11 +94,15 @@ def located_objects(c: Collection, locations: DataFrame | str | None = None, mov
     # Objects that are there now come first: they are few beside all movements ever made to the places.
     objects = not_deleted(c.objects.select("id", F.col("computedcurrentlocation").alias("movementrefname")), c.misc).join(places, "movementrefname")
     here, there = ("subject", "object") if movement == "subject" else ("object", "subject")
-    edges = links_of(c).select(
-        F.col(f"{there}id").alias("id"), F.col(f"{here}id").alias("moveid"), F.col(f"{here}csid").alias("movementcsid"), F.col(f"{there}csid").alias("objectcsid"),
-        "subjectdocumenttype", "objectdocumenttype")
+    types = ["subjectdocumenttype", "objectdocumenttype"]
+    csids = [F.col(f"{here}csid").alias("movementcsid"), F.col(f"{there}csid").alias("objectcsid")]
     moves = c.movements.select(F.col("id").alias("moveid"), F.col("currentlocation").alias("movementrefname"), "locationdate", "movementnote")
-    return objects.join(edges, "id").join(moves, ["moveid", "movementrefname"])
+    if "edges" in c:
+        edges = c.edges.select(F.col(f"{there}id").alias("id"), F.col(f"{here}id").alias("moveid"), *csids, *types)
+        return objects.join(edges, "id").join(moves, ["moveid", "movementrefname"])
+    # Relations meet the movements first, by csid: what is left of them is few, and no other link is resolved.
+    moved = c.relations.select(*csids, *types).join(with_csid(moves, c.hierarchy, "moveid", "movementcsid"), "movementcsid")
+    return with_csid(objects, c.hierarchy, out="objectcsid").join(moved, ["objectcsid", "movementrefname"])
 
 
 def _with_storage(rows: DataFrame, c: Collection, extra: Sequence[str] = ()) -> DataFrame:
@@ -251,7 +255,7 @@ def key_info(
 def group_members(c: Collection, title: str, n: int | None = None) -> DataFrame:
     """General rows of the objects in a titled group."""
     groups = not_deleted(c.groups.filter(F.col("title") == title).select(F.col("id").alias("gid")), c.misc, "gid")
-    pairs = linked(groups, links_of(c), "id", id="gid").select("id").distinct()
+    pairs = linked_in(c, groups, "id", id="gid").select("id").distinct()
     rows = _general_columns(c, with_csid(not_deleted(pairs, c.misc), c.hierarchy))
     first = distinct_on(rows, ["computedcurrentlocation", "objectnumber"], "csid").drop("id")
     return limit_n(first, n, "computedcurrentlocation", "objectnumber")
@@ -437,7 +441,7 @@ def objects_by_owner(c: Collection, owner: str) -> DataFrame:
         "collectiondate": ("fieldCollectionDateGroup", "structureddategroup", "datedisplaydate"),
     })
     rows = cut_lineage(rows, "owned")  # the owner's few objects, before their acquisitions
-    acquisitions = linked(rows.select("id").distinct(), links_of(c), "aid", "Acquisition").join(
+    acquisitions = linked_in(c, rows.select("id").distinct(), "aid", "Acquisition").join(
         c.acquisitions.select(F.col("id").alias("aid"), "acquisitionreferencenumber"), "aid").select("id", "acquisitionreferencenumber").distinct()
     keys = ["objectnumber", "sortableobjectnumber", "numberofobjects", "objectname", "collectiondate", "site_refname", "placeowner", "ownershipnote", "placenote"]
     joined = rows.select("id", *keys).join(acquisitions, "id", "left")
@@ -506,7 +510,7 @@ def parent_info(c: Collection, numbers: Keys = None) -> DataFrame:
 def _related_pairs(c: Collection, numbers: Keys, this: str | None, other: str | None) -> DataFrame:
     records = c.objects.select("id")
     asked = records if numbers is None else _numbered(c, numbers).select("id").distinct()
-    pairs = linked(asked, links_of(c), "other_id", "CollectionObject").join(records.withColumnRenamed("id", "other_id"), "other_id", "left_semi")
+    pairs = linked_in(c, asked, "other_id", "CollectionObject").join(records.withColumnRenamed("id", "other_id"), "other_id", "left_semi")
     for flag, side in ((this, "id"), (other, "other_id")):
         wanted = c.objects_ext if flag is None else c.objects_ext.filter(F.col("iscomponent") == flag)
         pairs = pairs.join(wanted.select(F.col("id").alias(side)), side, "left_semi")
@@ -524,7 +528,7 @@ def child_info(c: Collection, numbers: Keys = None) -> DataFrame:
 def current_locations(c: Collection, csids: Keys = None) -> DataFrame:
     """Latest movement of each object."""
     objects = _only(with_csid(c.objects.select("id", "objectnumber"), c.hierarchy), csids, "csid")
-    moves = linked(objects, links_of(c), "mid", "Movement")
+    moves = linked_in(c, objects, "mid", "Movement")
     moves = moves.join(c.movements.select(F.col("id").alias("mid"), "locationdate", "reasonformove", "currentlocation"), "mid")
     return latest_by(moves, ["csid"], "locationdate", "mid").select(
         "csid", "objectnumber", "locationdate", "reasonformove", refname_display_first("currentlocation").alias("location"))
@@ -563,7 +567,7 @@ def production_dates(c: Collection, numbers: Keys = None) -> DataFrame:
 
 def object_media(c: Collection, numbers: Keys = None) -> DataFrame:
     """Media of each object, the primary image first."""
-    pairs = linked(_numbered(c, numbers), links_of(c), "mid")
+    pairs = linked_in(c, _numbered(c, numbers), "mid")
     media = c.media.select(F.col("id").alias("mid"), "blobcsid", "primarydisplay", "approvedforweb", "description")
     rows = pairs.join(media, "mid").select("objectnumber", "blobcsid", "primarydisplay", "approvedforweb", "description")
     return rows.orderBy(*sort_keys("objectnumber", "-primarydisplay", "blobcsid"))
