@@ -396,7 +396,8 @@ def packing_list(c: Collection, lo: str, hi: str, terms: Keys = None) -> DataFra
 
 def packing_list_by_culture(c: Collection, lo: str, hi: str, edges: DataFrame, terms: Keys = None) -> DataFrame:
     """As :func:`packing_list`, under the path of the object's cultural group; unplaced groups last."""
-    kept = under_place(key_info(c, _ranged(c, lo, hi)), "fieldcollectionplace", terms)
+    # stored: the terms that the rows name are looked up before the rows are read again for their headings
+    kept = cut_lineage(under_place(key_info(c, _ranged(c, lo, hi)), "fieldcollectionplace", terms), "packing")
     rows = culture_heading(kept, "cgrefname", c.places, c.hierarchy, edges)
     rows = rows.select("heading", "sort_last", F.col("storagelocation").alias("location"), "objectnumber", "objectname", "objectcount", "fieldcollectionplace", "objectcsid")
     return rows.orderBy(*sort_keys("sort_last", "heading", "objectnumber", "objectcsid"))
