@@ -7,12 +7,13 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from vitrine.llm import op5_sharding as sharding, op6_warc as warc, op10_simple8b as s8b
+from vitrine.llm import op5_sharding as sharding, op6_warc as warc, op10_simple8b as s8b, subwords
 from vitrine.llm.frames import read_files
 from vitrine.llm.subwords import json_encoder, rank_encoder
 from vitrine.session import scratch_path
@@ -183,6 +184,18 @@ def test_whole_ids_are_read_back(session, odd):
     assert got == Counter((None if i is None else str(i), tuple(x)) for i, x in expected([(r.doc_id, r.text) for r in odd.collect()]))
 
 
+def test_memory_of_pieces_is_bounded_where_ids_are_zipped_to_rows(monkeypatch):
+    monkeypatch.setattr(subwords, "REMEMBERED", 100)
+    monkeypatch.setattr(subwords, "REMEMBERED_TAILS", 10, raising=False)
+    shared = json_encoder(s8b.TOKENIZER)
+    coder = subwords.PieceEncoder(shared.encode, shared.lengths, shared.word)
+    for n in range(4):
+        rows = [(i, " ".join(f"w{'abcdefghij'[j]}{'xyzé'[n]}{'klmnopqrst'[i]}q{'.,!?'[j % 4] * (j + n)}" for j in range(10)) + " an end, of it" * n) for i in range(10)]
+        got = list(zip([i for i, _ in rows], coder.strings(pa.array([t for _, t in rows]), 2)))
+        assert [(i, x.tolist()) for i, x in got] == expected(rows)
+    assert len(coder.known) <= 100 and len(coder.tails) <= 10
+
+
 @pytest.mark.parametrize("encoder", [lambda: json_encoder(s8b.TOKENIZER), lambda: rank_encoder("byte_bpe_50k.tiktoken")])
 def test_pieces_encode_like_whole_texts(encoder):
     texts = ["a  b", "x \n y", "é　 q", " lead", "trail ", "a\tb c", "it's 's fine", "\x1c a b\x85 c", "", " ", "a <|endoftext|> b", "  two", "word " * 50 + "x" * 100, "a   b c", "1 2  3 four!! *** (five)",

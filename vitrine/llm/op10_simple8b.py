@@ -40,7 +40,7 @@ MAGIC, HEADER = b"S8B1", struct.Struct("<4sIIIII")
 DOCUMENT = struct.Struct("<qBQII")
 BLOCK_IDS, MARK = 1 << 16, 256
 #: Texts that are cut into pieces together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 
