@@ -2,7 +2,7 @@
 
 import pytest
 
-from vitrine.catalog import filters as catalog_filters
+from vitrine.catalog import filters as catalog_filters, reports as catalog_reports
 from vitrine.catalog.fixtures import collection
 from vitrine.catalog.registry import QUERIES
 from vitrine.plans import changes as ch
@@ -74,3 +74,21 @@ def test_review_rows_are_stored_before_their_headings(tables, stored):
 
     rp.packing_list_by_culture(tables, "Bay 0", "Bay 5", place_edges(tables))
     assert "packing" in [label for label, _ in stored]
+
+
+def test_both_lists_of_taxa_read_the_movements_once(spark, tables):
+    lines = plan(QUERIES["r24_all_taxa"](spark, SF)).splitlines()
+    assert sum("AS movement_id#" in line and "urn:x:location" in line for line in lines) == 1
+
+
+def test_lists_of_taxa_are_those_of_their_modes(tables, rows):
+    from pyspark.sql import functions as F
+
+    p = catalog_reports._plants(tables)
+    p = p.with_tables(movements=p.movements.union(p.movements))  # so rows repeat
+    dead, both = (rp.all_taxa(p, mode).select(F.lit(name).alias("mode"), "*") for mode, name in (("dead", "dead"), ("dead or alive", "both")))
+    found = rows(rp.taxa_lists(p))
+    assert found == rows(dead.unionByName(both))
+    assert len(found) > len(set(found))
+    with pytest.raises(ValueError):
+        rp.all_taxa(p, "all")

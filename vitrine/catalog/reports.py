@@ -211,9 +211,7 @@ T_DEAD = "o.reasonformove = 'Dead'"
 
 @query("r24_all_taxa", f"SELECT 'dead' AS mode, * FROM ({taxa(T_DEAD)}) a UNION ALL SELECT 'both', * FROM ({taxa(T_ALIVE)} UNION {taxa(T_DEAD)}) b")
 def _r24(c):
-    p = _plants(c)
-    dead, both = (rp.all_taxa(p, mode).select(F.lit(name).alias("mode"), "*") for mode, name in (("dead", "dead"), ("dead or alive", "both")))
-    return _day_text(dead.unionByName(both))
+    return _day_text(rp.taxa_lists(_plants(c)))
 
 
 @query("r25_authority_scan", down("AFRICA", 1) + f""", terms AS (SELECT term FROM down UNION SELECT 'AFRICA')

@@ -337,19 +337,53 @@ def bed_list(
     return rows if n is None else limit_n(rows, n, "gardenlocation", "objectnumber")
 
 
-def all_taxa(c: Collection, mode: str) -> DataFrame:
-    """Every plant and movement, living, dead or both."""
-    rows = alive_dead(_plant_moves(c), c.misc, mode, "taxa")
+def _taxa_rows(c: Collection, mode: str) -> DataFrame:
+    """The rows of :func:`all_taxa`, repeated ones too.
+
+    What belongs to a plant meets the plants, what belongs to a movement the movements, each by its own
+    key; the wide rows of both together are dealt once.
+    """
+    versions = records(c.hierarchy).select(F.col("id").alias("movement_id"), "isversion")
+    moves = c.movements.select(F.col("id").alias("movement_id"), "currentlocation", "reasonformove", "locationdate", "previouslocation").join(versions, "movement_id")
+    moves = moves.filter(~F.col("isversion").eqNullSafe(True)).drop("isversion")
+    dead = F.col("reasonformove") == "Dead"
+    if mode == "alive":
+        moves = not_deleted(moves, c.misc, "movement_id")
+    elif mode == "dead":
+        moves = moves.filter(dead)
+    elif mode == "dead or alive":
+        live = c.misc.filter(F.col("lifecyclestate") != "deleted").select(F.col("id").alias("_live")).distinct()
+        moves = moves.join(live, F.col("movement_id") == F.col("_live"), "left").filter(F.col("_live").isNotNull() | dead).drop("_live")
+    else:
+        raise ValueError(f"unknown mode: {mode}")
+    plants = c.objects.select("id", "objectnumber", "recordstatus").join(c.objects_ext.select("id", "rare", "deadflag"), "id")
+    plants = not_deleted(plants, c.misc)
     for pos, out in ((0, "taxon"), (1, "taxon2")):
-        rows = first_of_group(rows, c.hierarchy, c.taxonomicidentgroup, {"taxon": out}, list_name="taxonomicIdentGroupList", pos=pos)
-    rows = first_of_group(rows, c.hierarchy, c.localitygroup, ["fieldlocplace", "taxonomicrange"], list_name="localityGroupList")
-    rows = rows.join(c.taxa.select(F.col("refname").alias("taxon"), "family"), "taxon", "left")
-    out = rows.select(
+        plants = first_of_group(plants, c.hierarchy, c.taxonomicidentgroup, {"taxon": out}, list_name="taxonomicIdentGroupList", pos=pos)
+    plants = first_of_group(plants, c.hierarchy, c.localitygroup, ["fieldlocplace", "taxonomicrange"], list_name="localityGroupList")
+    plants = plants.join(c.taxa.select(F.col("refname").alias("taxon"), "family"), "taxon", "left")
+    edges = links_of(c).filter("objectdocumenttype = 'Movement'").select(F.col("subjectid").alias("id"), F.col("subjectcsid").alias("objectcsid"), F.col("objectid").alias("movement_id"))
+    rows = edges.join(moves, "movement_id").join(plants, "id")
+    return rows.select(
         "objectnumber", refname_display("taxon").alias("determination"), _shown("family").alias("family"), _shown("currentlocation").alias("gardenlocation"),
         F.col("recordstatus").alias("dataquality"), locality_text("fieldlocplace", "taxonomicrange").alias("locality"), "objectcsid", "rare", "deadflag",
         refname_display("taxon2").alias("determinationnoauth"), "reasonformove", local_day("locationdate").alias("actiondate"),
         _shown("previouslocation").alias("previouslocation"))
-    return out.distinct() if mode == "dead or alive" else out
+
+
+def all_taxa(c: Collection, mode: str) -> DataFrame:
+    """Every plant and movement, living, dead or both (then without repeated rows)."""
+    rows = _taxa_rows(c, mode)
+    return rows.distinct() if mode == "dead or alive" else rows
+
+
+def taxa_lists(c: Collection) -> DataFrame:
+    """The lists ``dead`` and ``both`` of :func:`all_taxa` under each other, told apart by ``mode``, in one pass over the rows."""
+    rows = _taxa_rows(c, "dead or alive")
+    # Equal rows have one reason, so all of them or none are dead.
+    counted = rows.groupBy(*rows.columns).agg(F.count_if(F.col("reasonformove") == "Dead").cast("int").alias("_dead"))
+    modes = F.concat(F.array(F.lit("both")), F.array_repeat(F.lit("dead"), F.col("_dead")))
+    return counted.select(F.explode(modes).alias("mode"), *rows.columns)
 
 
 def authority_scan(plants: DataFrame, terms: DataFrame, column: str, rare: Sequence[str] = (), dead: Sequence[str] = ()) -> DataFrame:
