@@ -1,9 +1,12 @@
 """Plans over many lists: which rows of the hierarchy they make, and what they store on the way."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.catalog import all_queries
-from vitrine.catalog.fixtures import collection
+from vitrine.catalog.fixtures import collection, with_stored_members
+from vitrine.plans import extract as ex
+from vitrine.plans.links import resolve_links
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,3 +23,37 @@ def tables(spark):
 def test_suggestions_make_the_rows_of_their_own_lists_only(spark):
     text = plan(all_queries()["c15_suggest"](spark, SF))
     assert "concat(pt," in text and "concat(lt," in text and "concat(tq-," not in text
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    from vitrine.session import REMOVE_SHUFFLES, cut_lineage
+
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before, shuffles = spark.conf.get(REMOVE_SHUFFLES), tracker.shuffleStatuses().size()
+    assert cut_lineage(df).count() == 7
+    kept = tracker.shuffleStatuses().size() - shuffles
+    assert kept <= 1 and spark.conf.get(REMOVE_SHUFFLES) == before  # the count's own at most
+    assert df.count() == df.count() == 7
+
+
+@pytest.fixture
+def stored(monkeypatch):
+    """Frames that the extract stores, by label; they are not written."""
+    seen = {}
+    monkeypatch.setattr(ex, "cut_lineage", lambda df, label="step", keep=False: seen.setdefault(label, df), raising=False)
+    return seen
+
+
+def test_sources_of_the_public_cells_are_stored_one_by_one(tables, stored):
+    ex.public_wide(with_stored_members(tables))
+    assert list(stored) == ["groups", "items", "singles", "dates", "sizes", "given", "subject", "object"]
+    assert "Aggregate" not in plan(stored["dates"]).split("RepartitionByExpression")[1]  # the members are stored and not grouped again
+
+
+def test_related_cells_agree_with_stored_links(tables, rows, stored):
+    linked = tables.with_tables(edges=resolve_links(tables.relations, tables.hierarchy))
+    for side in ("subject", "object"):
+        one, other = (ex._related_cells(c, ex._given(c), side).join(c.objects.select("id"), "id", "left_semi") for c in (tables, linked))
+        found = rows(one.select("id", "field", "value"))
+        assert found == rows(other.select("id", "field", "value")) and found
