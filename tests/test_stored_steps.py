@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vitrine.catalog import all_queries
 from vitrine.catalog.fixtures import collection, with_stored_members
+from vitrine.operators.joins import group_values, media_rows
 from vitrine.plans import extract as ex
 from vitrine.plans.links import resolve_links
 
@@ -57,3 +58,26 @@ def test_related_cells_agree_with_stored_links(tables, rows, stored):
         one, other = (ex._related_cells(c, ex._given(c), side).join(c.objects.select("id"), "id", "left_semi") for c in (tables, linked))
         found = rows(one.select("id", "field", "value"))
         assert found == rows(other.select("id", "field", "value")) and found
+
+
+def test_few_media_meet_the_links_without_a_deal(tables):
+    text = media_rows(tables)._jdf.queryExecution().executedPlan().toString()
+    links = next(line for line in text.splitlines() if "mediacsid" in line and "Join" in line)
+    assert "BroadcastHashJoin" in links
+
+
+@pytest.mark.parametrize("name, made_by", [("k01_public_extract", "public_extract"), ("k01_public_errors", "public_errors"), ("k02_internal_extract", "internal_extract")])
+def test_wide_queries_read_the_stored_members(spark, monkeypatch, name, made_by):
+    seen = []
+    monkeypatch.setattr(ex, made_by, seen.append)
+    all_queries()[name](spark, SF)
+    assert "Aggregate" not in plan(seen[0].hierarchy)
+
+
+def test_values_of_a_member_stay_in_one_row_until_it_is_found(spark, rows):
+    hierarchy = spark.createDataFrame([("m1", "o1", "x:a", 0), ("m2", "o1", "x:a", 1)], "id string, parentid string, name string, pos int")
+    table = spark.createDataFrame([("m1", "v", None), ("m2", "w", "n"), ("m9", "z", "z")], "id string, v string, n string")
+    long = group_values(hierarchy, {"v_s": ("a", table, F.col("v")), "n_s": ("a", table, F.col("n"))}, pos=None)
+    assert rows(long) == sorted([("o1", "v_s", 0, "v"), ("o1", "n_s", 0, None), ("o1", "v_s", 1, "w"), ("o1", "n_s", 1, "n")], key=str)
+    lines = long._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert next(i for i, x in enumerate(lines) if "Generate" in x) < next(i for i, x in enumerate(lines) if "Join" in x)
