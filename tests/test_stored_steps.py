@@ -1,5 +1,7 @@
 """Plans over many lists: which rows of the hierarchy they make, and what they store on the way."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,26 @@ def test_values_of_a_member_stay_in_one_row_until_it_is_found(spark, rows):
     assert rows(long) == sorted([("o1", "v_s", 0, "v"), ("o1", "n_s", 0, None), ("o1", "v_s", 1, "w"), ("o1", "n_s", 1, "n")], key=str)
     lines = long._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert next(i for i, x in enumerate(lines) if "Generate" in x) < next(i for i, x in enumerate(lines) if "Join" in x)
+
+
+def test_nightly_drops_the_steps_of_the_wide_rows_once_these_are_written(spark, tmp_path, monkeypatch):
+    from vitrine.plans import nightly as ng
+    from vitrine.plans.model import Collection
+    from vitrine.session import cut_lineage
+
+    steps = []
+
+    def wide(c):
+        made = cut_lineage(spark.createDataFrame([("1", "a", False), ("2", "b", True)], "id string, csid_s string, broken boolean"))
+        steps.append(Path(made.inputFiles()[0].removeprefix("file://")))
+        return made
+
+    def blobs(c):
+        assert not steps[0].exists()
+        return spark.createDataFrame([("a", "b-1")], "objectcsid string, blobcsid string")
+
+    monkeypatch.setattr(ng, "public_wide", wide)
+    monkeypatch.setattr(ng, "blob_lists", blobs)
+    made = ng.nightly(Collection.of(objects=spark.range(1)), str(tmp_path), "one")
+    assert (made.rows, made.good, made.broken, made.with_blobs, made.unmatched_blobs) == (2, 1, 1, 1, 0)
+    assert made.load(spark).count() == 1
